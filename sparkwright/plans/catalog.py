@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sparkwright.plans import profile_oracle, profile_queries
+from sparkwright.plans import profile_oracle, profile_queries, relate_oracle, relate_queries
 
-_MODULES_Q = [profile_queries]
-_MODULES_SQL = [profile_oracle]
+_MODULES_Q = [profile_queries, relate_queries]
+_MODULES_SQL = [profile_oracle, relate_oracle]
 
 
 def all_queries() -> dict:

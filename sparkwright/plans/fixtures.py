@@ -125,3 +125,21 @@ sc AS (
   SELECT 'model_b' AS model, row_key, label, round(1 / (1 + exp(-(l_quantity - 25.0) / 8.0)), 6) AS score,
          l_extendedprice, net FROM lf WHERE is_test),
 pr AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS pred FROM sc)"""
+
+
+# ---- correlated measures with pair-dependent gaps (pairwise-complete semantics)
+CORR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net"]
+
+
+def lineitem_corr(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_quantity", "l_extendedprice",
+                     F.expr("nullif(l_discount, 0)").alias("l_discount"),
+                     F.expr("nullif(l_tax, 0)").alias("l_tax"),
+                     (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("net"))
+
+
+LINEITEM_CORR_SQL = """lc AS (
+  SELECT l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax,
+         l_extendedprice * (1 - l_discount) * (1 + l_tax) AS net
+  FROM lineitem)"""
