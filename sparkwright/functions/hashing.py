@@ -43,3 +43,9 @@ def poisson1(u: Column) -> Column:
     for k in reversed(range(len(POISSON1_CDF))):
         expr = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(k)).otherwise(expr)
     return expr.cast("int")
+
+
+def hash_order(key, seed) -> Column:
+    """60-bit integer from md5(key || seed): a near-unique sort key (DuckDB:
+    ``('0x' || substr(md5(k), 1, 15))::BIGINT``)."""
+    return F.conv(F.substring(F.md5(_key(key, seed)), 1, 15), 16, 10).cast("bigint")

@@ -76,7 +76,7 @@ def lineitem_features(spark, sf_dir) -> DataFrame:
     from sparkwright.functions.hashing import hash_unit
     li = table(spark, sf_dir, "lineitem")
     base = li.select(
-        F.concat_ws("|", "l_orderkey", "l_linenumber").alias("row_key"),
+        F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         ordinal_code("l_returnflag", RETURNFLAG_LEVELS).alias("rf_code"),
         ordinal_code("l_linestatus", LINESTATUS_LEVELS).alias("ls_code"),
@@ -89,42 +89,51 @@ def lineitem_features(spark, sf_dir) -> DataFrame:
 
 
 LINEITEM_FEATURES_SQL = """lf0 AS (
-  SELECT concat_ws('|', l_orderkey, l_linenumber) AS row_key, l_quantity, l_extendedprice, l_discount, l_tax,
+  SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_key, l_quantity, l_extendedprice, l_discount, l_tax,
          CAST(coalesce(list_position(['N','R','A'], l_returnflag), 0) - 1 AS DOUBLE) AS rf_code,
          CAST(coalesce(list_position(['O','F'], l_linestatus), 0) - 1 AS DOUBLE) AS ls_code,
          l_extendedprice * (1 - l_discount) * (1 + l_tax) AS net
   FROM lineitem),
 lf AS (
   SELECT lf0.*, CAST(net > (SELECT quantile_cont(net, 0.5) FROM lf0) AS INTEGER) AS label,
-         (('0x' || substr(md5(row_key || '|42'), 1, 8))::BIGINT / 4294967296.0) < 0.2 AS is_test
+         (('0x' || substr(md5(row_key || '|42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE) < 0.2 AS is_test
   FROM lf0)"""
 
 
 # ---- deterministic scores for two fixed "models": evaluation without a fit
-def scored(spark, sf_dir) -> DataFrame:
-    """Tall predictions(model, row_key, label, score, pred) over the test split.
+def scored_all(spark, sf_dir) -> DataFrame:
+    """Tall predictions(model, row_key, is_test, label, score, pred, net, pred_net) over all rows.
 
     model_a: logistic of scaled extended price (strong); model_b: logistic of
-    scaled quantity (weak, heavily tied). Rounded to 6 decimals on both sides.
+    scaled quantity (weak, heavily tied). Scores rounded to 6 decimals on both
+    sides. pred_net is a fixed linear regression prediction of net per model.
     """
-    lf = lineitem_features(spark, sf_dir).where("is_test")
-    a = lf.select(F.lit("model_a").alias("model"), "row_key", "label",
+    lf = lineitem_features(spark, sf_dir)
+    a = lf.select(F.lit("model_a").alias("model"), "row_key", "is_test", "label",
                   F.round(1 / (1 + F.exp(-(F.col("l_extendedprice") - 36000.0) / 9000.0)), 6).alias("score"),
-                  "l_extendedprice", "net")
-    b = lf.select(F.lit("model_b").alias("model"), "row_key", "label",
+                  "net", (F.col("l_extendedprice") * 0.95).alias("pred_net"))
+    b = lf.select(F.lit("model_b").alias("model"), "row_key", "is_test", "label",
                   F.round(1 / (1 + F.exp(-(F.col("l_quantity") - 25.0) / 8.0)), 6).alias("score"),
-                  "l_extendedprice", "net")
+                  "net", (F.col("l_extendedprice") * 0.9 + 1000.0).alias("pred_net"))
     return a.unionByName(b).withColumn("pred", (F.col("score") >= 0.5).cast("int"))
 
 
+def scored(spark, sf_dir) -> DataFrame:
+    """Test-split predictions."""
+    return scored_all(spark, sf_dir).where("is_test")
+
+
 SCORED_SQL = LINEITEM_FEATURES_SQL + """,
-sc AS (
-  SELECT 'model_a' AS model, row_key, label, round(1 / (1 + exp(-(l_extendedprice - 36000.0) / 9000.0)), 6) AS score,
-         l_extendedprice, net FROM lf WHERE is_test
-  UNION ALL
-  SELECT 'model_b' AS model, row_key, label, round(1 / (1 + exp(-(l_quantity - 25.0) / 8.0)), 6) AS score,
-         l_extendedprice, net FROM lf WHERE is_test),
-pr AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS pred FROM sc)"""
+sca AS (
+  SELECT *, CAST(score >= 0.5 AS INTEGER) AS pred FROM (
+    SELECT 'model_a' AS model, row_key, is_test, label,
+           round(1 / (1 + exp(-(l_extendedprice - 36000.0) / 9000.0)), 6) AS score,
+           net, l_extendedprice * 0.95 AS pred_net FROM lf
+    UNION ALL
+    SELECT 'model_b' AS model, row_key, is_test, label,
+           round(1 / (1 + exp(-(l_quantity - 25.0) / 8.0)), 6) AS score,
+           net, l_extendedprice * 0.9 + 1000.0 AS pred_net FROM lf)),
+pr AS (SELECT * FROM sca WHERE is_test)"""
 
 
 # ---- correlated measures with pair-dependent gaps (pairwise-complete semantics)
