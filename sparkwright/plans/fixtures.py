@@ -152,3 +152,16 @@ LINEITEM_CORR_SQL = """lc AS (
   SELECT l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax,
          l_extendedprice * (1 - l_discount) * (1 + l_tax) AS net
   FROM lineitem)"""
+
+
+# ---- scored test rows with their features: input of the explanation stage
+def explain_input(spark, sf_dir) -> DataFrame:
+    lf = lineitem_features(spark, sf_dir).where("is_test")
+    prob = F.round(1 / (1 + F.exp(-(F.col("l_extendedprice") - 36000.0) / 9000.0)), 6)
+    return lf.select("row_key", *FEATURES, prob.alias("prob")).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
+
+
+EXPLAIN_INPUT_SQL = LINEITEM_FEATURES_SQL + """,
+ei AS (SELECT row_key, l_quantity, l_extendedprice, l_discount, l_tax, rf_code, ls_code, prob,
+              CAST(prob >= 0.5 AS INTEGER) AS pred
+       FROM (SELECT *, round(1 / (1 + exp(-(l_extendedprice - 36000.0) / 9000.0)), 6) AS prob FROM lf WHERE is_test))"""
