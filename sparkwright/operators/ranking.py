@@ -33,12 +33,15 @@ def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str
     """
     by = list(by or [])
     nb = buckets or _default_buckets(hist)
-    probs = [i / nb for i in range(1, nb)]
-    bounds = hist.groupBy(*by).agg(F.percentile_approx(order, probs, accuracy).alias("__bounds"))
-    # One row per group: tiny for a parameter-sized group set. With groups the
-    # planner (AQE) picks broadcast only after measuring the table.
-    hb = hist.join(bounds, by) if by else hist.crossJoin(F.broadcast(bounds))
-    hb = hb.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < F.col(order)))).drop("__bounds")
+    if nb <= 1:
+        hb = hist.withColumn("__bucket", F.lit(0))
+    else:
+        probs = [i / nb for i in range(1, nb)]
+        bounds = hist.groupBy(*by).agg(F.percentile_approx(order, probs, accuracy).alias("__bounds"))
+        # One row per group: tiny for a parameter-sized group set. With groups the
+        # planner (AQE) picks broadcast only after measuring the table.
+        hb = hist.join(bounds, by) if by else hist.crossJoin(F.broadcast(bounds))
+        hb = hb.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < F.col(order)))).drop("__bounds")
 
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumns({f"__run_{s}": F.sum(s).over(within) for s in sums})
