@@ -24,11 +24,16 @@ def _cols(df: DataFrame, columns: list[str] | None, numeric: bool = False) -> li
     return numeric_columns(df) if numeric else list(df.columns)
 
 
-def _tall(one_row: DataFrame, columns: list[str], fields: dict[str, str]) -> DataFrame:
-    """Unpivot a one-row wide aggregate ``{metric}__{i}`` into rows per column."""
+def _tall(one_row: DataFrame, columns: list[str], fields: dict[str, str], carry: list[str] | None = None) -> DataFrame:
+    """Unpivot a one-row wide aggregate ``{metric}__{i}`` into rows per column.
+
+    ``carry`` columns (e.g. the row count) are copied into every row, so the
+    aggregate is referenced once and the table is scanned once.
+    """
     structs = [
         F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("ordinal"),
-                 *[F.col(f"{m}__{i}").cast(t).alias(m) for m, t in fields.items()])
+                 *[F.col(f"{m}__{i}").cast(t).alias(m) for m, t in fields.items()],
+                 *[F.col(k) for k in (carry or [])])
         for i, c in enumerate(columns)
     ]
     return one_row.select(F.inline(F.array(*structs)))
@@ -62,9 +67,8 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
     aggs += [F.count_if(is_missing(df, c)).alias(f"null_count__{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
-    tall = _tall(one.withColumn("__keep", F.lit(1)), cols, {"null_count": "bigint"})
-    n = one.select("__n")
-    return (tall.crossJoin(n)
+    tall = _tall(one, cols, {"null_count": "bigint"}, carry=["__n"])
+    return (tall
             .select("column_name", "ordinal", "null_count",
                     (F.col("null_count") * F.lit(100.0) / F.col("__n")).alias("null_pct"))
             .orderBy(F.col("null_pct").desc(), F.col("ordinal"))
@@ -175,29 +179,27 @@ def category_encode(df: DataFrame, column: str, max_levels: int = 100000, code_c
 
 
 def storage_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Raw text bytes vs dictionary-encoded bytes per column (Q11).
+    """Raw text bytes vs dictionary-encoded bytes per column (Q11), in one scan.
 
-    raw_bytes = sum(octet_length(v)); dict_bytes = sum of distinct value lengths
-    + rows * code width, code width 1/2/4 bytes for <=256 / <=65536 / more levels.
+    The columns are unpivoted to (column, value), grouped once by (column, value)
+    with map-side combine (a hot value collapses to one partial row per task),
+    then summarised per column: raw_bytes = sum(len * count); dict_bytes = sum of
+    distinct value lengths + rows * code width (1/2/4 bytes for <=256 / <=65536 /
+    more levels).
     """
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(columns):
-        aggs.append(F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).cast("bigint").alias(f"raw_bytes__{i}"))
-    rows_stats = df.agg(*aggs)
-    tall_parts = []
-    for i, c in enumerate(columns):
-        d = (df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
-             .agg(F.lit(c).alias("column_name"), F.lit(i).alias("ordinal"),
-                  F.count(F.lit(1)).alias("distinct_values"),
-                  F.coalesce(F.sum(F.octet_length("v")), F.lit(0)).cast("bigint").alias("dict_value_bytes")))
-        tall_parts.append(d)
-    tall = tall_parts[0]
-    for p in tall_parts[1:]:
-        tall = tall.unionByName(p)
-    raw = _tall(rows_stats, columns, {"raw_bytes": "bigint"}).crossJoin(rows_stats.select("__n"))
+    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(c).cast("string").alias("v"))
+                                        for i, c in enumerate(columns)])))
+    per_value = tall.groupBy("ordinal", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    ln = F.octet_length("v")
+    per_col = per_value.groupBy("ordinal").agg(
+        F.sum("cnt").alias("__n"),
+        F.coalesce(F.sum(ln * F.col("cnt")), F.lit(0)).cast("bigint").alias("raw_bytes"),
+        F.count("v").alias("distinct_values"),
+        F.coalesce(F.sum(ln), F.lit(0)).cast("bigint").alias("dict_value_bytes"))
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("ordinal") + 1)
     width = (F.when(F.col("distinct_values") <= 256, 1)
              .when(F.col("distinct_values") <= 65536, 2).otherwise(4))
-    return (raw.join(tall, ["column_name", "ordinal"])
+    return (per_col.withColumn("column_name", names)
             .withColumn("code_width", width.cast("int"))
             .withColumn("dict_bytes", (F.col("dict_value_bytes") + F.col("__n") * F.col("code_width")).cast("bigint"))
             .withColumn("saved_bytes", (F.col("raw_bytes") - F.col("dict_bytes")).cast("bigint"))
