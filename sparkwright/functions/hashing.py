@@ -38,7 +38,9 @@ POISSON1_CDF = [sum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)) fo
 
 
 def poisson1(u: Column) -> Column:
-    """Poisson(1) draw by inverse CDF of a uniform ``u`` (a step function of u)."""
+    """Poisson(1) draw by inverse CDF of a uniform ``u`` (a step function of u).
+
+    Pass ``u`` as a column reference, not an expression: each branch re-evaluates it."""
     expr = F.lit(len(POISSON1_CDF))
     for k in reversed(range(len(POISSON1_CDF))):
         expr = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(k)).otherwise(expr)

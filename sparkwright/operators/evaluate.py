@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.hashing import hash_unit, poisson1
-from sparkwright.operators.ranking import average_rank, descending_cumulative
+from sparkwright.operators.ranking import average_rank, bucket_bounds, descending_cumulative
 
 
 def _d(c):
@@ -103,7 +103,7 @@ def accuracy_gap(df: DataFrame, split: str, label: str = "label", pred: str = "p
 
 # ---------------------------------------------------------------- V5 / V6 / R5
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None,
-            weight: str | None = None, buckets: int | None = None) -> DataFrame:
+            weight: str | None = None, buckets: int | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """Exact ROC AUC by rank sum, ties count half: (sum rank+ - n1(n1+1)/2) / (n1 n0).
 
     Works on the (group, score) histogram with positives summed per score, so the
@@ -111,7 +111,7 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     """
     by = by or []
     w = F.col(weight) if weight else F.lit(1)
-    h = average_rank(df, score, by, weight=weight, buckets=buckets,
+    h = average_rank(df, score, by, weight=weight, buckets=buckets, bounds=bounds,
                      extra_sums={"pos": (w * F.col(label)).cast("double")})
     a = h.groupBy(*by).agg(F.sum("pos").alias("n1"), F.sum("cnt").alias("n"),
                            F.sum(F.col("pos") * F.col("rank")).alias("srank"))
@@ -163,6 +163,25 @@ def best_threshold(sweep: DataFrame, by: list[str] | None = None, metric: str =
 
 
 # ---------------------------------------------------------------- V10 - V12
+def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = 42, out: str = "weight") -> DataFrame:
+    """Rows x replicates with a Poisson(1) weight from md5(key|replicate|seed); zero weights dropped.
+
+    A row drawn k times in a resample carries weight k instead of being copied k times.
+    The replicate ids are a range of ``replicates`` rows, broadcast."""
+    spark = df.sparkSession
+    reps = spark.range(1, replicates + 1).select(F.col("id").cast("int").alias("replicate"))
+    # The replicated table is B times larger than its input, but AQE sizes partitions from
+    # the input (and may coalesce it to a single one). Spread the input over the shuffle
+    # partitions first, with an explicit count that AQE keeps, so the explosion is parallel.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(parts)
+    # The uniform is its own column: inside the CASE chain of poisson1 it would be
+    # re-evaluated per branch (no common-subexpression sharing across conditional branches).
+    return (df.crossJoin(F.broadcast(reps))
+            .withColumn("__u", hash_unit([F.col(key), F.col("replicate")], seed))
+            .withColumn(out, poisson1(F.col("__u"))).where(F.col(out) > 0).drop("__u"))
+
+
 def bootstrap_auc_difference(df: DataFrame, model_a: str, model_b: str, replicates: int = 500, seed: int = 42,
                              key: str = "row_key", model: str = "model", score: str = "score",
                              label: str = "label", buckets: int | None = None) -> DataFrame:
@@ -173,11 +192,19 @@ def bootstrap_auc_difference(df: DataFrame, model_a: str, model_b: str, replicat
     single class are skipped. The replicate ids are a parameter-sized range,
     broadcast; rows are never collected or looped over.
     """
-    reps = df.sparkSession.range(1, replicates + 1).select(F.col("id").cast("int").alias("replicate"))
     base = df.where(F.col(model).isin(model_a, model_b)).select(model, key, label, score)
-    w = base.crossJoin(F.broadcast(reps)).withColumn(
-        "__w", poisson1(hash_unit([F.col(key), F.col("replicate")], seed))).where(F.col("__w") > 0)
-    aucs = roc_auc(w, score, label, by=["replicate", model], weight="__w", buckets=buckets)
+    # One row per key with both models' scores: each (key, replicate) weight is drawn once.
+    wide = base.groupBy(key).agg(F.max(label).alias(label),
+                                 F.max(F.when(F.col(model) == model_a, F.col(score))).alias("__sa"),
+                                 F.max(F.when(F.col(model) == model_b, F.col(score))).alias("__sb"))
+    w = bootstrap_weights(wide, key, replicates, seed, out="__w")
+    tall = w.select("replicate", "__w", label, F.inline(F.array(
+        F.struct(F.lit(model_a).alias(model), F.col("__sa").alias(score)),
+        F.struct(F.lit(model_b).alias(model), F.col("__sb").alias(score))))).where(F.col(score).isNotNull())
+    # Every replicate of a model shares the model's score distribution: bucket boundaries come
+    # from the unreplicated scores (two rows of boundaries), not from the B-times larger table.
+    bounds = bucket_bounds(base, score, [model], buckets)
+    aucs = roc_auc(tall, score, label, by=["replicate", model], weight="__w", buckets=buckets, bounds=bounds)
     pivot = aucs.groupBy("replicate").agg(
         F.max(F.when(F.col(model) == model_a, F.col("auc"))).alias("auc_a"),
         F.max(F.when(F.col(model) == model_b, F.col("auc"))).alias("auc_b"))

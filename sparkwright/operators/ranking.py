@@ -24,23 +24,40 @@ def _default_buckets(df: DataFrame) -> int:
     return max(16, parts)
 
 
+def bucket_bounds(df: DataFrame, order: str, by: list[str] | None = None, buckets: int | None = None,
+                  accuracy: int = 10000) -> DataFrame:
+    """Per group, ``buckets - 1`` approximate-quantile boundaries of ``order`` (one row per group).
+
+    Computed on any representative input: callers that rank many groups sharing one
+    distribution (bootstrap replicates of one model) pass bounds from the small base
+    table instead of the replicated one.
+    """
+    by = list(by or [])
+    nb = buckets or _default_buckets(df)
+    probs = [i / nb for i in range(1, max(nb, 2))]
+    return df.where(F.col(order).isNotNull()).groupBy(*by).agg(
+        F.percentile_approx(order, probs, accuracy).alias("__bounds"))
+
+
 def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str],
-               buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+               buckets: int | None = None, accuracy: int = 10000, bounds: DataFrame | None = None) -> DataFrame:
     """Inclusive prefix sums ``cum_<s>`` of columns ``sums`` along ``order`` within ``by``.
 
     ``hist`` must have one row per (by, order) value. No window ever spans a
     whole group: buckets split each group into ~equal slices of distinct values.
+    ``bounds`` (from ``bucket_bounds``) may be keyed by a subset of ``by``.
     """
     by = list(by or [])
     nb = buckets or _default_buckets(hist)
-    if nb <= 1:
+    if nb <= 1 and bounds is None:
         hb = hist.withColumn("__bucket", F.lit(0))
     else:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = hist.groupBy(*by).agg(F.percentile_approx(order, probs, accuracy).alias("__bounds"))
+        if bounds is None:
+            bounds = bucket_bounds(hist, order, by, nb, accuracy)
+        keys = [c for c in bounds.columns if c != "__bounds"]
         # One row per group: tiny for a parameter-sized group set. With groups the
         # planner (AQE) picks broadcast only after measuring the table.
-        hb = hist.join(bounds, by) if by else hist.crossJoin(F.broadcast(bounds))
+        hb = hist.join(bounds, keys) if keys else hist.crossJoin(F.broadcast(bounds))
         hb = hb.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < F.col(order)))).drop("__bounds")
 
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -70,7 +87,8 @@ def histogram(df: DataFrame, value: str, by: list[str] | None = None, weight: st
 
 
 def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight: str | None = None,
-                 buckets: int | None = None, accuracy: int = 10000, extra_sums: dict | None = None) -> DataFrame:
+                 buckets: int | None = None, accuracy: int = 10000, extra_sums: dict | None = None,
+                 bounds: DataFrame | None = None) -> DataFrame:
     """Histogram ``(by..., value, cnt, [extra sums], cum, rank)`` with average ranks per group.
 
     ``weight`` counts a row ``weight`` times (bootstrap replicate weights);
@@ -79,7 +97,7 @@ def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight:
     """
     by = list(by or [])
     hist = histogram(df, value, by, weight, extra_sums)
-    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy).withColumnRenamed("cum_cnt", "cum")
+    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy, bounds).withColumnRenamed("cum_cnt", "cum")
     return c.withColumn("rank", F.col("cum") - (F.col("cnt") - F.lit(1.0)) / F.lit(2.0))
 
 

@@ -109,13 +109,16 @@ def scored_all(spark, sf_dir) -> DataFrame:
     sides. pred_net is a fixed linear regression prediction of net per model.
     """
     lf = lineitem_features(spark, sf_dir)
-    a = lf.select(F.lit("model_a").alias("model"), "row_key", "is_test", "label",
-                  F.round(1 / (1 + F.exp(-(F.col("l_extendedprice") - 36000.0) / 9000.0)), 6).alias("score"),
-                  "net", (F.col("l_extendedprice") * 0.95).alias("pred_net"))
-    b = lf.select(F.lit("model_b").alias("model"), "row_key", "is_test", "label",
-                  F.round(1 / (1 + F.exp(-(F.col("l_quantity") - 25.0) / 8.0)), 6).alias("score"),
-                  "net", (F.col("l_extendedprice") * 0.9 + 1000.0).alias("pred_net"))
-    return a.unionByName(b).withColumn("pred", (F.col("score") >= 0.5).cast("int"))
+    # both models from one scan: each row emits (model_a, ...) and (model_b, ...)
+    a = F.struct(F.lit("model_a").alias("model"),
+                 F.round(1 / (1 + F.exp(-(F.col("l_extendedprice") - 36000.0) / 9000.0)), 6).alias("score"),
+                 (F.col("l_extendedprice") * 0.95).alias("pred_net"))
+    b = F.struct(F.lit("model_b").alias("model"),
+                 F.round(1 / (1 + F.exp(-(F.col("l_quantity") - 25.0) / 8.0)), 6).alias("score"),
+                 (F.col("l_extendedprice") * 0.9 + 1000.0).alias("pred_net"))
+    return (lf.select("row_key", "is_test", "label", "net", F.inline(F.array(a, b)))
+            .select("model", "row_key", "is_test", "label", "score", "net", "pred_net")
+            .withColumn("pred", (F.col("score") >= 0.5).cast("int")))
 
 
 def scored(spark, sf_dir) -> DataFrame:

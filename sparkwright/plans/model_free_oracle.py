@@ -56,7 +56,31 @@ _SWEEP = SCORED_SQL + ", sw AS (" + " UNION ALL ".join(
     for t in (0.3, 0.4, 0.5, 0.6, 0.7)) + f"""),
 swr AS (SELECT model, threshold, round({_P1}, 4) AS precision, round({_R1}, 4) AS recall, round({_F1}, 4) AS f1 FROM sw)"""
 
+_F7_BASE = f"""WITH li AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_key, l_quantity,
+                                 nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax FROM lineitem),
+    s AS (SELECT *, {_U.format(k="row_key || '|42'")} < 0.2 AS is_test FROM li),
+    m AS (SELECT quantile_cont(l_quantity, 0.5) AS mq, quantile_cont(l_discount, 0.5) AS md, quantile_cont(l_tax, 0.5) AS mt
+          FROM s WHERE NOT is_test),
+    im AS (SELECT row_key, is_test, coalesce(l_quantity, mq) AS l_quantity, coalesce(l_discount, md) AS l_discount,
+                  coalesce(l_tax, mt) AS l_tax FROM s, m),
+    st AS (SELECT avg(l_quantity) AS aq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS ad, stddev_pop(l_discount) AS sd,
+                  avg(l_tax) AS atx, stddev_pop(l_tax) AS stx FROM im WHERE NOT is_test)"""
+
 SQL = {
+    "p9_bootstrap_weights": "WITH " + SCORED_SQL + f""",
+        reps AS (SELECT range::INTEGER AS replicate FROM range(1, 501)),
+        wu AS (SELECT r.replicate, {_U.format(k="p.row_key || '|' || r.replicate || '|42'")} AS u
+               FROM pr p CROSS JOIN reps r WHERE p.model = 'model_a'),
+        w AS (SELECT replicate, {_POIS} AS weight FROM wu)
+        SELECT replicate, count(*) AS drawn_rows, CAST(sum(weight) AS BIGINT) AS total_weight FROM w WHERE weight > 0
+        GROUP BY replicate""",
+    "p7_drop_list_columns": f"WITH {LINEITEM_FEATURES_SQL} SELECT row_key, l_quantity, l_extendedprice, l_discount, rf_code FROM lf",
+    "f7_pipeline_transform": _F7_BASE + """
+        SELECT row_key, round((l_quantity - aq) / CASE WHEN sq > 0 THEN sq ELSE 1.0::DOUBLE END, 6) AS l_quantity,
+               round((l_discount - ad) / CASE WHEN sd > 0 THEN sd ELSE 1.0::DOUBLE END, 6) AS l_discount,
+               round((l_tax - atx) / CASE WHEN stx > 0 THEN stx ELSE 1.0::DOUBLE END, 6) AS l_tax FROM im, st""",
+    "f8_feature_vector": f"""WITH {LINEITEM_FEATURES_SQL} SELECT row_key,
+        [l_quantity, l_extendedprice, l_discount, l_tax, rf_code, ls_code]::DOUBLE[] AS features FROM lf""",
     "f1_ordinal_encode": """SELECT o_orderkey, o_orderpriority,
         CAST(coalesce(list_position(['5-LOW', '4-NOT SPECIFIED', '3-MEDIUM', '2-HIGH'], o_orderpriority), 0) - 1 AS DOUBLE) AS o_orderpriority_ord
         FROM orders""",

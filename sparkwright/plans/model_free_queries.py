@@ -153,5 +153,40 @@ def a22_fold_auc_summary(spark, d):
     return rounded(P.mean_pop_std(per_fold, "auc", by=["model"]))
 
 
+def p9_bootstrap_weights(spark, d):
+    s = scored(spark, d).where(F.col("model") == "model_a").select("row_key")
+    w = V.bootstrap_weights(s, "row_key", 500, SEED)
+    return w.groupBy("replicate").agg(F.count(F.lit(1)).alias("drawn_rows"),
+                                      F.sum("weight").cast("bigint").alias("total_weight"))
+
+
+def p7_drop_list_columns(spark, d):
+    drop = ["l_tax", "ls_code"]
+    keep = [f for f in FEATURES if f not in drop]
+    return lineitem_features(spark, d).select("row_key", *keep)
+
+
+def f7_pipeline_transform(spark, d):
+    """Imputer and scaler stages fitted on train rows as one pipeline, applied to every row."""
+    from pyspark.ml import Pipeline
+    from sparkwright.operators.models import ExactMedianImputer, PopulationStandardScaler
+    li = table(spark, d, "lineitem").select(
+        F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
+        "l_quantity", F.expr("nullif(l_discount, 0)").alias("l_discount"), F.expr("nullif(l_tax, 0)").alias("l_tax"))
+    li = FE.split_flag(li, "row_key", SEED, 0.2)
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    pipe = Pipeline(stages=[ExactMedianImputer(inputCols=cols), PopulationStandardScaler(inputCols=cols)])
+    model = pipe.fit(li.where(~F.col("is_test")))
+    return rounded(model.transform(li).select("row_key", *cols))
+
+
+def f8_feature_vector(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    lf = lineitem_features(spark, d)
+    va = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    return va.transform(lf).select("row_key", vector_to_array("features").alias("features"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and name[:1] in "fpvra" and name[1:2].isdigit()}
