@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.encoding import ordinal_code
 from sparkwright.functions.hashing import hash_order, hash_unit
+from sparkwright.operators.quantile import quantile_wide
 from sparkwright.operators.ranking import average_rank
 
 
@@ -23,7 +24,7 @@ def ordinal_encode(df: DataFrame, levels: dict[str, list[str]], suffix: str = ""
 
 def median_label(df: DataFrame, value: str, out: str = "label") -> DataFrame:
     """Binary label ``value > median(value)`` (strict), median over the whole table."""
-    med = df.agg(F.percentile(F.col(value), F.lit(0.5)).alias("__median"))
+    med = quantile_wide(df, [value], [0.5]).select(F.col(f"{value}__q0").alias("__median"))
     return df.crossJoin(F.broadcast(med)).withColumn(out, (F.col(value) > F.col("__median")).cast("int")) \
         .drop("__median")
 
@@ -88,7 +89,7 @@ def standardize(df: DataFrame, columns: list[str], fit_on: str | None = None) ->
 
 def fit_median_imputer(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row of exact medians (linear interpolation) per column (F4 fit)."""
-    return df.agg(*[F.percentile(F.col(c), F.lit(0.5)).alias(f"__med_{c}") for c in columns])
+    return quantile_wide(df, columns, [0.5]).select(*[F.col(f"{c}__q0").alias(f"__med_{c}") for c in columns])
 
 
 def apply_median_imputer(df: DataFrame, medians: DataFrame, columns: list[str]) -> DataFrame:

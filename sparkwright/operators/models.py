@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.operators.evaluate import roc_auc
+from sparkwright.operators.quantile import quantile_wide
 from sparkwright.session import ensure_checkpoint_dir
 
 
@@ -56,9 +57,10 @@ class ExactMedianImputer(Estimator, HasInputCols, DefaultParamsReadable, Default
 
     def _fit(self, df: DataFrame) -> ExactMedianImputerModel:
         cols = self.getInputCols()
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in cols]).first()
+        row = quantile_wide(df, cols, [0.5]).first()
         m = ExactMedianImputerModel()
-        m._set(inputCols=cols, stats=[float(row[c]) if row[c] is not None else 0.0 for c in cols])
+        m._set(inputCols=cols, stats=[float(row[f"{c}__q0"]) if row and row[f"{c}__q0"] is not None else 0.0
+                                      for c in cols])
         return m
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.operators.quantile import exact_quantiles, quantile_wide
 from sparkwright.functions.numeric import (
     bias_corrected_skew, is_missing, nan_to_null, numeric_columns, safe_ratio,
 )
@@ -89,31 +90,29 @@ def null_drift(before: DataFrame, after: DataFrame, columns: list[str] | None =
 
 
 # ---------------------------------------------------------------- Q3 / Q4 / F4
-def _median_expr(col: str, approx: bool, accuracy: int) -> Column:
-    if approx:
-        return F.percentile_approx(col, 0.5, accuracy).cast("double")
-    return F.percentile(F.col(col), F.lit(0.5)).cast("double")
-
-
 def median_fill(df: DataFrame, columns: list[str] | None = None, max_null_pct: float | None = 20.0,
-                approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Fill NULL/NaN with the column median.
 
     With ``max_null_pct`` set (Q3) only numeric columns with ``0 < nulls`` and
-    ``pct < max_null_pct`` are filled; ``None`` fills unconditionally (Q4). The
-    medians come from one aggregate that is broadcast as a single row.
-    Exact medians ship value->count maps; ``approx=True`` bounds that memory
-    for high-cardinality columns at scale.
+    ``pct < max_null_pct`` are filled; ``None`` fills unconditionally (Q4).
+    Null counts come from one aggregate, medians from the distributed exact
+    quantile (``method="exact"``), Spark's ``percentile`` (``"percentile"``, fine
+    for low-cardinality columns) or ``percentile_approx`` (``"approx"``); both
+    are single rows, broadcast back to the rows.
     """
     cols = _cols(df, columns, numeric=True)
     norm = {c: nan_to_null(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c)
             for c in cols}
     base = df.withColumns({c: e for c, e in norm.items()})
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__nulls{i}"))
-        aggs.append(_median_expr(c, approx, accuracy).alias(f"__med{i}"))
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count_if(F.col(c).isNull()).alias(f"__nulls{i}")
+                                               for i, c in enumerate(cols)]
     stats = base.agg(*aggs)
+    if method == "exact":
+        meds = quantile_wide(base, cols, [0.5]).select(*[F.col(f"{c}__q0").alias(f"__med{i}") for i, c in enumerate(cols)])
+        stats = stats.crossJoin(meds)
+    else:
+        stats = base.agg(*aggs, *[_median_expr(c, method, accuracy).alias(f"__med{i}") for i, c in enumerate(cols)])
     joined = base.crossJoin(F.broadcast(stats))
     out = {}
     for i, c in enumerate(cols):
@@ -127,6 +126,12 @@ def median_fill(df: DataFrame, columns: list[str] | None = None, max_null_pct: f
     return joined.withColumns(out).select(*df.columns)
 
 
+def _median_expr(col: str, method: str, accuracy: int) -> Column:
+    if method == "approx":
+        return F.percentile_approx(col, 0.5, accuracy).cast("double")
+    return F.percentile(F.col(col), F.lit(0.5)).cast("double")
+
+
 # ---------------------------------------------------------------- Q6 / Q7
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical group (NULLs equal), as one row.
@@ -207,38 +212,52 @@ def storage_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A1 / A2 / A3 / A4
-def describe(df: DataFrame, columns: list[str] | None = None, approx: bool = False,
+def _pivot_probs(tall: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    return tall.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(n)
+                                     for p, n in zip(probs, names)])
+
+
+def describe(df: DataFrame, columns: list[str] | None = None, method: str = "exact",
              accuracy: int = 10000) -> DataFrame:
-    """count, mean, std (n-1), min, 25%, 50%, 75%, max per numeric column; exact quantiles."""
+    """count, mean, std (n-1), min, 25%, 50%, 75%, max per numeric column; exact quantiles by default."""
     cols = _cols(df, columns, numeric=True)
     base = _normalised(df, cols)
     aggs = []
     for i, c in enumerate(cols):
-        q = (F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.count(c).alias(f"count__{i}"), F.avg(c).alias(f"mean__{i}"),
                  F.stddev_samp(c).alias(f"std__{i}"), F.min(c).cast("double").alias(f"min__{i}"),
-                 q.alias(f"__q{i}"), F.max(c).cast("double").alias(f"max__{i}")]
+                 F.max(c).cast("double").alias(f"max__{i}")]
+        if method != "exact":
+            q = (F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy) if method == "approx"
+                 else F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+            aggs.append(q.alias(f"__q{i}"))
     one = base.agg(*aggs)
-    for i, _ in enumerate(cols):
-        one = one.withColumns({f"q25__{i}": F.col(f"__q{i}")[0], f"q50__{i}": F.col(f"__q{i}")[1],
-                               f"q75__{i}": F.col(f"__q{i}")[2]})
-    fields = {"count": "bigint", "mean": "double", "std": "double", "min": "double",
-              "q25": "double", "q50": "double", "q75": "double", "max": "double"}
-    return _tall(one, cols, fields).drop("ordinal")
+    fields = {"count": "bigint", "mean": "double", "std": "double", "min": "double", "max": "double"}
+    if method != "exact":
+        for i, _ in enumerate(cols):
+            one = one.withColumns({f"q25__{i}": F.col(f"__q{i}")[0], f"q50__{i}": F.col(f"__q{i}")[1],
+                                   f"q75__{i}": F.col(f"__q{i}")[2]})
+        fields.update({"q25": "double", "q50": "double", "q75": "double"})
+        tall = _tall(one, cols, fields)
+    else:
+        q = _pivot_probs(exact_quantiles(base, cols, [0.25, 0.5, 0.75]), ["column_name"], [0.25, 0.5, 0.75],
+                         ["q25", "q50", "q75"])
+        tall = _tall(one, cols, fields).join(q, "column_name", "left")
+    return tall.select("column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def quantiles(df: DataFrame, column: str, probs: list[float], by: list[str] | None = None,
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Exact (linear interpolation, as pandas) or approximate quantiles, optionally grouped."""
+              method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Quantiles (linear interpolation, as pandas), optionally grouped; exact and distributed by default."""
+    by = list(by or [])
+    names = [f"p{round(p * 1000):03d}" for p in probs]
+    if method == "exact":
+        return _pivot_probs(exact_quantiles(df, [column], probs, by), by, probs, names)
     c = nan_to_null(column)
-    if approx:
-        q = F.percentile_approx(c, probs, accuracy)
-    else:
-        q = F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
-    g = df.groupBy(*(by or [])).agg(q.alias("__q"))
-    return g.select(*(by or []), *[F.col("__q")[i].cast("double").alias(f"p{round(p * 1000):03d}")
-                                   for i, p in enumerate(probs)])
+    q = F.percentile_approx(c, probs, accuracy) if method == "approx" \
+        else F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
+    g = df.groupBy(*by).agg(q.alias("__q"))
+    return g.select(*by, *[F.col("__q")[i].cast("double").alias(n) for i, n in enumerate(names)])
 
 
 def skewness_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -256,17 +275,19 @@ def top_skewed(df: DataFrame, k: int, columns: list[str] | None = None) -> DataF
 
 
 def imputation_comparison(df: DataFrame, k: int = 2, columns: list[str] | None = None) -> DataFrame:
-    """skew, mean, median and null count for the k most skewed columns (A14). One scan."""
+    """skew, mean, median and null count for the k most skewed columns."""
     cols = _cols(df, columns, numeric=True)
     base = _normalised(df, cols)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [bias_corrected_skew(c).alias(f"skew__{i}"), F.avg(c).alias(f"mean__{i}"),
-                 F.percentile(F.col(c), F.lit(0.5)).cast("double").alias(f"median__{i}"),
                  F.count_if(F.col(c).isNull()).alias(f"nulls_before__{i}")]
     one = base.agg(*aggs)
-    tall = _tall(one, cols, {"skew": "double", "mean": "double", "median": "double", "nulls_before": "bigint"})
-    return tall.orderBy(F.abs("skew").desc_nulls_last(), "ordinal").limit(k).drop("ordinal")
+    tall = _tall(one, cols, {"skew": "double", "mean": "double", "nulls_before": "bigint"})
+    med = exact_quantiles(base, cols, [0.5]).select("column_name", F.col("value").alias("median"))
+    return (tall.join(med, "column_name", "left")
+            .orderBy(F.abs("skew").desc_nulls_last(), "ordinal").limit(k)
+            .select("column_name", "skew", "mean", "median", "nulls_before"))
 
 
 # ---------------------------------------------------------------- A5 / P5
@@ -277,8 +298,8 @@ def iqr_outliers(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame
     one conditional count over the rows; all columns share both scans.
     """
     base = _normalised(df, columns)
-    qs = base.agg(*[F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).alias(f"__q{i}")
-                    for i, c in enumerate(columns)])
+    qs = quantile_wide(base, columns, [0.25, 0.75]).select(
+        *[F.array(F.col(f"{c}__q0"), F.col(f"{c}__q1")).alias(f"__q{i}") for i, c in enumerate(columns)])
     fences = {}
     for i, _ in enumerate(columns):
         q1, q3 = F.col(f"__q{i}")[0], F.col(f"__q{i}")[1]
@@ -351,11 +372,11 @@ def min_max(df: DataFrame, column: str) -> DataFrame:
 
 def percentile_interval(df: DataFrame, column: str, lo: float = 0.025, hi: float = 0.975,
                         by: list[str] | None = None) -> DataFrame:
-    """mean and the [lo, hi] percentile interval of a sample."""
-    by = by or []
-    return (df.groupBy(*by).agg(F.avg(column).alias("mean"),
-                                F.percentile(F.col(column), F.array(F.lit(lo), F.lit(hi))).alias("__q"))
-            .select(*by, "mean", F.col("__q")[0].alias("ci_low"), F.col("__q")[1].alias("ci_high")))
+    """mean and the [lo, hi] percentile interval of a sample (A21 / V11), exact and distributed."""
+    by = list(by or [])
+    q = _pivot_probs(exact_quantiles(df, [column], [lo, hi], by), by, [lo, hi], ["ci_low", "ci_high"])
+    m = df.groupBy(*by).agg(F.avg(column).alias("mean"))
+    return (m.join(q, by, "left") if by else m.crossJoin(q)).select(*by, "mean", "ci_low", "ci_high")
 
 
 def mean_pop_std(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.numeric import nan_to_null
+from sparkwright.operators.quantile import quantile_wide
 from sparkwright.operators.ranking import average_rank
 
 
@@ -40,8 +41,8 @@ def box_table(df: DataFrame, key: str, value: str, k: float = 1.5) -> DataFrame:
     """Per group: Q1, median, Q3, whiskers (extreme points within k*IQR of the box), flier count."""
     v = nan_to_null(value)
     base = df.where(F.col(key).isNotNull()).select(key, v.alias("v")).where(F.col("v").isNotNull())
-    q = base.groupBy(key).agg(F.percentile(F.col("v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(key, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = quantile_wide(base, ["v"], [0.25, 0.5, 0.75], by=[key]).select(
+        key, F.col("v__q0").alias("q1"), F.col("v__q1").alias("median"), F.col("v__q2").alias("q3"))
     lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))
     # q has one row per group; the planner broadcasts it when AQE measures it small.

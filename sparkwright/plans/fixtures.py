@@ -81,11 +81,8 @@ def lineitem_features(spark, sf_dir) -> DataFrame:
         ordinal_code("l_returnflag", RETURNFLAG_LEVELS).alias("rf_code"),
         ordinal_code("l_linestatus", LINESTATUS_LEVELS).alias("ls_code"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("net"))
-    med = base.agg(F.percentile(F.col("net"), F.lit(0.5)).alias("__median"))
-    return (base.crossJoin(F.broadcast(med))
-            .withColumn("label", (F.col("net") > F.col("__median")).cast("int"))
-            .withColumn("is_test", hash_unit("row_key", SEED) < F.lit(0.2))
-            .drop("__median"))
+    from sparkwright.operators.features import median_label
+    return median_label(base, "net").withColumn("is_test", hash_unit("row_key", SEED) < F.lit(0.2))
 
 
 LINEITEM_FEATURES_SQL = """lf0 AS (
