@@ -16,12 +16,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_BUCKETS = 1024
+
+
 def _default_buckets(df: DataFrame) -> int:
+    """One bucket per shuffle partition (at least 16, at most MAX_BUCKETS) per group."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         parts = 200
-    return max(16, parts)
+    return min(MAX_BUCKETS, max(16, parts))
+
+
+def _count_below(bounds: str, value: str, n: int):
+    """Number of elements of the sorted array ``bounds`` (length n) that are < value.
+
+    A binary search unrolled into nested CASE expressions: log2(n) comparisons per
+    row, all in generated code (a higher-order ``filter`` would be O(n) and interpreted).
+    """
+    def search(lo: int, hi: int):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at(F.col(bounds), mid + 1) < F.col(value), search(mid + 1, hi)) \
+            .otherwise(search(lo, mid))
+    return search(0, n)
 
 
 def bucket_bounds(df: DataFrame, order: str, by: list[str] | None = None, buckets: int | None = None,
@@ -33,10 +52,14 @@ def bucket_bounds(df: DataFrame, order: str, by: list[str] | None = None, bucket
     table instead of the replicated one.
     """
     by = list(by or [])
-    nb = buckets or _default_buckets(df)
+    nb = min(buckets or _default_buckets(df), MAX_BUCKETS)
     probs = [i / nb for i in range(1, max(nb, 2))]
     return df.where(F.col(order).isNotNull()).groupBy(*by).agg(
-        F.percentile_approx(order, probs, accuracy).alias("__bounds"))
+        F.percentile_approx(order, probs, accuracy).alias("__bounds", metadata={"n": len(probs)}))
+
+
+def _bounds_length(bounds: DataFrame) -> int:
+    raise ValueError("bucket bounds must come from bucket_bounds() (array length is carried in metadata)")
 
 
 def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str],
@@ -48,17 +71,18 @@ def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str
     ``bounds`` (from ``bucket_bounds``) may be keyed by a subset of ``by``.
     """
     by = list(by or [])
-    nb = buckets or _default_buckets(hist)
+    nb = min(buckets or _default_buckets(hist), MAX_BUCKETS)
     if nb <= 1 and bounds is None:
         hb = hist.withColumn("__bucket", F.lit(0))
     else:
         if bounds is None:
             bounds = bucket_bounds(hist, order, by, nb, accuracy)
         keys = [c for c in bounds.columns if c != "__bounds"]
+        n_bounds = bounds.schema["__bounds"].metadata.get("n", None) or _bounds_length(bounds)
         # One row per group: tiny for a parameter-sized group set. With groups the
         # planner (AQE) picks broadcast only after measuring the table.
         hb = hist.join(bounds, keys) if keys else hist.crossJoin(F.broadcast(bounds))
-        hb = hb.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < F.col(order)))).drop("__bounds")
+        hb = hb.withColumn("__bucket", _count_below("__bounds", order, n_bounds)).drop("__bounds")
 
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumns({f"__run_{s}": F.sum(s).over(within) for s in sums})
