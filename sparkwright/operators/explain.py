@@ -38,7 +38,7 @@ CLASS_PATTERN = r"Predicted class:\s*([01])"
 # ---------------------------------------------------------------------------
 
 RESPONSE_DDL = ("prediction_label string, confidence_level string, top_reason string, second_reason string, "
-                "next_step string, requires_human_review boolean")
+                "next_step string, requires_human_review boolean")  # typed record of a valid response
 
 
 @dataclass(frozen=True)
@@ -191,41 +191,54 @@ def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: Res
 
 
 # ---------------------------------------------------------------- T10 / T11
+# Variant schema of a valid response: an object with exactly these keys (the variant
+# format keeps object keys sorted) and these value types.
+EXPECTED_VARIANT_SCHEMA = "OBJECT<" + ", ".join(
+    f"{k}: {'BOOLEAN' if k == 'requires_human_review' else 'STRING'}" for k in sorted(RESPONSE_KEYS)) + ">"
+
+
+# The variant parser ignores text after a complete top-level value, so a response like
+# '{...}]' could close a plain '[...]' wrapper early. A sentinel element after the text
+# detects that: the parse must yield exactly [value, sentinel].
+_SENTINEL = "#end-of-response#"
+
+
+def _wrapped(raw: Column) -> Column:
+    """The trimmed text parsed once, as the first element of ``[text, sentinel]``."""
+    return F.try_parse_json(F.concat(F.lit("["), json_strip(raw), F.lit(f',"{_SENTINEL}"]')))
+
+
 def validation_error(raw: str | Column) -> Column:
     """NULL when valid, else 'no_response', 'json_error' or 'schema_error' (strict schema).
 
-    Syntax: the trimmed text must parse when wrapped as an array element AND as an
-    object value, which rejects trailing text that a bare parse would accept. Schema:
-    an object with exactly the six keys, five strings, one boolean, and an enum tier.
+    ONE parse per response: the trimmed text wrapped as ``[text, sentinel]`` must parse
+    to exactly those two elements, which rejects trailing text, early-closing brackets
+    and second values that a bare parse would accept. The element's variant schema must then equal the expected
+    object schema (exact key set and types), and the tier must be in the enum.
     """
     r = _c(raw)
-    s = json_strip(r)
-    v = F.try_parse_json(s)
-    syntax_ok = (F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))).isNotNull()
-                 & F.try_parse_json(F.concat(F.lit('{"r":'), s, F.lit("}"))).isNotNull() & v.isNotNull())
-    is_object = F.schema_of_variant(v).startswith("OBJECT<")
-    keys_ok = F.array_sort(F.json_object_keys(s)) == F.array(*[F.lit(k) for k in sorted(RESPONSE_KEYS)])
-
-    def kind(k):
-        return F.schema_of_variant(F.variant_get(v, f"$.{k}", "variant"))
-    types_ok = F.lit(True)
-    for k in RESPONSE_KEYS:
-        types_ok = types_ok & (kind(k) == ("BOOLEAN" if k == "requires_human_review" else "STRING"))
-    enum_ok = F.variant_get(v, "$.confidence_level", "string").isin(*CONFIDENCE_LEVELS)
-    schema_ok = is_object & F.coalesce(keys_ok, F.lit(False)) & F.coalesce(types_ok, F.lit(False)) \
-        & F.coalesce(enum_ok, F.lit(False))
+    w = _wrapped(r)
+    syntax_ok = (w.isNotNull() & (F.size(F.variant_get(w, "$", "array<variant>")) == 2)
+                 & (F.variant_get(w, "$[1]", "string") == _SENTINEL))
+    v = F.variant_get(w, "$[0]", "variant")
+    schema_ok = (F.schema_of_variant(v) == EXPECTED_VARIANT_SCHEMA) & \
+        F.variant_get(v, "$.confidence_level", "string").isin(*CONFIDENCE_LEVELS)
     return (F.when(r.isNull(), F.lit("no_response"))
             .when(~F.coalesce(syntax_ok, F.lit(False)), F.lit("json_error"))
             .when(~F.coalesce(schema_ok, F.lit(False)), F.lit("schema_error")))
 
 
 def parse_and_validate(df: DataFrame, raw: str, prefix: str = "") -> DataFrame:
-    """Adds ``{prefix}valid``, ``{prefix}error`` and the six typed fields, all NULL unless valid."""
-    err = validation_error(raw)
-    out = df.withColumn(f"{prefix}error", err).withColumn(f"{prefix}valid", F.col(f"{prefix}error").isNull())
-    rec = F.when(F.col(f"{prefix}valid"), F.from_json(json_strip(F.col(raw)), RESPONSE_DDL))
-    return out.withColumn("__rec", rec).withColumns(
-        {f"{prefix}{k}": F.col("__rec").getField(k) for k in RESPONSE_KEYS}).drop("__rec")
+    """Adds ``{prefix}valid``, ``{prefix}error`` and the six typed fields, all NULL unless valid.
+
+    The fields are read from the same parsed variant (no second parse)."""
+    out = df.withColumn("__w", _wrapped(F.col(raw)))
+    out = out.withColumn(f"{prefix}error", validation_error(raw)).withColumn(f"{prefix}valid", F.col(f"{prefix}error").isNull())
+    fields = {}
+    for k in RESPONSE_KEYS:
+        t = "boolean" if k == "requires_human_review" else "string"
+        fields[f"{prefix}{k}"] = F.when(F.col(f"{prefix}valid"), F.variant_get(F.col("__w"), f"$[0].{k}", t))
+    return out.withColumns(fields).drop("__w")
 
 
 # ---------------------------------------------------------------- T12 / T14

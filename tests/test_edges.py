@@ -112,3 +112,14 @@ def test_json_validation(spark, raw, expected):
 def test_pii(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(has_pii("t").alias("p")).first()["p"] is expected
+
+
+@pytest.mark.parametrize("raw", [VALID + "}", VALID + "]}", VALID + ',"#end-of-response#"', VALID + "]]", "[" + VALID])
+def test_json_trailing_and_unbalanced(spark, raw):
+    r = X.parse_and_validate(spark.createDataFrame([(raw,)], "raw string"), "raw").first()
+    assert r["error"] == "json_error"
+
+
+def test_expected_variant_schema_matches_a_valid_response(spark):
+    got = spark.createDataFrame([(VALID,)], "j string").selectExpr("schema_of_variant(parse_json(j)) AS s").first()["s"]
+    assert got == X.EXPECTED_VARIANT_SCHEMA
