@@ -39,15 +39,16 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
     targets = n.select(*keys, "__n", pr).select(
         *keys, "prob", (F.floor(h) + 1).alias("k_lo"), (F.ceil(h) + 1).alias("k_hi"),
         (h - F.floor(h)).alias("frac"))
-    # targets: (groups x columns x probs) rows, each matched to the one histogram row whose
-    # cumulative count range covers its rank; the planner broadcasts it when AQE measures it small.
-    lo = cum.join(targets, keys).where((F.col("cum_cnt") - F.col("cnt") < F.col("k_lo")) & (F.col("k_lo") <= F.col("cum_cnt"))) \
-        .select(*keys, "prob", "frac", F.col("v").alias("x_lo"))
-    hi = cum.join(targets.select(*keys, "prob", "k_hi"), keys) \
-        .where((F.col("cum_cnt") - F.col("cnt") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum_cnt"))) \
-        .select(*keys, "prob", F.col("v").alias("x_hi"))
-    return lo.join(hi, [*keys, "prob"]).select(
-        *keys, "prob", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
+    # targets: (groups x columns x probs) rows. Each histogram row is matched to the targets
+    # whose rank falls in its cumulative-count range, in ONE join (both order statistics at
+    # once); the planner broadcasts the targets when AQE measures them small.
+    lo_hit = (F.col("cum_cnt") - F.col("cnt") < F.col("k_lo")) & (F.col("k_lo") <= F.col("cum_cnt"))
+    hi_hit = (F.col("cum_cnt") - F.col("cnt") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum_cnt"))
+    hits = cum.join(targets, keys).where(lo_hit | hi_hit)
+    picked = hits.groupBy(*keys, "prob", "frac").agg(F.max(F.when(lo_hit, F.col("v"))).alias("x_lo"),
+                                                     F.max(F.when(hi_hit, F.col("v"))).alias("x_hi"))
+    return picked.select(*keys, "prob",
+                         (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
 
 
 def quantile_wide(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
