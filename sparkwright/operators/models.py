@@ -199,7 +199,7 @@ def least_important(spark, model: PipelineModel, features: list[str], k: int) ->
 
 
 def out_of_fold_predictions(df: DataFrame, features: list[str], estimators: dict, fold: str = "fold",
-                            label: str = "label", key: str = "row_key", k: int = 5) -> DataFrame:
+                            label: str = "label", key: str = "row_key", k: int = 5, impute: bool = False) -> DataFrame:
     """Tall (model, fold, key, label, score): each fold scored by a model fit on the other folds.
 
     One fit per (model, fold) — a loop over folds, never over rows — and the union of
@@ -208,7 +208,7 @@ def out_of_fold_predictions(df: DataFrame, features: list[str], estimators: dict
     parts = []
     for name, est in estimators.items():
         for i in range(k):
-            m = pipeline(features, est).fit(df.where(F.col(fold) != i))
+            m = pipeline(features, est, impute=impute).fit(df.where(F.col(fold) != i))
             s = score(m, df.where(F.col(fold) == i), [key, label, fold])
             parts.append(s.withColumn("model", F.lit(name)))
     out = parts[0]

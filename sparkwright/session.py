@@ -60,6 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared checkpoint directory (never a local one)."""
+    """Reliable checkpoint in the shared checkpoint directory (never a local one).
+
+    The rows are persisted (memory, spilling to disk) while the checkpoint is written;
+    without that, writing the checkpoint files recomputes the whole lineage a second time.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
