@@ -162,23 +162,30 @@ def offline_response(prompt: str | Column, temperature: float | Column,
 
 
 def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: ResponderRules = DEFAULT_RULES,
-            responder=None) -> DataFrame:
+            responder=None, pii_col: str | None = None) -> DataFrame:
     """Gate then respond: blocked prompts get a NULL response and never reach the responder.
 
+    Adds ``out`` (raw text) and ``{out}_status``. ``pii_col`` names an existing PII flag for
+    the prompt (see ``pii_flag``) so several temperatures share one regex scan.
     ``responder``: optional ``fn(prompts: pandas.Series, temperature) -> pandas.Series`` of raw
     text (NULL on failure), run per Arrow batch with ``mapInPandas``.
     """
-    pii = has_pii(prompt)
-    gated = df.withColumn(f"{out}_pii", pii)
+    flag = pii_col or f"{out}_pii"
+    gated = df if pii_col else df.withColumn(flag, has_pii(prompt))
     if responder is None:
-        raw = F.when(~F.col(f"{out}_pii"), offline_response(F.col(prompt), temperature, rules))
-        gated = gated.withColumn(out, raw)
+        # Parse once into columns: inside CASE branches each reference would re-run the regex.
+        parsed = gated.withColumn("__prob", parsed_probability(F.col(prompt)))
+        parsed = parsed.withColumn("__cls", parsed_class(F.col(prompt), F.col("__prob")))
+        p, c = F.col("__prob"), F.col("__cls")
+        body = response_json(label_name(c, rules), confidence_tier(p, rules), next_step(c, temperature, rules),
+                             review_flag(c, p, rules), rules)
+        gated = parsed.withColumn(out, F.when(~F.col(flag), body)).drop("__prob", "__cls")
     else:
         schema = gated.schema.add(out, "string")
 
         def run(batches):
             for pdf in batches:
-                allowed = ~pdf[f"{out}_pii"].astype(bool)
+                allowed = ~pdf[flag].astype(bool)
                 res = [None] * len(pdf)
                 if allowed.any():
                     got = responder(pdf.loc[allowed, prompt], temperature)
@@ -187,7 +194,8 @@ def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: Res
                 pdf[out] = res
                 yield pdf
         gated = gated.mapInPandas(run, schema)
-    return gated.withColumn(f"{out}_status", guardrail_status(F.col(f"{out}_pii"), F.col(out))).drop(f"{out}_pii")
+    gated = gated.withColumn(f"{out}_status", guardrail_status(F.col(flag), F.col(out)))
+    return gated if pii_col else gated.drop(flag)
 
 
 # ---------------------------------------------------------------- T10 / T11

@@ -14,9 +14,9 @@ def _prompts(spark, d):
 
 
 def _responses(spark, d):
-    p = _prompts(spark, d)
-    p = X.respond(p, "prompt", 0.0, "raw_t0")
-    return X.respond(p, "prompt", 0.7, "raw_t07")
+    p = X.pii_flag(_prompts(spark, d), "prompt", "prompt_pii")  # one PII scan for both temperatures
+    p = X.respond(p, "prompt", 0.0, "raw_t0", pii_col="prompt_pii")
+    return X.respond(p, "prompt", 0.7, "raw_t07", pii_col="prompt_pii")
 
 
 def _raw_union(spark, d):
