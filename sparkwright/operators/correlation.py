@@ -40,14 +40,36 @@ def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def spearman(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
+def spearman(df: DataFrame, columns: list[str], buckets: int | None = None,
+             complete: bool | None = None) -> DataFrame:
     """Pearson of average ranks, ranks taken per pair over its pair-complete rows.
 
-    Rows are exploded into (pair, a, b) with both present; each side is ranked
-    within its pair by the bucketed histogram rank (no global sort), joined back
-    on (pair, value), and correlated per pair in one grouped aggregate.
+    ``complete`` says whether the columns are free of NULL/NaN; ``None`` checks with
+    one aggregate (a single row read). Without missing values every pair's complete
+    rows are all rows, so each column is ranked once and its rank is joined onto the
+    row by value (k joins of the table; small histograms are broadcast by AQE), and
+    one Pearson pass finishes. Otherwise rows are exploded into (pair, a, b) with
+    both present, each side is ranked within its pair by the bucketed histogram rank,
+    joined back on (pair, value), and correlated per pair in one grouped aggregate.
     """
     base = _clean(df, columns)
+    if complete is None:
+        row = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        complete = all(v == 0 for v in row)
+    if complete:
+        return _spearman_complete(base, columns, buckets)
+    return _spearman_pairwise(base, columns, buckets)
+
+
+def _spearman_complete(base: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
+    ranked = base
+    for c in columns:
+        r = average_rank(base.select(c), c, buckets=buckets).select(c, F.col("rank").alias(f"__r_{c}"))
+        ranked = ranked.join(r, c)
+    return pearson(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in columns]), columns)
+
+
+def _spearman_pairwise(base: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
     pairs = list(combinations(range(len(columns)), 2))
     tall = base.select(F.inline(F.array(*[
         F.struct(F.lit(p).alias("pair"), F.col(columns[i]).alias("va"), F.col(columns[j]).alias("vb"))
@@ -57,7 +79,7 @@ def spearman(df: DataFrame, columns: list[str], buckets: int | None = None) -> D
     ranked = tall.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
     per_pair = ranked.groupBy("pair").agg(
         F.try_divide(F.covar_samp("ra", "rb"), F.stddev_samp("ra") * F.stddev_samp("rb")).alias("value"))
-    names = df.sparkSession.createDataFrame(
+    names = base.sparkSession.createDataFrame(
         [(p, columns[i], columns[j], i, j) for p, (i, j) in enumerate(pairs)],
         "pair int, col_a string, col_b string, ord_a int, ord_b int")
     # names is k(k-1)/2 rows built from the column list (metadata), so broadcasting it is bounded.

@@ -30,7 +30,23 @@ def _spearman_rows() -> str:
     return " UNION ALL ".join(parts)
 
 
+_EV = ["event_id", "user_id", "value"]
+
+
+def _spearman_events() -> str:
+    parts = []
+    for i, j in combinations(range(3), 2):
+        a, b = _EV[i], _EV[j]
+        parts.append(f"""SELECT '{a}' AS col_a, '{b}' AS col_b,
+            round(covar_samp(ra, rb) / (stddev_samp(ra) * stddev_samp(rb)), 6) AS value FROM (
+              SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0::DOUBLE AS ra,
+                     rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0::DOUBLE AS rb
+              FROM events)""")
+    return " UNION ALL ".join(parts)
+
+
 SQL = {
+    "a11_spearman_complete": _spearman_events(),
     "r1_average_rank": """SELECT user_id, cnt::DOUBLE AS cnt, cum::DOUBLE AS cum, cum - (cnt - 1) / 2.0::DOUBLE AS rank FROM (
         SELECT user_id, cnt, sum(cnt) OVER (ORDER BY user_id) AS cum FROM (
           SELECT user_id, count(*) AS cnt FROM events WHERE user_id IS NOT NULL GROUP BY 1))""",

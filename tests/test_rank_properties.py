@@ -52,3 +52,15 @@ def test_exact_split_size_and_nested_prefixes(spark):
     small = {r["k"] for r in FE.nested_prefix(df, "k", 42, 0.2).collect()}
     big = {r["k"] for r in FE.nested_prefix(df, "k", 42, 0.6).collect()}
     assert len(small) == 199 and len(big) == 598 and small <= big
+
+
+def test_spearman_complete_path_equals_pairwise_path(spark):
+    from sparkwright.operators.correlation import spearman
+    from tests.conftest import SF001
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    cols = ["event_id", "user_id", "value"]
+    a = {(r["col_a"], r["col_b"]): r["value"] for r in spearman(ev, cols).collect()}
+    b = {(r["col_a"], r["col_b"]): r["value"] for r in spearman(ev, cols, complete=False).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    pdf = ev.select(*cols).toPandas().corr(method="spearman")
+    assert abs(a[("user_id", "value")] - pdf.loc["user_id", "value"]) < 1e-12
