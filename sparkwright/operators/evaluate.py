@@ -7,11 +7,11 @@ models or replicates is one job, not a loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwright.functions.hashing import hash_unit, poisson1
-from sparkwright.operators.ranking import average_rank, bucket_bounds, descending_cumulative
+from sparkwright.operators.ranking import assign_buckets, bucket_bounds, descending_cumulative, histogram
 
 
 def _d(c):
@@ -107,14 +107,28 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     """Exact ROC AUC by rank sum, ties count half: (sum rank+ - n1(n1+1)/2) / (n1 n0).
 
     Works on the (group, score) histogram with positives summed per score, so the
-    cost is the number of distinct scores, not rows. One class only -> NULL.
+    cost is the number of distinct scores, not rows. The rank sum never needs the
+    per-score ranks joined back: with scores cut into ordered buckets,
+    sum(pos * rank) = sum over buckets of (rows in earlier buckets * positives in the
+    bucket + the within-bucket part), so after the in-bucket window everything is
+    aggregated to (group, bucket) rows. One class only -> NULL.
     """
-    by = by or []
+    by = list(by or [])
     w = F.col(weight) if weight else F.lit(1)
-    h = average_rank(df, score, by, weight=weight, buckets=buckets, bounds=bounds,
-                     extra_sums={"pos": (w * F.col(label)).cast("double")})
-    a = h.groupBy(*by).agg(F.sum("pos").alias("n1"), F.sum("cnt").alias("n"),
-                           F.sum(F.col("pos") * F.col("rank")).alias("srank"))
+    h = histogram(df, score, by, weight, extra_sums={"pos": (w * F.col(label)).cast("double")})
+    hb = assign_buckets(h, score, by, buckets, bounds=bounds)
+    within = Window.partitionBy(*by, "__bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
+    hb = hb.withColumn("__run", F.sum("cnt").over(within))
+    # rank within the bucket (ties averaged) times positives at that score
+    part = F.col("pos") * (F.col("__run") - (F.col("cnt") - F.lit(1.0)) / F.lit(2.0))
+    per_bucket = hb.groupBy(*by, "__bucket").agg(F.sum(part).alias("__S"), F.sum("pos").alias("__P"),
+                                                 F.sum("cnt").alias("__N"))
+    # groups x buckets rows; this window covers at most the bucket count per group
+    before = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)])).orderBy("__bucket") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("__off", F.coalesce(F.sum("__N").over(before), F.lit(0.0)))
+    a = per_bucket.groupBy(*by).agg(F.sum("__P").alias("n1"), F.sum("__N").alias("n"),
+                                    F.sum(F.col("__off") * F.col("__P") + F.col("__S")).alias("srank"))
     n1, n0 = F.col("n1"), F.col("n") - F.col("n1")
     auc = F.when((n1 > 0) & (n0 > 0), (F.col("srank") - n1 * (n1 + F.lit(1.0)) / F.lit(2.0)) / (n1 * n0))
     return a.select(*by, auc.alias("auc"))

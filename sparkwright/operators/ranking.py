@@ -62,6 +62,23 @@ def _bounds_length(bounds: DataFrame) -> int:
     raise ValueError("bucket bounds must come from bucket_bounds() (array length is carried in metadata)")
 
 
+def assign_buckets(hist: DataFrame, order: str, by: list[str] | None, buckets: int | None = None,
+                   accuracy: int = 10000, bounds: DataFrame | None = None) -> DataFrame:
+    """Add ``__bucket``: the order-preserving slice of the group's distinct values a row falls in."""
+    by = list(by or [])
+    nb = min(buckets or _default_buckets(hist), MAX_BUCKETS)
+    if nb <= 1 and bounds is None:
+        return hist.withColumn("__bucket", F.lit(0))
+    if bounds is None:
+        bounds = bucket_bounds(hist, order, by, nb, accuracy)
+    keys = [c for c in bounds.columns if c != "__bounds"]
+    n_bounds = bounds.schema["__bounds"].metadata.get("n", None) or _bounds_length(bounds)
+    # One row per group: tiny for a parameter-sized group set. With groups the
+    # planner (AQE) picks broadcast only after measuring the table.
+    hb = hist.join(bounds, keys) if keys else hist.crossJoin(F.broadcast(bounds))
+    return hb.withColumn("__bucket", _count_below("__bounds", order, n_bounds)).drop("__bounds")
+
+
 def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str],
                buckets: int | None = None, accuracy: int = 10000, bounds: DataFrame | None = None) -> DataFrame:
     """Inclusive prefix sums ``cum_<s>`` of columns ``sums`` along ``order`` within ``by``.
@@ -71,19 +88,7 @@ def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str
     ``bounds`` (from ``bucket_bounds``) may be keyed by a subset of ``by``.
     """
     by = list(by or [])
-    nb = min(buckets or _default_buckets(hist), MAX_BUCKETS)
-    if nb <= 1 and bounds is None:
-        hb = hist.withColumn("__bucket", F.lit(0))
-    else:
-        if bounds is None:
-            bounds = bucket_bounds(hist, order, by, nb, accuracy)
-        keys = [c for c in bounds.columns if c != "__bounds"]
-        n_bounds = bounds.schema["__bounds"].metadata.get("n", None) or _bounds_length(bounds)
-        # One row per group: tiny for a parameter-sized group set. With groups the
-        # planner (AQE) picks broadcast only after measuring the table.
-        hb = hist.join(bounds, keys) if keys else hist.crossJoin(F.broadcast(bounds))
-        hb = hb.withColumn("__bucket", _count_below("__bounds", order, n_bounds)).drop("__bounds")
-
+    hb = assign_buckets(hist, order, by, buckets, accuracy, bounds)
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumns({f"__run_{s}": F.sum(s).over(within) for s in sums})
 
