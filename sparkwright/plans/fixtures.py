@@ -71,18 +71,24 @@ RETURNFLAG_LEVELS = ["N", "R", "A"]
 LINESTATUS_LEVELS = ["O", "F"]
 
 
-def lineitem_features(spark, sf_dir) -> DataFrame:
+def lineitem_base(spark, sf_dir) -> DataFrame:
+    """Key, encoded features, net and the seeded test flag (no label)."""
     from sparkwright.functions.encoding import ordinal_code
     from sparkwright.functions.hashing import hash_unit
     li = table(spark, sf_dir, "lineitem")
-    base = li.select(
+    return li.select(
         F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         ordinal_code("l_returnflag", RETURNFLAG_LEVELS).alias("rf_code"),
         ordinal_code("l_linestatus", LINESTATUS_LEVELS).alias("ls_code"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("net"))
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("net")) \
+        .withColumn("is_test", hash_unit("row_key", SEED) < F.lit(0.2))
+
+
+def lineitem_features(spark, sf_dir) -> DataFrame:
+    """``lineitem_base`` plus the binary label net > median(net) over the whole table."""
     from sparkwright.operators.features import median_label
-    return median_label(base, "net").withColumn("is_test", hash_unit("row_key", SEED) < F.lit(0.2))
+    return median_label(lineitem_base(spark, sf_dir), "net")
 
 
 LINEITEM_FEATURES_SQL = """lf0 AS (
@@ -156,7 +162,7 @@ LINEITEM_CORR_SQL = """lc AS (
 
 # ---- scored test rows with their features: input of the explanation stage
 def explain_input(spark, sf_dir) -> DataFrame:
-    lf = lineitem_features(spark, sf_dir).where("is_test")
+    lf = lineitem_base(spark, sf_dir).where("is_test")
     prob = F.round(1 / (1 + F.exp(-(F.col("l_extendedprice") - 36000.0) / 9000.0)), 6)
     return lf.select("row_key", *FEATURES, prob.alias("prob")).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
 
