@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-MAX_BUCKETS = 1024
+# Cap: the unrolled binary search is a nested CASE of 2 * buckets nodes; at 1024 the generated
+# code no longer compiles (Spark falls back to interpreted evaluation), at 256 it does.
+MAX_BUCKETS = 256
 
 
 def _default_buckets(df: DataFrame) -> int:
