@@ -107,6 +107,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach the balanced weight to every row. The weight table has K rows (classes)."""
+    """Attach the balanced weight to every row. The weight table has one row per class; no hint,
+    AQE broadcasts it after measuring (a label column with unbounded values would shuffle instead)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(w, label)
