@@ -29,9 +29,24 @@ def _pair_corr(a, b):
     return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
 
 
-def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All k(k-1)/2 pairs in ONE aggregate pass (partial aggregation per task)."""
+WIDE = 24  # above this many columns, null-free inputs use the Gramian path
+
+
+def pearson(df: DataFrame, columns: list[str], complete: bool | None = None) -> DataFrame:
+    """All k(k-1)/2 pairs in ONE aggregate pass (partial aggregation per task).
+
+    For more than ``WIDE`` columns without missing values the per-pair aggregate would
+    generate 3 expressions per pair; Spark ML's ``Correlation.corr`` computes the same
+    matrix from one distributed Gramian (tree aggregate), and its k x k result is bounded
+    by the column count. ``complete=None`` checks for missing values with one aggregate.
+    """
     base = _clean(df, columns)
+    if len(columns) > WIDE:
+        if complete is None:
+            row = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+            complete = all(v == 0 for v in row)
+        if complete:
+            return _pearson_gramian(base, columns)
     pairs = list(combinations(range(len(columns)), 2))
     one = base.agg(*[_pair_corr(F.col(columns[i]), F.col(columns[j])).alias(f"r{i}_{j}") for i, j in pairs])
     rows = [F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
@@ -40,6 +55,18 @@ def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def _pearson_gramian(base: DataFrame, columns: list[str]) -> DataFrame:
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=columns, outputCol="__v").transform(base).select("__v")
+    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    rows = [(columns[i], columns[j], i, j, None if math.isnan(m[i][j]) else float(m[i][j]))
+            for i, j in combinations(range(len(columns)), 2)]
+    return base.sparkSession.createDataFrame(rows, "col_a string, col_b string, ord_a int, ord_b int, value double")
+
+
 def spearman(df: DataFrame, columns: list[str], buckets: int | None = None,
              complete: bool | None = None) -> DataFrame:
     """Pearson of average ranks, ranks taken per pair over its pair-complete rows.
@@ -74,8 +101,9 @@ def _spearman_pairwise(base: DataFrame, columns: list[str], buckets: int | None)
     tall = base.select(F.inline(F.array(*[
         F.struct(F.lit(p).alias("pair"), F.col(columns[i]).alias("va"), F.col(columns[j]).alias("vb"))
         for p, (i, j) in enumerate(pairs)]))).where(F.col("va").isNotNull() & F.col("vb").isNotNull())
-    ra = average_rank(tall, "va", ["pair"], buckets=buckets).select("pair", "va", F.col("rank").alias("ra"))
-    rb = average_rank(tall, "vb", ["pair"], buckets=buckets).select("pair", "vb", F.col("rank").alias("rb"))
+    # groups are the k(k-1)/2 column pairs
+    ra = average_rank(tall, "va", ["pair"], buckets=buckets, few_groups=True).select("pair", "va", F.col("rank").alias("ra"))
+    rb = average_rank(tall, "vb", ["pair"], buckets=buckets, few_groups=True).select("pair", "vb", F.col("rank").alias("rb"))
     ranked = tall.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
     per_pair = ranked.groupBy("pair").agg(
         F.try_divide(F.covar_samp("ra", "rb"), F.stddev_samp("ra") * F.stddev_samp("rb")).alias("value"))

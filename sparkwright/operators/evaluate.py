@@ -116,7 +116,8 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     by = list(by or [])
     w = F.col(weight) if weight else F.lit(1)
     h = histogram(df, score, by, weight, extra_sums={"pos": (w * F.col(label)).cast("double")})
-    hb = assign_buckets(h, score, by, buckets, bounds=bounds)
+    # groups are evaluation groups (models, folds, splits, replicates): parameter-sized
+    hb = assign_buckets(h, score, by, buckets, bounds=bounds, few_groups=True)
     within = Window.partitionBy(*by, "__bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumn("__run", F.sum("cnt").over(within))
     # rank within the bucket (ties averaged) times positives at that score

@@ -61,7 +61,7 @@ def stratified_folds(df: DataFrame, key, label: str, k: int = 5, seed: int = 42,
     """Fold 0..k-1 per row; within each class the seeded order is dealt round-robin, so
     fold sizes per class differ by at most one (F6). Ranking is bucketed, not one task per class."""
     h = df.withColumn("__h", hash_order(key, seed))
-    ranks = average_rank(h, "__h", [label]).select(label, "__h", F.col("rank").alias("__r"))
+    ranks = average_rank(h, "__h", [label], few_groups=True).select(label, "__h", F.col("rank").alias("__r"))  # classes
     return (h.join(ranks, [label, "__h"])
             .withColumn(out, F.pmod(F.floor(F.col("__r")).cast("bigint") - 1, F.lit(k)).cast("int"))
             .drop("__h", "__r"))

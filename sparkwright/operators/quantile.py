@@ -32,7 +32,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
         F.struct(F.lit(c).alias("column_name"), _as_double(df, c).alias("v")) for c in columns])))
     keys = [*by, "column_name"]
     hist = histogram(tall, "v", keys)
-    cum = cumulative(hist, "v", keys, ["cnt"], buckets).select(*keys, "v", "cnt", "cum_cnt")
+    # without user groups the groups are the requested columns: parameter-sized
+    cum = cumulative(hist, "v", keys, ["cnt"], buckets, few_groups=not by).select(*keys, "v", "cnt", "cum_cnt")
     n = hist.groupBy(*keys).agg(F.sum("cnt").alias("__n"))
     pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
     h = F.col("prob") * (F.col("__n") - 1)
@@ -44,7 +45,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
     # once); the planner broadcasts the targets when AQE measures them small.
     lo_hit = (F.col("cum_cnt") - F.col("cnt") < F.col("k_lo")) & (F.col("k_lo") <= F.col("cum_cnt"))
     hi_hit = (F.col("cum_cnt") - F.col("cnt") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum_cnt"))
-    hits = cum.join(targets, keys).where(lo_hit | hi_hit)
+    # Without user groups the targets are (columns x probs) rows: broadcast, since a shuffle
+    # join on a handful of column names would put each column's histogram in one task.
+    hits = cum.join(F.broadcast(targets) if not by else targets, keys).where(lo_hit | hi_hit)
     picked = hits.groupBy(*keys, "prob", "frac").agg(F.max(F.when(lo_hit, F.col("v"))).alias("x_lo"),
                                                      F.max(F.when(hi_hit, F.col("v"))).alias("x_hi"))
     return picked.select(*keys, "prob",

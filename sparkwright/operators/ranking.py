@@ -65,8 +65,14 @@ def _bounds_length(bounds: DataFrame) -> int:
 
 
 def assign_buckets(hist: DataFrame, order: str, by: list[str] | None, buckets: int | None = None,
-                   accuracy: int = 10000, bounds: DataFrame | None = None) -> DataFrame:
-    """Add ``__bucket``: the order-preserving slice of the group's distinct values a row falls in."""
+                   accuracy: int = 10000, bounds: DataFrame | None = None, few_groups: bool = False) -> DataFrame:
+    """Add ``__bucket``: the order-preserving slice of the group's distinct values a row falls in.
+
+    The bounds table has one row of ``buckets - 1`` doubles per group. ``few_groups=True``
+    (the groups are parameter-sized: models, folds, replicates, column pairs, classes)
+    broadcasts it: a shuffle join on a handful of group keys would send each group's
+    whole histogram to one task. Otherwise AQE chooses after measuring it.
+    """
     by = list(by or [])
     nb = min(buckets or _default_buckets(hist), MAX_BUCKETS)
     if nb <= 1 and bounds is None:
@@ -77,12 +83,16 @@ def assign_buckets(hist: DataFrame, order: str, by: list[str] | None, buckets: i
     n_bounds = bounds.schema["__bounds"].metadata.get("n", None) or _bounds_length(bounds)
     # One row per group: tiny for a parameter-sized group set. With groups the
     # planner (AQE) picks broadcast only after measuring the table.
-    hb = hist.join(bounds, keys) if keys else hist.crossJoin(F.broadcast(bounds))
+    if not keys:
+        hb = hist.crossJoin(F.broadcast(bounds))
+    else:
+        hb = hist.join(F.broadcast(bounds) if few_groups else bounds, keys)
     return hb.withColumn("__bucket", _count_below("__bounds", order, n_bounds)).drop("__bounds")
 
 
 def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str],
-               buckets: int | None = None, accuracy: int = 10000, bounds: DataFrame | None = None) -> DataFrame:
+               buckets: int | None = None, accuracy: int = 10000, bounds: DataFrame | None = None,
+               few_groups: bool = False) -> DataFrame:
     """Inclusive prefix sums ``cum_<s>`` of columns ``sums`` along ``order`` within ``by``.
 
     ``hist`` must have one row per (by, order) value. No window ever spans a
@@ -90,7 +100,7 @@ def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str
     ``bounds`` (from ``bucket_bounds``) may be keyed by a subset of ``by``.
     """
     by = list(by or [])
-    hb = assign_buckets(hist, order, by, buckets, accuracy, bounds)
+    hb = assign_buckets(hist, order, by, buckets, accuracy, bounds, few_groups)
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumns({f"__run_{s}": F.sum(s).over(within) for s in sums})
 
@@ -119,7 +129,7 @@ def histogram(df: DataFrame, value: str, by: list[str] | None = None, weight: st
 
 def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight: str | None = None,
                  buckets: int | None = None, accuracy: int = 10000, extra_sums: dict | None = None,
-                 bounds: DataFrame | None = None) -> DataFrame:
+                 bounds: DataFrame | None = None, few_groups: bool = False) -> DataFrame:
     """Histogram ``(by..., value, cnt, [extra sums], cum, rank)`` with average ranks per group.
 
     ``weight`` counts a row ``weight`` times (bootstrap replicate weights);
@@ -128,7 +138,7 @@ def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight:
     """
     by = list(by or [])
     hist = histogram(df, value, by, weight, extra_sums)
-    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy, bounds).withColumnRenamed("cum_cnt", "cum")
+    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy, bounds, few_groups).withColumnRenamed("cum_cnt", "cum")
     return c.withColumn("rank", F.col("cum") - (F.col("cnt") - F.lit(1.0)) / F.lit(2.0))
 
 
@@ -174,7 +184,7 @@ def descending_cumulative(df: DataFrame, score: str, label: str, by: list[str] |
     by = list(by or [])
     neg = df.select(*by, F.negative(F.col(score)).alias("__ns"), F.col(label).cast("double").alias("__pos"))
     h = histogram(neg, "__ns", by, extra_sums={"pos": F.col("__pos")})
-    c = cumulative(h, "__ns", by, ["cnt", "pos"], buckets)
+    c = cumulative(h, "__ns", by, ["cnt", "pos"], buckets, few_groups=True)  # groups: models / splits
     return c.select(*by, F.negative("__ns").alias(score), F.col("cnt").alias("n_at_score"),
                     F.col("pos").alias("pos_at_score"), F.col("cum_pos").alias("tp"),
                     (F.col("cum_cnt") - F.col("cum_pos")).alias("fp"))

@@ -64,3 +64,13 @@ def test_spearman_complete_path_equals_pairwise_path(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
     pdf = ev.select(*cols).toPandas().corr(method="spearman")
     assert abs(a[("user_id", "value")] - pdf.loc["user_id", "value"]) < 1e-12
+
+
+def test_pearson_gramian_path_equals_aggregate_path(spark):
+    from sparkwright.operators import correlation as C
+    from tests.conftest import SF001
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey"]
+    a = {(r["col_a"], r["col_b"]): r["value"] for r in C.pearson(li, cols).collect()}
+    b = {(r["col_a"], r["col_b"]): r["value"] for r in C._pearson_gramian(li.select(*cols), cols).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
