@@ -247,12 +247,12 @@ def describe(df: DataFrame, columns: list[str] | None = None, method: str = "exa
 
 
 def quantiles(df: DataFrame, column: str, probs: list[float], by: list[str] | None = None,
-              method: str = "exact", accuracy: int = 10000) -> DataFrame:
+              method: str = "exact", accuracy: int = 10000, few_groups: bool | None = None) -> DataFrame:
     """Quantiles (linear interpolation, as pandas), optionally grouped; exact and distributed by default."""
     by = list(by or [])
     names = [f"p{round(p * 1000):03d}" for p in probs]
     if method == "exact":
-        return _pivot_probs(exact_quantiles(df, [column], probs, by), by, probs, names)
+        return _pivot_probs(exact_quantiles(df, [column], probs, by, few_groups=few_groups), by, probs, names)
     c = nan_to_null(column)
     q = F.percentile_approx(c, probs, accuracy) if method == "approx" \
         else F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
@@ -371,10 +371,11 @@ def min_max(df: DataFrame, column: str) -> DataFrame:
 
 
 def percentile_interval(df: DataFrame, column: str, lo: float = 0.025, hi: float = 0.975,
-                        by: list[str] | None = None) -> DataFrame:
+                        by: list[str] | None = None, few_groups: bool | None = None) -> DataFrame:
     """mean and the [lo, hi] percentile interval of a sample (A21 / V11), exact and distributed."""
     by = list(by or [])
-    q = _pivot_probs(exact_quantiles(df, [column], [lo, hi], by), by, [lo, hi], ["ci_low", "ci_high"])
+    q = _pivot_probs(exact_quantiles(df, [column], [lo, hi], by, few_groups=few_groups), by, [lo, hi],
+                     ["ci_low", "ci_high"])
     m = df.groupBy(*by).agg(F.avg(column).alias("mean"))
     return (m.join(q, by, "left") if by else m.crossJoin(q)).select(*by, "mean", "ci_low", "ci_high")
 

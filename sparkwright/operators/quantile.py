@@ -25,15 +25,19 @@ def _as_double(df: DataFrame, c: str):
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
-                    buckets: int | None = None) -> DataFrame:
-    """Tall (by..., column_name, prob, value): exact linear-interpolation quantiles; NULLs ignored."""
+                    buckets: int | None = None, few_groups: bool | None = None) -> DataFrame:
+    """Tall (by..., column_name, prob, value): exact linear-interpolation quantiles; NULLs ignored.
+
+    ``few_groups``: the ``by`` groups are known to be few (e.g. a handful of event types), so
+    the per-group tables are broadcast; by default they are only when there is no ``by``."""
     by = list(by or [])
+    few = (not by) if few_groups is None else few_groups
     tall = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), _as_double(df, c).alias("v")) for c in columns])))
     keys = [*by, "column_name"]
     hist = histogram(tall, "v", keys)
     # without user groups the groups are the requested columns: parameter-sized
-    cum = cumulative(hist, "v", keys, ["cnt"], buckets, few_groups=not by).select(*keys, "v", "cnt", "cum_cnt")
+    cum = cumulative(hist, "v", keys, ["cnt"], buckets, few_groups=few).select(*keys, "v", "cnt", "cum_cnt")
     n = hist.groupBy(*keys).agg(F.sum("cnt").alias("__n"))
     pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
     h = F.col("prob") * (F.col("__n") - 1)
@@ -47,7 +51,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
     hi_hit = (F.col("cum_cnt") - F.col("cnt") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum_cnt"))
     # Without user groups the targets are (columns x probs) rows: broadcast, since a shuffle
     # join on a handful of column names would put each column's histogram in one task.
-    hits = cum.join(F.broadcast(targets) if not by else targets, keys).where(lo_hit | hi_hit)
+    hits = cum.join(F.broadcast(targets) if few else targets, keys).where(lo_hit | hi_hit)
     picked = hits.groupBy(*keys, "prob", "frac").agg(F.max(F.when(lo_hit, F.col("v"))).alias("x_lo"),
                                                      F.max(F.when(hi_hit, F.col("v"))).alias("x_hi"))
     return picked.select(*keys, "prob",
@@ -55,10 +59,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
 
 
 def quantile_wide(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, few_groups: bool | None = None) -> DataFrame:
     """One row per group with ``{column}__q{j}`` for the j-th prob (for broadcasting back to rows)."""
     by = list(by or [])
-    t = exact_quantiles(df, columns, probs, by, buckets)
+    t = exact_quantiles(df, columns, probs, by, buckets, few_groups)
     aggs = [F.max(F.when((F.col("column_name") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(f"{c}__q{j}")
             for c in columns for j, p in enumerate(probs)]
     return t.groupBy(*by).agg(*aggs)

@@ -37,16 +37,16 @@ def histogram_table(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
                                                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
-def box_table(df: DataFrame, key: str, value: str, k: float = 1.5) -> DataFrame:
+def box_table(df: DataFrame, key: str, value: str, k: float = 1.5, few_groups: bool | None = None) -> DataFrame:
     """Per group: Q1, median, Q3, whiskers (extreme points within k*IQR of the box), flier count."""
     v = nan_to_null(value)
     base = df.where(F.col(key).isNotNull()).select(key, v.alias("v")).where(F.col("v").isNotNull())
-    q = quantile_wide(base, ["v"], [0.25, 0.5, 0.75], by=[key]).select(
+    q = quantile_wide(base, ["v"], [0.25, 0.5, 0.75], by=[key], few_groups=few_groups).select(
         key, F.col("v__q0").alias("q1"), F.col("v__q1").alias("median"), F.col("v__q2").alias("q3"))
     lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))
-    # q has one row per group; the planner broadcasts it when AQE measures it small.
-    j = base.join(q, key)
+    # q has one row per group: broadcast when the groups are known to be few, else AQE decides.
+    j = base.join(F.broadcast(q) if few_groups else q, key)
     return j.groupBy(key, "q1", "median", "q3").agg(
         F.min(F.when(F.col("v") >= lo, F.col("v"))).alias("whisker_low"),
         F.max(F.when(F.col("v") <= hi, F.col("v"))).alias("whisker_high"),

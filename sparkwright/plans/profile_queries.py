@@ -73,7 +73,8 @@ def a1_describe(spark, d):
 
 
 def a2_quantiles(spark, d):
-    return rounded(P.quantiles(table(spark, d, "events"), "value", [0.1, 0.25, 0.5, 0.75, 0.9], by=["event_type"]))
+    return rounded(P.quantiles(table(spark, d, "events"), "value", [0.1, 0.25, 0.5, 0.75, 0.9], by=["event_type"],
+                               few_groups=True))
 
 
 def a3_skewness(spark, d):
@@ -120,7 +121,7 @@ def a16_min_max(spark, d):
 
 
 def a21_percentile_interval(spark, d):
-    return rounded(P.percentile_interval(table(spark, d, "events"), "value", by=["event_type"]))
+    return rounded(P.percentile_interval(table(spark, d, "events"), "value", by=["event_type"], few_groups=True))
 
 
 def a22_mean_pop_std(spark, d):
