@@ -107,7 +107,7 @@ class RankSumAUC(Evaluator):
 
 
 # ---------------------------------------------------------------- pipelines
-def pipeline(features: list[str], estimator, impute: bool = True, scale: bool = True) -> Pipeline:
+def assemble_stages(features: list[str], estimator, impute: bool = True, scale: bool = True) -> Pipeline:
     stages = []
     if impute:
         stages.append(ExactMedianImputer(inputCols=features))
@@ -208,7 +208,7 @@ def out_of_fold_predictions(df: DataFrame, features: list[str], estimators: dict
     parts = []
     for name, est in estimators.items():
         for i in range(k):
-            m = pipeline(features, est, impute=impute).fit(df.where(F.col(fold) != i))
+            m = assemble_stages(features, est, impute=impute).fit(df.where(F.col(fold) != i))
             s = score(m, df.where(F.col(fold) == i), [key, label, fold])
             parts.append(s.withColumn("model", F.lit(name)))
     out = parts[0]
@@ -222,7 +222,7 @@ def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold:
     """CrossValidator over a parameter grid on the given folds, refit on all rows.
 
     Returns (fitted CrossValidatorModel, table of (params..., cv_auc))."""
-    pipe = pipeline(features, estimator)
+    pipe = assemble_stages(features, estimator)
     builder = ParamGridBuilder()
     for p, values in grid.items():
         builder = builder.addGrid(getattr(estimator, p), values)

@@ -75,7 +75,7 @@ SQL = {
         SELECT replicate, count(*) AS drawn_rows, CAST(sum(weight) AS BIGINT) AS total_weight FROM w WHERE weight > 0
         GROUP BY replicate""",
     "p7_drop_list_columns": f"WITH {LINEITEM_FEATURES_SQL} SELECT row_key, l_quantity, l_extendedprice, l_discount, rf_code FROM lf",
-    "f7_pipeline_transform": _F7_BASE + """
+    "f7_fitted_stages": _F7_BASE + """
         SELECT row_key, round((l_quantity - aq) / CASE WHEN sq > 0 THEN sq ELSE 1.0::DOUBLE END, 6) AS l_quantity,
                round((l_discount - ad) / CASE WHEN sd > 0 THEN sd ELSE 1.0::DOUBLE END, 6) AS l_discount,
                round((l_tax - atx) / CASE WHEN stx > 0 THEN stx ELSE 1.0::DOUBLE END, 6) AS l_tax FROM im, st""",

@@ -166,7 +166,7 @@ def p7_drop_list_columns(spark, d):
     return lineitem_features(spark, d).select("row_key", *keep)
 
 
-def f7_pipeline_transform(spark, d):
+def f7_fitted_stages(spark, d):
     """Imputer and scaler stages fitted on train rows as one pipeline, applied to every row."""
     from pyspark.ml import Pipeline
     from sparkwright.operators.models import ExactMedianImputer, PopulationStandardScaler

@@ -61,7 +61,7 @@ def _clf_model(spark, d, name):
         e = _classifiers(spark, d)[name]
     # As in the reference, models other than the tuned pipeline train on scaled features
     # without an imputation stage (the tuned pipeline imputes, see _grid / m17).
-    return _fit(spark, d, name, lambda tr: M.pipeline(FEATURES, e, impute=False))
+    return _fit(spark, d, name, lambda tr: M.assemble_stages(FEATURES, e, impute=False))
 
 
 def _test_preds(spark, d, names):
@@ -90,8 +90,8 @@ def _acc_table(spark, d, names):
 def _regressors(spark, d):
     train, test = _data(spark, d)
     n, sd = M.train_size_and_label_std(train, "net")
-    o = _fit(spark, d, "ols", lambda tr: M.pipeline(FEATURES, M.ols("net"), impute=False))
-    r = _fit(spark, d, "ridge", lambda tr: M.pipeline(FEATURES, M.ridge(1.0, n, sd, "net"), impute=False))
+    o = _fit(spark, d, "ols", lambda tr: M.assemble_stages(FEATURES, M.ols("net"), impute=False))
+    r = _fit(spark, d, "ridge", lambda tr: M.assemble_stages(FEATURES, M.ridge(1.0, n, sd, "net"), impute=False))
     return o, r
 
 
@@ -171,7 +171,7 @@ def m13_ablation(spark, d):
     drop = M.least_important(spark, full, FEATURES, len(FEATURES) // 2)
     keep = [f for f in FEATURES if f not in drop]
     reduced = _fit(spark, d, "random_forest_reduced",
-                   lambda tr: M.pipeline(keep, M.random_forest(100, 10, label="label_d"), impute=False))
+                   lambda tr: M.assemble_stages(keep, M.random_forest(100, 10, label="label_d"), impute=False))
     _, test = _data(spark, d)
     p = M.score(full, test, ["row_key", "label"]).withColumn("model", F.lit("full")).unionByName(
         M.score(reduced, test, ["row_key", "label"]).withColumn("model", F.lit("reduced")))
@@ -220,7 +220,7 @@ def m17_learning_curve(spark, d):
     for frac in (0.2, 0.4, 0.6, 0.8, 1.0):
         sub = FE.nested_prefix(train, "row_key", SEED, frac)
         est = M.random_forest(int(best["numTrees"]), int(best["maxDepth"]), label="label_d")
-        m = M.pipeline(FEATURES, est).fit(sub)
+        m = M.assemble_stages(FEATURES, est).fit(sub)
         tr = M.score(m, sub, ["label"]).withColumn("split", F.lit("train"))
         te = M.score(m, test, ["label"]).withColumn("split", F.lit("test"))
         rows.append(tr.unionByName(te).withColumn("fraction", F.lit(frac)))

@@ -76,7 +76,7 @@ def test_logistic_translation_matches_newton(spark, data):
 
 
 def test_pipeline_persistence_and_auc_evaluator(spark, data):
-    pipe = M.pipeline(FEATS, M.decision_tree(5, label="label"))
+    pipe = M.assemble_stages(FEATS, M.decision_tree(5, label="label"))
     model = pipe.fit(data)
     loaded = M.load_model(M.save_model(model, spark, "tree_test"))
     a = M.score(model, data, FEATS).withColumnRenamed("score", "s1")
@@ -88,7 +88,7 @@ def test_pipeline_persistence_and_auc_evaluator(spark, data):
 
 
 def test_ols_quality(spark, data):
-    model = M.pipeline(FEATS, M.ols("net"), impute=False).fit(data)
+    model = M.assemble_stages(FEATS, M.ols("net"), impute=False).fit(data)
     p = model.transform(data).select("net", F.col("prediction").alias("p"))
     r2 = V.regression_metrics(p, "net", "p").first()["r2"]
     assert r2 > 0.99
