@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwright.functions.text import has_pii, json_strip
 
@@ -181,7 +182,7 @@ def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: Res
                              review_flag(c, p, rules), rules)
         gated = parsed.withColumn(out, F.when(~F.col(flag), body)).drop("__prob", "__cls")
     else:
-        schema = gated.schema.add(out, "string")
+        schema = T.StructType(list(gated.schema.fields) + [T.StructField(out, T.StringType(), True)])
 
         def run(batches):
             for pdf in batches:

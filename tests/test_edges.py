@@ -123,3 +123,18 @@ def test_json_trailing_and_unbalanced(spark, raw):
 def test_expected_variant_schema_matches_a_valid_response(spark):
     got = spark.createDataFrame([(VALID,)], "j string").selectExpr("schema_of_variant(parse_json(j)) AS s").first()["s"]
     assert got == X.EXPECTED_VARIANT_SCHEMA
+
+
+def test_caller_supplied_responder_and_failed_status(spark):
+    """A responder runs per Arrow batch on non-blocked prompts only; None -> 'failed'."""
+    seen = []
+
+    def responder(prompts, temperature):
+        seen.extend(prompts.tolist())
+        return prompts.map(lambda p: None if "fail" in p else VALID)
+
+    df = spark.createDataFrame([(1, "explain a@b.com"), (2, "please fail"), (3, "explain")], "id int, p string")
+    rows = {r["id"]: r for r in X.respond(df, "p", 0.0, "raw", responder=responder).collect()}
+    assert rows[1]["raw_status"] == "blocked" and rows[1]["raw"] is None
+    assert rows[2]["raw_status"] == "failed" and rows[2]["raw"] is None
+    assert rows[3]["raw_status"] == "passed" and rows[3]["raw"] == VALID
