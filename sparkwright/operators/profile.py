@@ -58,7 +58,7 @@ def shape(df: DataFrame) -> DataFrame:
 def schema_table(df: DataFrame) -> DataFrame:
     """Schema as rows (ordinal, column, type). Built from metadata only."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "ordinal int, column string, type string")
+    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, type string")
 
 
 # ---------------------------------------------------------------- Q1 / Q2 / Q5 / Q8

@@ -16,6 +16,15 @@ def s3_shape(spark, d):
     return P.shape(table(spark, d, "lineitem"))
 
 
+def s3_schema(spark, d):
+    return P.schema_table(table(spark, d, "lineitem"))
+
+
+def s3_preview(spark, d):
+    from sparkwright.sources import preview
+    return preview(table(spark, d, "orders").orderBy("o_orderkey"), 5)
+
+
 def q1_null_profile(spark, d):
     return rounded(P.null_profile(lineitem_gaps(spark, d), GAPS_COLUMNS))
 
