@@ -135,11 +135,14 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     return a.select(*by, auc.alias("auc"))
 
 
-def roc_curve(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None,
+              drop_intermediate: bool = False) -> DataFrame:
     """ROC points (threshold, fpr, tpr) per group at every distinct score, descending, plus the
-    (inf, 0, 0) origin (V6). All points are kept (sklearn's drop_intermediate=False)."""
+    (inf, 0, 0) origin (V6). ``drop_intermediate`` keeps only corners, as sklearn does."""
     by = by or []
     cum = descending_cumulative(df, score, label, by)
+    if drop_intermediate:
+        cum = _corners(cum, score, by)
     tot = df.groupBy(*by).agg(F.sum(F.col(label).cast("double")).alias("__P"),
                               F.sum((1 - F.col(label)).cast("double")).alias("__N"))
     pts = cum.join(tot, by) if by else cum.crossJoin(F.broadcast(tot))
@@ -150,6 +153,34 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label", by: lis
     return origin.unionByName(pts)
 
 
+def _corners(cum: DataFrame, score: str, by: list[str]) -> DataFrame:
+    """Keep a point when the second difference of fp or tp (in descending score order) is
+    non-zero; the first and last points are always kept (sklearn's drop_intermediate).
+
+    Neighbours: lag/lead inside the point's score bucket, and at bucket edges the last
+    point of the previous bucket / first point of the next one (a groups x buckets table),
+    so no window spans a whole group.
+    """
+    pts = cum.select(*by, F.negative(F.col(score)).alias("__o"), score, "tp", "fp", "n_at_score", "pos_at_score")
+    hb = assign_buckets(pts, "__o", by, few_groups=True)
+    w = Window.partitionBy(*by, "__bucket").orderBy("__o")
+    hb = hb.withColumns({"__ptp": F.lag("tp").over(w), "__pfp": F.lag("fp").over(w),
+                         "__ntp": F.lead("tp").over(w), "__nfp": F.lead("fp").over(w)})
+    edges = hb.groupBy(*by, "__bucket").agg(
+        F.min_by(F.struct("tp", "fp"), "__o").alias("__first"), F.max_by(F.struct("tp", "fp"), "__o").alias("__last"))
+    wb = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)])).orderBy("__bucket")
+    edges = edges.select(*by, "__bucket", F.lag("__last").over(wb).alias("__prev_last"),
+                         F.lead("__first").over(wb).alias("__next_first"))
+    j = hb.join(F.broadcast(edges) if not by else edges, [*by, "__bucket"])
+    ptp = F.coalesce(F.col("__ptp"), F.col("__prev_last.tp"))
+    pfp = F.coalesce(F.col("__pfp"), F.col("__prev_last.fp"))
+    ntp = F.coalesce(F.col("__ntp"), F.col("__next_first.tp"))
+    nfp = F.coalesce(F.col("__nfp"), F.col("__next_first.fp"))
+    interior = ptp.isNotNull() & ntp.isNotNull()
+    bend = ((ntp - 2 * F.col("tp") + ptp) != 0) | ((nfp - 2 * F.col("fp") + pfp) != 0)
+    return j.where(~interior | bend).select(*by, score, "n_at_score", "pos_at_score", "tp", "fp")
+
+
 # ---------------------------------------------------------------- V8 / R4
 def threshold_sweep(df: DataFrame, thresholds: list[float], score: str = "score", label: str = "label",
                     by: list[str] | None = None, digits: int = 4) -> DataFrame:

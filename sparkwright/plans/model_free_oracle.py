@@ -142,6 +142,15 @@ SQL = {
         t AS (SELECT model, sum(label)::DOUBLE AS P, sum(1 - label)::DOUBLE AS N FROM pr GROUP BY model)
         SELECT model, score AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM c JOIN t USING (model)
         UNION ALL SELECT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM t""",
+    "v6_roc_corners": f"""WITH {SCORED_SQL}, h AS (SELECT model, score, count(*) AS cnt, sum(label) AS pos FROM pr GROUP BY ALL),
+        c AS (SELECT model, score, sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tp,
+                     sum(cnt - pos) OVER (PARTITION BY model ORDER BY score DESC) AS fp FROM h),
+        n AS (SELECT *, lag(tp) OVER w AS ptp, lag(fp) OVER w AS pfp, lead(tp) OVER w AS ntp, lead(fp) OVER w AS nfp
+              FROM c WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+        k AS (SELECT * FROM n WHERE ptp IS NULL OR ntp IS NULL OR ntp - 2 * tp + ptp <> 0 OR nfp - 2 * fp + pfp <> 0),
+        t AS (SELECT model, sum(label)::DOUBLE AS P, sum(1 - label)::DOUBLE AS N FROM pr GROUP BY model)
+        SELECT model, score AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM k JOIN t USING (model)
+        UNION ALL SELECT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM t""",
     "r5_descending_cumulative": f"""WITH {SCORED_SQL}, h AS (SELECT model, score, count(*)::DOUBLE AS n_at_score,
                                                           sum(label)::DOUBLE AS pos_at_score FROM pr GROUP BY ALL)
         SELECT model, score, n_at_score, pos_at_score,

@@ -107,6 +107,10 @@ def v6_roc_curve(spark, d):
     return rounded(V.roc_curve(scored(spark, d), by=["model"]))
 
 
+def v6_roc_corners(spark, d):
+    return rounded(V.roc_curve(scored(spark, d), by=["model"], drop_intermediate=True))
+
+
 def r5_descending_cumulative(spark, d):
     from sparkwright.operators.ranking import descending_cumulative
     return descending_cumulative(scored(spark, d), "score", "label", ["model"])

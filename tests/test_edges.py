@@ -138,3 +138,10 @@ def test_caller_supplied_responder_and_failed_status(spark):
     assert rows[1]["raw_status"] == "blocked" and rows[1]["raw"] is None
     assert rows[2]["raw_status"] == "failed" and rows[2]["raw"] is None
     assert rows[3]["raw_status"] == "passed" and rows[3]["raw"] == VALID
+
+
+def test_roc_drop_intermediate(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.7, 0), (0.6, 0)], "score double, label int")
+    pts = V.roc_curve(df, drop_intermediate=True).orderBy(F.col("threshold").desc()).collect()
+    assert [r["threshold"] for r in pts] == [float("inf"), 0.9, 0.8, 0.6]
+    assert [(r["fpr"], r["tpr"]) for r in pts] == [(0.0, 0.0), (0.0, 0.5), (0.0, 1.0), (1.0, 1.0)]
