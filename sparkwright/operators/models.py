@@ -198,19 +198,28 @@ def least_important(spark, model: PipelineModel, features: list[str], k: int) ->
     return [f for f, _ in imp[:k]]
 
 
+def fit_all(jobs: list, parallelism: int = 4) -> list:
+    """Run independent fits ``[(pipeline, frame), ...]`` concurrently (as CrossValidator's
+    ``parallelism`` does): each fit is its own set of Spark jobs, and small fits leave most
+    executor slots idle when run one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(lambda job: job[0].fit(job[1]), jobs))
+
+
 def out_of_fold_predictions(df: DataFrame, features: list[str], estimators: dict, fold: str = "fold",
-                            label: str = "label", key: str = "row_key", k: int = 5, impute: bool = False) -> DataFrame:
+                            label: str = "label", key: str = "row_key", k: int = 5, impute: bool = False,
+                            parallelism: int = 4) -> DataFrame:
     """Tall (model, fold, key, label, score): each fold scored by a model fit on the other folds.
 
-    One fit per (model, fold) — a loop over folds, never over rows — and the union of
-    all out-of-fold predictions is evaluated in one grouped job.
+    One fit per (model, fold), run ``parallelism`` at a time — a loop over folds, never over
+    rows — and the union of all out-of-fold predictions is evaluated in one grouped job.
     """
-    parts = []
-    for name, est in estimators.items():
-        for i in range(k):
-            m = assemble_stages(features, est, impute=impute).fit(df.where(F.col(fold) != i))
-            s = score(m, df.where(F.col(fold) == i), [key, label, fold])
-            parts.append(s.withColumn("model", F.lit(name)))
+    plan = [(name, i) for name in estimators for i in range(k)]
+    models = fit_all([(assemble_stages(features, estimators[name], impute=impute), df.where(F.col(fold) != i))
+                      for name, i in plan], parallelism)
+    parts = [score(m, df.where(F.col(fold) == i), [key, label, fold]).withColumn("model", F.lit(name))
+             for (name, i), m in zip(plan, models)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

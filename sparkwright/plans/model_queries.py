@@ -216,11 +216,12 @@ def m17_learning_curve(spark, d):
     train, test = _data(spark, d)
     cvm, table = _grid(spark, d)
     best = table.orderBy(F.col("cv_auc").desc(), *list(_GRID)).first()
+    fracs = (0.2, 0.4, 0.6, 0.8, 1.0)
+    subs = [FE.nested_prefix(train, "row_key", SEED, f) for f in fracs]
+    est = [M.random_forest(int(best["numTrees"]), int(best["maxDepth"]), label="label_d") for _ in fracs]
+    models = M.fit_all([(M.assemble_stages(FEATURES, e), sub) for e, sub in zip(est, subs)])
     rows = []
-    for frac in (0.2, 0.4, 0.6, 0.8, 1.0):
-        sub = FE.nested_prefix(train, "row_key", SEED, frac)
-        est = M.random_forest(int(best["numTrees"]), int(best["maxDepth"]), label="label_d")
-        m = M.assemble_stages(FEATURES, est).fit(sub)
+    for frac, sub, m in zip(fracs, subs, models):
         tr = M.score(m, sub, ["label"]).withColumn("split", F.lit("train"))
         te = M.score(m, test, ["label"]).withColumn("split", F.lit("test"))
         rows.append(tr.unionByName(te).withColumn("fraction", F.lit(frac)))
