@@ -82,10 +82,22 @@ def spearman(df: DataFrame, columns: list[str], buckets: int | None = None,
     base = _clean(df, columns)
     if complete is None:
         row = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-        complete = all(v == 0 for v in row)
-    if complete:
+        full = [c for c, n in zip(columns, row) if n == 0]
+    else:
+        full = list(columns) if complete else []
+    if len(full) == len(columns):
         return _spearman_complete(base, columns, buckets)
-    return _spearman_pairwise(base, columns, buckets)
+    # Pairs of two null-free columns share global ranks; only pairs with a nullable
+    # column need ranks over their own pair-complete rows.
+    pairs = [(i, j) for i, j in combinations(range(len(columns)), 2)
+             if not (columns[i] in full and columns[j] in full)]
+    out = _spearman_pairwise(base, columns, buckets, pairs)
+    if len(full) >= 2:
+        ordinal = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
+        fast = _spearman_complete(base.select(*full), full, buckets).select(
+            "col_a", "col_b", ordinal[F.col("col_a")].alias("ord_a"), ordinal[F.col("col_b")].alias("ord_b"), "value")
+        out = out.unionByName(fast)
+    return out
 
 
 def _spearman_complete(base: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
@@ -96,8 +108,9 @@ def _spearman_complete(base: DataFrame, columns: list[str], buckets: int | None)
     return pearson(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in columns]), columns)
 
 
-def _spearman_pairwise(base: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
-    pairs = list(combinations(range(len(columns)), 2))
+def _spearman_pairwise(base: DataFrame, columns: list[str], buckets: int | None,
+                       pairs: list[tuple[int, int]] | None = None) -> DataFrame:
+    pairs = pairs if pairs is not None else list(combinations(range(len(columns)), 2))
     tall = base.select(F.inline(F.array(*[
         F.struct(F.lit(p).alias("pair"), F.col(columns[i]).alias("va"), F.col(columns[j]).alias("vb"))
         for p, (i, j) in enumerate(pairs)]))).where(F.col("va").isNotNull() & F.col("vb").isNotNull())
