@@ -145,3 +145,15 @@ def test_roc_drop_intermediate(spark):
     pts = V.roc_curve(df, drop_intermediate=True).orderBy(F.col("threshold").desc()).collect()
     assert [r["threshold"] for r in pts] == [float("inf"), 0.9, 0.8, 0.6]
     assert [(r["fpr"], r["tpr"]) for r in pts] == [(0.0, 0.0), (0.0, 0.5), (0.0, 1.0), (1.0, 1.0)]
+
+
+def test_stage_scan_names_missing_stage(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="profile and clean"):
+        S.read_stage(spark, str(tmp_path / "nope"), "profile and clean")
+
+
+def test_category_domain_refuses_high_cardinality(spark):
+    df = spark.range(0, 500).select(F.col("id").cast("string").alias("c"))
+    assert P.category_domain(df, "c", max_levels=500).count() == 500
+    with pytest.raises(ValueError, match="max_levels"):
+        P.category_domain(df, "c", max_levels=100)
