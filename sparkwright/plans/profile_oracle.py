@@ -30,11 +30,11 @@ def _fill_sql(src: str, cols: list[str], guarded: bool) -> str:
 
 SQL = {
     "s3_shape": "SELECT count(*) AS rows, 11 AS columns FROM lineitem",
-    "s3_schema": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name,
-        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    "s3_schema": """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, column_name,
+        CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
              WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-             WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(data_type) END AS type
-        FROM information_schema.columns WHERE table_name = 'lineitem'""",
+             WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(column_type) END AS type
+        FROM (DESCRIBE lineitem)""",
     "s3_preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "q1_null_profile": f"WITH {LINEITEM_GAPS_SQL} " + _null_profile_sql("lg", _GAPS),
     "q2_high_null_columns": f"WITH {LINEITEM_GAPS_SQL}, np AS ({_null_profile_sql('lg', _GAPS)}) "
