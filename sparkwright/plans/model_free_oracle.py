@@ -35,8 +35,9 @@ diffs AS (SELECT replicate, auc_a, auc_b, auc_a - auc_b AS diff FROM boot WHERE
 ci AS (SELECT avg(diff) AS mean, quantile_cont(diff, 0.025) AS ci_low, quantile_cont(diff, 0.975) AS ci_high,
               count(diff) AS replicates FROM diffs)"""
 
-_COUNTS = """SELECT model, count_if(label = 1 AND pred = 1) AS tp, count_if(label = 0 AND pred = 1) AS fp,
-                    count_if(label = 1 AND pred = 0) AS fn, count_if(label = 0 AND pred = 0) AS tn FROM pr GROUP BY model"""
+_COUNTS = """SELECT model, CAST(count_if(label = 1 AND pred = 1) AS BIGINT) AS tp, CAST(count_if(label = 0 AND pred = 1) AS BIGINT) AS fp,
+                    CAST(count_if(label = 1 AND pred = 0) AS BIGINT) AS fn, CAST(count_if(label = 0 AND pred = 0) AS BIGINT) AS tn
+             FROM pr GROUP BY model"""
 
 
 def _prf(tp, fp, fn):

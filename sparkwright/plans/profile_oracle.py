@@ -8,7 +8,7 @@ _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "qty_sparse"]
 
 def _null_profile_sql(src: str, cols: list[str]) -> str:
     parts = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {i} AS ordinal, count_if({c} IS NULL) AS null_count, count(*) AS n FROM {src}"
+        f"SELECT '{c}' AS column_name, {i} AS ordinal, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, count(*) AS n FROM {src}"
         for i, c in enumerate(cols))
     return f"""SELECT column_name, null_count, round(null_count * 100.0::DOUBLE / n, 6) AS null_pct
                FROM ({parts}) ORDER BY null_pct DESC, ordinal"""
@@ -106,7 +106,7 @@ SQL = {
         SELECT round(max(mean) / min(mean), 6) AS ratio FROM g""",
     "a14_imputation_comparison": f"WITH {LINEITEM_GAPS_SQL}, t AS (" + " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, {i} AS o, skewness({c}) AS skew, avg({c}) AS mean, quantile_cont({c}, 0.5)::DOUBLE AS median,
-                   count_if({c} IS NULL) AS nulls_before FROM lg""" for i, c in enumerate(_NUM))
+                   CAST(count_if({c} IS NULL) AS BIGINT) AS nulls_before FROM lg""" for i, c in enumerate(_NUM))
         + ") SELECT column_name, round(skew, 6) AS skew, round(mean, 6) AS mean, round(median, 6) AS median, nulls_before "
           "FROM t ORDER BY abs(skew) DESC NULLS LAST, o LIMIT 2",
     "a15_value_counts": "SELECT l_quantity, count(*) AS count FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1",

@@ -83,7 +83,7 @@ SQL = {
         SELECT event_type, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
                round(min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
                round(max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
-               count_if(v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS fliers
+               CAST(count_if(v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS fliers
         FROM b JOIN q USING (event_type) GROUP BY event_type, q1, median, q3""",
     "a19_ordered_series": """WITH n AS (SELECT count(*) AS n FROM orders),
         p AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS pos FROM orders)

@@ -61,3 +61,19 @@ def test_rows_only_queries_run(spark, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 5 and set(df.columns) == {"o_orderpriority", "mean", "std", "count"}
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "array<double>": "DOUBLE[]", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_output_types_match_duckdb(spark, con):
+    """Same column types on both sides (e.g. no HUGEINT counts or DECIMAL literals in a twin)."""
+    bad = {}
+    for name in sorted(SQL):
+        df = E.queries()[name](spark, SF001)
+        st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+        dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+        if st != dt:
+            bad[name] = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
+    assert not bad, bad
