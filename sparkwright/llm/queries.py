@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkwright.llm import credentials, mixture, ring_shards
+from sparkwright.llm import credentials, langid, mixture, pii_anchors, ring_shards, simhash, trie_tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -15,6 +15,14 @@ def op2_secrets(spark, sf_dir):
     return credentials.scan(_documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
+def op3_token_counts(spark, sf_dir):
+    return trie_tokens.count_tokens(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op6_pii(spark, sf_dir):
+    return pii_anchors.scan(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_sharding(spark, sf_dir):
     """Law ``rows``: ring capacities make the shards' row counts differ by at most one."""
     docs = _documents(spark, sf_dir, "doc_id", "text").select(
@@ -29,5 +37,14 @@ def op8_mixing(spark, sf_dir):
     return mixture.taken_words(_documents(spark, sf_dir, "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op7_sharding, op8_mixing)}
+def op9_fingerprints(spark, sf_dir):
+    return simhash.edited_pairs(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op10_language(spark, sf_dir):
+    return langid.identify(_documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_token_counts, op6_pii, op7_sharding, op8_mixing, op9_fingerprints,
+                                   op10_language)}
 SQL: dict[str, str] = {}
