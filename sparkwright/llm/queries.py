@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkwright.llm import credentials, langid, mixture, pii_anchors, ring_shards, simhash, trie_tokens
+from sparkwright.llm import bagminhash, credentials, decontaminate, langid, mixture, pii_anchors, ring_shards, simhash, trie_tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op3_token_counts(spark, sf_dir):
     return trie_tokens.count_tokens(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op4_decontamination(spark, sf_dir):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.matches(_documents(spark, sf_dir, "doc_id", "text"), bench)
+
+
+def op5_near_duplicates(spark, sf_dir):
+    return bagminhash.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_pii(spark, sf_dir):
     return pii_anchors.scan(_documents(spark, sf_dir, "doc_id", "text"))
 
@@ -45,6 +54,6 @@ def op10_language(spark, sf_dir):
     return langid.identify(_documents(spark, sf_dir, "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_token_counts, op6_pii, op7_sharding, op8_mixing, op9_fingerprints,
-                                   op10_language)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_token_counts, op4_decontamination, op5_near_duplicates, op6_pii, op7_sharding, op8_mixing,
+                                   op9_fingerprints, op10_language)}
 SQL: dict[str, str] = {}

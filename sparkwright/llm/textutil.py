@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 DEFAULT_PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -45,3 +47,45 @@ def train_row(doc_id, mod: int, held: int):
     from pyspark.sql import functions as F
     crc = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     return (crc % mod) == held
+
+
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_MUL = 0x9E3779B97F4A7C15
+
+
+class WordHashes(dict):
+    """64-bit hash of each word, made once; with strip, ASCII punctuation around a word does not count (0: nothing left)."""
+
+    def __init__(self, strip: bool = False, bound: int = 400_000):
+        super().__init__()
+        self.strip, self.bound = strip, bound
+
+    def __missing__(self, word: bytes) -> int:
+        kept = word.strip(PUNCTUATION) if self.strip else word
+        h = self[word] = (xxh3_64_intdigest(kept) | 1) if kept else 0
+        return h
+
+    def of(self, text: bytes) -> np.ndarray:
+        if len(self) > self.bound:
+            self.clear()
+        words = words_of(text)
+        h = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        return h[h != 0] if self.strip else h
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Finalising mix of 64-bit values (the splitmix64 steps)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every run of k words; one run of all words if there are fewer, none if there are no words."""
+    k = min(k, len(words))
+    if k == 0:
+        return words
+    h = np.zeros(len(words) - k + 1, np.uint64)
+    for i in range(k):
+        h = h * np.uint64(_MUL) + words[i:len(words) - k + 1 + i]
+    return mixed(h + np.uint64(k))
