@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkwright.llm import bagminhash, credentials, decontaminate, langid, mixture, pii_anchors, ring_shards, simhash, trie_tokens
+from sparkwright.llm import bagminhash, credentials, decontaminate, langid, lm_mixing, mixture, pii_anchors, ring_shards, simhash, trie_tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*cols)
 
 
+def op1_lm_scoring(spark, sf_dir):
+    return lm_mixing.score_documents(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op2_secrets(spark, sf_dir):
     return credentials.scan(_documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
@@ -54,6 +58,7 @@ def op10_language(spark, sf_dir):
     return langid.identify(_documents(spark, sf_dir, "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_token_counts, op4_decontamination, op5_near_duplicates, op6_pii, op7_sharding, op8_mixing,
-                                   op9_fingerprints, op10_language)}
+QUERIES = {f.__name__: f for f in (
+    op1_lm_scoring, op2_secrets, op3_token_counts, op4_decontamination, op5_near_duplicates, op6_pii, op7_sharding, op8_mixing,
+    op9_fingerprints, op10_language)}
 SQL: dict[str, str] = {}
