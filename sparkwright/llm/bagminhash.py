@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sparkwright.session import cut_lineage
-from sparkwright.llm.textutil import WordHashes, mixed, shingles, slices, texts_of
+from sparkwright.llm.textutil import WordHashes, mixed, shingles, slices, texts_of, whole_row
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5            # a pair at similarity 0.8 shares a band with probability 0.99995
@@ -261,7 +261,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
         .select(F.col("r.doc_id").alias("_id"), F.col("r.k").alias("_k"))
     repeats = found.groupBy("doc_id", "k").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("doc_id", "_id2").withColumnRenamed("k", "_k2")
     kept = kept.join(repeats, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_k") == F.col("_k2"))).select("_id", "_k", "_n")
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    chosen = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")))
-    once = chosen.where("_n = 1").select(*docs.columns)
-    return once.unionByName(chosen.where("_n > 1").dropDuplicates(["_id", "_k"]).select(*docs.columns))
+    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("_own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
+    chosen = keyed.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")))
+    once = chosen.where("_n = 1").select("_row.*")
+    return once.unionByName(chosen.where("_n > 1").dropDuplicates(["_id", "_k"]).select("_row.*"))

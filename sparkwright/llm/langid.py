@@ -19,6 +19,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sparkwright.llm.textutil import DEFAULT_PIECES, piece_vocabulary, slices, texts_of, train_row, words_of
 
@@ -217,12 +218,12 @@ def train(docs: DataFrame, held_out, per_language: int = PER_LANGUAGE, pieces_pa
     return languages, pieces, fit(pieces, words, weights)
 
 
-def predict(docs: DataFrame, model, pieces_path: str = DEFAULT_PIECES) -> DataFrame:
-    """docs (any columns, text among them) with lang_pred and score; no shuffle."""
+def predict(docs: DataFrame, model, pieces_path: str = DEFAULT_PIECES, names: tuple = ("lang_pred", "score")) -> DataFrame:
+    """docs (any columns, text among them) with the prediction and its score under the given names; no shuffle."""
     languages, _, prob = model
     sent = docs.sparkSession.sparkContext.broadcast((languages, piece_vocabulary(pieces_path), prob.astype(np.float32)))
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = docs.select(*[f.name for f in kept]).schema.add("lang_pred", "string").add("score", "double")
+    docs = docs.drop(*names)
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
 
     def run(batches):
         languages, vocabulary, prob = sent.value
@@ -254,9 +255,16 @@ def predict(docs: DataFrame, model, pieces_path: str = DEFAULT_PIECES) -> DataFr
                     known.clear()
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())],
-                    names=[*batch.schema.names, "lang_pred", "score"])
+                    names=[*batch.schema.names, *names])
 
-    return docs.select(*[f.name for f in kept]).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of docs whose language is told with a score of at least ``least``, all columns kept."""
+    model = train(docs.select("doc_id", "text", "lang"), train_row(F.col("doc_id"), 3, 1))
+    names = ("_lang_pred", "_lang_score")
+    return predict(docs, model, names=names).where(f"{names[0]} <> 'und' and {names[1]} >= {least}").drop(*names)
 
 
 def identify(docs: DataFrame) -> DataFrame:

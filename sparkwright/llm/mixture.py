@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkwright.llm.textutil import whole_row
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BUCKETS = 256          # stretches a source's documents are split into for prefix sums
@@ -169,19 +171,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     _, parts, _, _ = mix(docs, **options)
     spans = parts.groupBy("doc_id", "h", "copy", "size").agg(
-        F.array_sort(F.collect_list(F.struct("from_word", "n", "uses"))).alias("_p"))
-    spans = spans.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.array_max("_p.uses")))) \
-        .withColumn("_q", F.filter("_p", lambda x: x["uses"] >= F.col("_pass"))) \
-        .withColumn("_n", F.aggregate("_q", F.lit(0).cast("long"), lambda a, x: a + x["n"])) \
-        .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("copy").alias("_c"), "size", "_q", "_n")
-    same = Window.partitionBy("doc_id", "_th").orderBy(F.lit(1))
-    keyed = docs.withColumn("_th", F.xxhash64("text")).withColumn("_copy", F.row_number().over(same) - 1)
-    got = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h"))
-                     & (F.col("_copy") == F.col("_c")))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("_q", lambda x: F.slice(
+        F.array_sort(F.collect_list(F.struct("from_word", "n", "uses"))).alias("p"))
+    spans = spans.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.array_max("p.uses")))) \
+        .withColumn("q", F.filter("p", lambda x: x["uses"] >= F.col("pass"))) \
+        .withColumn("n", F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x["n"])) \
+        .select(F.xxhash64("doc_id", "h").alias("k"), "copy", "size", "q", "n")
+    # rows that are equal in doc_id and text are numbered; the window and the join share one shuffle by k
+    same = Window.partitionBy("k").orderBy(F.lit(1))
+    keyed = docs.select(whole_row(docs), F.xxhash64("doc_id", F.xxhash64("text")).alias("k")) \
+        .withColumn("own", F.row_number().over(same) - 1)
+    got = keyed.join(spans, "k").where(F.col("own") - F.col("copy") == 0)
+    words = F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.flatten(F.transform("q", lambda x: F.slice(
         words, (x["from_word"] + 1).cast("int"), x["n"].cast("int")))), " ")
-    out = got.withColumn("text", F.when(F.col("_n") == F.col("size"), F.col("text")).otherwise(cut))
+    text = F.when(F.col("n") == F.col("size"), F.col("_row.text")).otherwise(cut)
+    made = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return got.select(*[made.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

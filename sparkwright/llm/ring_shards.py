@@ -20,6 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sparkwright.llm.textutil import whole_row
+
 CELLS = 1 << 14
 LANES = 8
 
@@ -88,11 +90,11 @@ def _segments(counts: np.ndarray, n_shards: int, vnodes: int, seed: int) -> pd.D
 
 
 def assign(df: DataFrame, n_shards: int, key_cols: list[str], vnodes: int = 64, seed: int = 0) -> DataFrame:
-    """df with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard)."""
-    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    """df with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard); columns of these names are replaced."""
     spark = df.sparkSession
+    df = df.drop("shard", "slot")
     keyed = df.select(
-        F.struct(*kept).alias("_row"), F.xxhash64(*key_cols, F.lit(seed)).alias("_h"),
+        whole_row(df), F.xxhash64(*key_cols, F.lit(seed)).alias("_h"),
         F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).alias("_lane"),
     ).withColumn("_cell", F.pmod("_h", F.lit(CELLS)))
     counts = np.zeros((CELLS, LANES), int)
@@ -100,7 +102,7 @@ def assign(df: DataFrame, n_shards: int, key_cols: list[str], vnodes: int = 64,
         counts[r["_cell"], r["_lane"]] = r["count"]
     segs = _segments(counts, n_shards, vnodes, seed)
     if segs.empty:
-        return df.select(*kept, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
+        return df.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).limit(0)
     segs = (segs.groupby(["_cell", "_lane"])[["_lo", "_hi", "_shard", "_slot"]]
             .apply(lambda g: g.values.tolist()).rename("_segs").reset_index())
     table = spark.createDataFrame(segs, "_cell long, _lane long, _segs array<array<long>>")

@@ -89,3 +89,9 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         h = h * np.uint64(_MUL) + words[i:len(words) - k + 1 + i]
     return mixed(h + np.uint64(k))
+
+
+def whole_row(df, name: str = "_row"):
+    """All columns of df as one struct, so that columns added beside it cannot clash with theirs."""
+    from pyspark.sql import functions as F
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
