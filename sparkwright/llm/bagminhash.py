@@ -14,7 +14,7 @@ yet are compared exactly (multiset Jaccard >= 0.8) and the classes are the conne
 ``CHUNK`` different texts are verified in chunks; every connected part then sends up to ``REPS`` members to the next
 round, until a group fits one chunk; when rounds stop shrinking a group, its chunks are compared pairwise.
 
-Defined cases: null text is empty, and all empty texts are equal; fewer than five words are one shingle; equal texts
+Defined cases: null text is empty, and all texts without words are equal; fewer than five words are one shingle; equal texts
 (whatever their doc_id) are one class; class_id is the least doc_id of the class, null if all are null; an empty
 table gives no rows.
 """
@@ -90,6 +90,11 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _key():
+    """Hash of the text; a text without words counts as the empty text."""
+    return F.xxhash64(F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("text")).otherwise(""))
+
+
 def _sign(docs: DataFrame) -> DataFrame:
     """doc_id, k (hash of the text), bands (null for a text without words)."""
     def run(batches):
@@ -104,7 +109,7 @@ def _sign(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(
                     offsets, pa.array(keys[has].ravel()))], names=["doc_id", "k", "bands"])
 
-    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text").mapInArrow(
+    return docs.select("doc_id", _key().alias("k"), "text").mapInArrow(
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, k long, bands array<long>")
 
 
@@ -237,7 +242,7 @@ def classes(docs: DataFrame) -> DataFrame:
     leaders = bucket.groupBy("h").agg(F.min("k").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     edges = bucket.join(leaders, "h").where("k <> b").select(F.col("k").alias("a"), "b").distinct()
     labels = components(edges)
-    text = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+    text = docs.select(_key().alias("k"), "text")
     members = cut_lineage(text.join(labels.select(F.col("node").alias("k"), "label"), "k").dropDuplicates(["k"]))
     merges = _verified(members)
     rows = signed.select("doc_id", "k")
@@ -261,7 +266,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
         .select(F.col("r.doc_id").alias("_id"), F.col("r.k").alias("_k"))
     repeats = found.groupBy("doc_id", "k").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("doc_id", "_id2").withColumnRenamed("k", "_k2")
     kept = kept.join(repeats, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_k") == F.col("_k2"))).select("_id", "_k", "_n")
-    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("_own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
+    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("_own"), _key().alias("_key"))
     chosen = keyed.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")))
     once = chosen.where("_n = 1").select("_row.*")
     return once.unionByName(chosen.where("_n > 1").dropDuplicates(["_id", "_k"]).select("_row.*"))

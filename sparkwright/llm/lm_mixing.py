@@ -56,15 +56,15 @@ def joined(sequences: list[bytes]):
     return data, doc, np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
 
 
-def slots(data: np.ndarray) -> list[np.ndarray]:
-    """Slot of each byte in each order; contexts do not reach before the text's start (an END byte)."""
-    out, h, back, lead = [], np.zeros(len(data), np.uint32), None, 0
+def slots(data: np.ndarray, offset: np.ndarray) -> list[np.ndarray]:
+    """Slot of each byte in each order; END bytes stand for what lies before the text's start."""
+    out, h, lead = [], np.zeros(len(data), np.uint32), 0
     for order, bits in ORDERS:
         while lead < order:
             lead += 1
-            shifted = np.full(len(data), END, np.uint8)
-            shifted[lead:] = data[:-lead] if lead <= len(data) else data[:0]
-            back = shifted if back is None else np.where(back == END, END, shifted)
+            back = np.full(len(data), END, np.uint8)
+            back[lead:] = data[:max(0, len(data) - lead)]
+            back[offset < lead] = END
             h = (h + back) * np.uint32(0x9E3779B1) + np.uint32(lead)
         out.append((((h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)).astype(np.int32))
     return out
@@ -126,11 +126,11 @@ class Model:
     def score(self, sequences: list[bytes]) -> np.ndarray:
         """Natural log probability of each sequence."""
         data, doc, offset = joined(sequences)
-        base = [s * 256 for s in slots(data)]
+        base = [s * 256 for s in slots(data, offset)]
         lanes_of = -(-np.array([len(s) for s in sequences]) // LANE)
         lane = (np.cumsum(lanes_of) - lanes_of)[doc] + offset // LANE
         n_lanes = int(lanes_of.sum())
-        place = np.minimum(_word_place(data), GATES - 1)
+        place = np.minimum(_word_place(data, offset), GATES - 1)
         step = (offset % LANE // STEP).astype(np.uint8)
         order = np.argsort(step, kind="stable")
         bounds = np.searchsorted(step[order], np.arange(LANE // STEP + 1))
@@ -168,10 +168,11 @@ class Model:
         return np.add.reduceat(np.log(e + 1), start)
 
 
-def _word_place(data: np.ndarray) -> np.ndarray:
+def _word_place(data: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """How many bytes of the word come before each byte."""
     i = np.arange(len(data))
-    before = np.concatenate([[True], (data[:-1] == 32) | (data[:-1] == END)])
+    before = offset == 0
+    before[1:] |= data[:-1] == 32
     return i - np.maximum.accumulate(np.where(before, i, 0))
 
 
@@ -181,8 +182,8 @@ def empty_tables() -> list[np.ndarray]:
 
 def learn(tables: list[np.ndarray], sequences: list[bytes]) -> None:
     """Add the bytes seen in each slot (slots x 256 bytes, flattened)."""
-    data, _, _ = joined(sequences)
-    for table, slot in zip(tables, slots(data)):
+    data, _, offset = joined(sequences)
+    for table, slot in zip(tables, slots(data, offset)):
         cell = np.sort(slot * 256 + data)
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
         table[cell[first]] += np.diff(first, append=len(cell)).astype(np.int32)
