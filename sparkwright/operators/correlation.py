@@ -8,14 +8,13 @@ the rows where both values are present.
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkwright.functions.numeric import nan_to_null
-from sparkwright.operators.ranking import average_rank
+from sparkwright.operators.ranking import cumulative
 
 
 def _clean(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -29,102 +28,53 @@ def _pair_corr(a, b):
     return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
 
 
-WIDE = 24  # above this many columns, null-free inputs use the Gramian path
+TILE = 12   # columns on either side of a block of pairs that one aggregate computes
 
 
-def pearson(df: DataFrame, columns: list[str], complete: bool | None = None) -> DataFrame:
-    """All k(k-1)/2 pairs in ONE aggregate pass (partial aggregation per task).
+def _corr_table(df: DataFrame, columns: list[str], left, right) -> DataFrame:
+    """Tall correlation of all pairs i < j between ``left(i, j)`` and ``right(i, j)``.
 
-    For more than ``WIDE`` columns without missing values the per-pair aggregate would
-    generate 3 expressions per pair; Spark ML's ``Correlation.corr`` computes the same
-    matrix from one distributed Gramian (tree aggregate), and its k x k result is bounded
-    by the column count. ``complete=None`` checks for missing values with one aggregate.
-    """
-    base = _clean(df, columns)
-    if len(columns) > WIDE:
-        if complete is None:
-            row = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-            complete = all(v == 0 for v in row)
-        if complete:
-            return _pearson_gramian(base, columns)
-    pairs = list(combinations(range(len(columns)), 2))
-    one = base.agg(*[_pair_corr(F.col(columns[i]), F.col(columns[j])).alias(f"r{i}_{j}") for i, j in pairs])
-    rows = [F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
-                     F.lit(i).alias("ord_a"), F.lit(j).alias("ord_b"), F.col(f"r{i}_{j}").alias("value"))
-            for i, j in pairs]
-    return one.select(F.inline(F.array(*rows)))
-
-
-def _pearson_gramian(base: DataFrame, columns: list[str]) -> DataFrame:
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=columns, outputCol="__v").transform(base).select("__v")
-    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
-    rows = [(columns[i], columns[j], i, j, None if math.isnan(m[i][j]) else float(m[i][j]))
-            for i, j in combinations(range(len(columns)), 2)]
-    return base.sparkSession.createDataFrame(rows, "col_a string, col_b string, ord_a int, ord_b int, value double")
-
-
-def spearman(df: DataFrame, columns: list[str], buckets: int | None = None,
-             complete: bool | None = None) -> DataFrame:
+    Pairs are computed in blocks of TILE x TILE columns, one aggregate pass per block that reads only the
+    block's columns; up to TILE columns are a single pass."""
+    tiles = [range(s, min(s + TILE, len(columns))) for s in range(0, len(columns), TILE)]
+    out = None
+    for x, y in combinations_with_replacement(range(len(tiles)), 2):
+        pairs = [(i, j) for i in tiles[x] for j in tiles[y] if i < j]
+        if not pairs:
+            continue
+        one = df.agg(*[_pair_corr(F.col(left(i, j)), F.col(right(i, j))).alias(f"r{i}_{j}") for i, j in pairs])
+        rows = [F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
+                         F.lit(i).alias("ord_a"), F.lit(j).alias("ord_b"), F.col(f"r{i}_{j}").alias("value"))
+                for i, j in pairs]
+        part = one.select(F.inline(F.array(*rows)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All k(k-1)/2 pairs over pair-complete rows, in partial aggregates per task."""
+    return _corr_table(_clean(df, columns), columns, lambda i, j: columns[i], lambda i, j: columns[j])
+
+
+def spearman(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """Pearson of average ranks, ranks taken per pair over its pair-complete rows.
 
-    ``complete`` says whether the columns are free of NULL/NaN; ``None`` checks with
-    one aggregate (a single row read). Without missing values every pair's complete
-    rows are all rows, so each column is ranked once and its rank is joined onto the
-    row by value (k joins of the table; small histograms are broadcast by AQE), and
-    one Pearson pass finishes. Otherwise rows are exploded into (pair, a, b) with
-    both present, each side is ranked within its pair by the bucketed histogram rank,
-    joined back on (pair, value), and correlated per pair in one grouped aggregate.
+    A column has one histogram: per distinct value, how many rows also have partner j, for every other
+    column j. One set of prefix sums turns the counts into the value's average rank among the rows complete
+    with each partner, and the ranks are joined onto the rows once per column (k joins of the table; AQE
+    broadcasts a small histogram and splits a hot value). A column without gaps has equal ranks for all partners.
     """
     base = _clean(df, columns)
-    if complete is None:
-        row = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-        full = [c for c, n in zip(columns, row) if n == 0]
-    else:
-        full = list(columns) if complete else []
-    if len(full) == len(columns):
-        return _spearman_complete(base, columns, buckets)
-    # Pairs of two null-free columns share global ranks; only pairs with a nullable
-    # column need ranks over their own pair-complete rows.
-    pairs = [(i, j) for i, j in combinations(range(len(columns)), 2)
-             if not (columns[i] in full and columns[j] in full)]
-    out = _spearman_pairwise(base, columns, buckets, pairs)
-    if len(full) >= 2:
-        ordinal = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
-        fast = _spearman_complete(base.select(*full), full, buckets).select(
-            "col_a", "col_b", ordinal[F.col("col_a")].alias("ord_a"), ordinal[F.col("col_b")].alias("ord_b"), "value")
-        out = out.unionByName(fast)
-    return out
-
-
-def _spearman_complete(base: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
     ranked = base
-    for c in columns:
-        r = average_rank(base.select(c), c, buckets=buckets).select(c, F.col("rank").alias(f"__r_{c}"))
-        ranked = ranked.join(r, c)
-    return pearson(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in columns]), columns)
-
-
-def _spearman_pairwise(base: DataFrame, columns: list[str], buckets: int | None,
-                       pairs: list[tuple[int, int]] | None = None) -> DataFrame:
-    pairs = pairs if pairs is not None else list(combinations(range(len(columns)), 2))
-    tall = base.select(F.inline(F.array(*[
-        F.struct(F.lit(p).alias("pair"), F.col(columns[i]).alias("va"), F.col(columns[j]).alias("vb"))
-        for p, (i, j) in enumerate(pairs)]))).where(F.col("va").isNotNull() & F.col("vb").isNotNull())
-    # groups are the k(k-1)/2 column pairs
-    ra = average_rank(tall, "va", ["pair"], buckets=buckets, few_groups=True).select("pair", "va", F.col("rank").alias("ra"))
-    rb = average_rank(tall, "vb", ["pair"], buckets=buckets, few_groups=True).select("pair", "vb", F.col("rank").alias("rb"))
-    ranked = tall.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
-    per_pair = ranked.groupBy("pair").agg(
-        F.try_divide(F.covar_samp("ra", "rb"), F.stddev_samp("ra") * F.stddev_samp("rb")).alias("value"))
-    names = base.sparkSession.createDataFrame(
-        [(p, columns[i], columns[j], i, j) for p, (i, j) in enumerate(pairs)],
-        "pair int, col_a string, col_b string, ord_a int, ord_b int")
-    # names is k(k-1)/2 rows built from the column list (metadata), so broadcasting it is bounded.
-    return F.broadcast(names).join(per_pair, "pair", "left").drop("pair")
+    for i, c in enumerate(columns):
+        with_partner = {j: f"__n{i}_{j}" for j in range(len(columns)) if j != i}
+        hist = base.where(F.col(c).isNotNull()).groupBy(c).agg(*[
+            F.count_if(F.col(columns[j]).isNotNull()).cast("double").alias(n) for j, n in with_partner.items()])
+        cum = cumulative(hist, c, None, list(with_partner.values()), buckets)
+        ranks = cum.select(c, *[(F.col(f"cum_{n}") - (F.col(n) - F.lit(1.0)) / F.lit(2.0)).alias(f"__r{i}_{j}")
+                                for j, n in with_partner.items()])
+        ranked = ranked.join(ranks, c, "left")
+    return _corr_table(ranked, columns, lambda i, j: f"__r{i}_{j}", lambda i, j: f"__r{j}_{i}")
 
 
 def to_square(tall: DataFrame) -> DataFrame:

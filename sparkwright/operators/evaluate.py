@@ -7,11 +7,16 @@ models or replicates is one job, not a loop.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwright.functions.hashing import hash_unit, poisson1
-from sparkwright.operators.ranking import assign_buckets, bucket_bounds, descending_cumulative, histogram
+from sparkwright.functions.hashing import POISSON1_CDF
+from sparkwright.operators.ranking import assign_buckets, descending_cumulative, histogram
+from sparkwright.session import cut_lineage
 
 
 def _d(c):
@@ -29,14 +34,17 @@ def regression_metrics(df: DataFrame, label: str, pred: str, by: list[str] | Non
 
 
 # ---------------------------------------------------------------- V3 / V4 / V7 / V9
-def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred", by: list[str] | None = None) -> DataFrame:
-    """Dense 2x2 (label, pred, n) per group; zero cells kept via the (group x 2 x 2) grid."""
+def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred", by: list[str] | None = None,
+                     classes: tuple = (0, 1)) -> DataFrame:
+    """Dense (label, pred, n) per group over ``classes``, zero cells kept via the (group x class x class) grid;
+    a label or prediction outside ``classes`` keeps its own non-zero cells."""
     by = by or []
     counts = df.groupBy(*by, label, pred).agg(F.count(F.lit(1)).alias("n"))
-    cells = df.sparkSession.createDataFrame([(a, b) for a in (0, 1) for b in (0, 1)], f"{label} int, {pred} int")
-    groups = df.select(*by).distinct() if by else None
-    grid = groups.crossJoin(F.broadcast(cells)) if groups is not None else cells
-    return grid.join(counts, [*by, label, pred], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
+    one = lambda name: F.explode(F.array(*[F.lit(c) for c in classes])).alias(name)
+    # each group appears once per cell, which adds nothing to its count
+    groups = counts.select(*by).distinct() if by else df.sparkSession.range(1)
+    grid = groups.select(*by, one(label)).select(*by, label, one(pred)).withColumn("n", F.lit(0).cast("long"))
+    return counts.select(*by, label, pred, "n").unionByName(grid).groupBy(*by, label, pred).agg(F.sum("n").alias("n"))
 
 
 def _counts(df, label, pred, by):
@@ -103,7 +111,7 @@ def accuracy_gap(df: DataFrame, split: str, label: str = "label", pred: str = "p
 
 # ---------------------------------------------------------------- V5 / V6 / R5
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None,
-            weight: str | None = None, buckets: int | None = None, bounds: DataFrame | None = None) -> DataFrame:
+            weight: str | None = None, buckets: int | None = None, few_groups: bool = True) -> DataFrame:
     """Exact ROC AUC by rank sum, ties count half: (sum rank+ - n1(n1+1)/2) / (n1 n0).
 
     Works on the (group, score) histogram with positives summed per score, so the
@@ -111,13 +119,13 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     per-score ranks joined back: with scores cut into ordered buckets,
     sum(pos * rank) = sum over buckets of (rows in earlier buckets * positives in the
     bucket + the within-bucket part), so after the in-bucket window everything is
-    aggregated to (group, bucket) rows. One class only -> NULL.
+    aggregated to (group, bucket) rows. One class only -> NULL. ``few_groups``: the groups are
+    parameter-sized (models, folds, splits); say False for groups that grow with the data.
     """
     by = list(by or [])
     w = F.col(weight) if weight else F.lit(1)
     h = histogram(df, score, by, weight, extra_sums={"pos": (w * F.col(label)).cast("double")})
-    # groups are evaluation groups (models, folds, splits, replicates): parameter-sized
-    hb = assign_buckets(h, score, by, buckets, bounds=bounds, few_groups=True)
+    hb = assign_buckets(h, score, by, buckets, few_groups=few_groups)
     within = Window.partitionBy(*by, "__bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumn("__run", F.sum("cnt").over(within))
     # rank within the bucket (ties averaged) times positives at that score
@@ -136,13 +144,13 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
 
 
 def roc_curve(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None,
-              drop_intermediate: bool = False) -> DataFrame:
+              drop_intermediate: bool = False, few_groups: bool = True) -> DataFrame:
     """ROC points (threshold, fpr, tpr) per group at every distinct score, descending, plus the
     (inf, 0, 0) origin (V6). ``drop_intermediate`` keeps only corners, as sklearn does."""
     by = by or []
-    cum = descending_cumulative(df, score, label, by)
+    cum = descending_cumulative(df, score, label, by, few_groups=few_groups)
     if drop_intermediate:
-        cum = _corners(cum, score, by)
+        cum = _corners(cum, score, by, few_groups)
     tot = df.groupBy(*by).agg(F.sum(F.col(label).cast("double")).alias("__P"),
                               F.sum((1 - F.col(label)).cast("double")).alias("__N"))
     pts = cum.join(tot, by) if by else cum.crossJoin(F.broadcast(tot))
@@ -153,7 +161,7 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label", by: lis
     return origin.unionByName(pts)
 
 
-def _corners(cum: DataFrame, score: str, by: list[str]) -> DataFrame:
+def _corners(cum: DataFrame, score: str, by: list[str], few_groups: bool = True) -> DataFrame:
     """Keep a point when the second difference of fp or tp (in descending score order) is
     non-zero; the first and last points are always kept (sklearn's drop_intermediate).
 
@@ -162,7 +170,7 @@ def _corners(cum: DataFrame, score: str, by: list[str]) -> DataFrame:
     so no window spans a whole group.
     """
     pts = cum.select(*by, F.negative(F.col(score)).alias("__o"), score, "tp", "fp", "n_at_score", "pos_at_score")
-    hb = assign_buckets(pts, "__o", by, few_groups=True)
+    hb = assign_buckets(pts, "__o", by, few_groups=few_groups)
     w = Window.partitionBy(*by, "__bucket").orderBy("__o")
     hb = hb.withColumns({"__ptp": F.lag("tp").over(w), "__pfp": F.lag("fp").over(w),
                          "__ntp": F.lead("tp").over(w), "__nfp": F.lead("fp").over(w)})
@@ -209,23 +217,99 @@ def best_threshold(sweep: DataFrame, by: list[str] | None = None, metric: str =
 
 
 # ---------------------------------------------------------------- V10 - V12
-def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = 42, out: str = "weight") -> DataFrame:
-    """Rows x replicates with a Poisson(1) weight from md5(key|replicate|seed); zero weights dropped.
-
-    A row drawn k times in a resample carries weight k instead of being copied k times.
-    The replicate ids are a range of ``replicates`` rows, broadcast."""
-    spark = df.sparkSession
-    reps = spark.range(1, replicates + 1).select(F.col("id").cast("int").alias("replicate"))
-    # The replicated table is B times larger than its input, but AQE sizes partitions from
-    # the input (and may coalesce it to a single one). Spread the input over the shuffle
-    # partitions first, with an explicit count that AQE keeps, so the explosion is parallel.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(parts)
-    # The uniform is its own column: inside the CASE chain of poisson1 it would be
-    # re-evaluated per branch (no common-subexpression sharing across conditional branches).
-    return (df.crossJoin(F.broadcast(reps))
-            .withColumn("__u", hash_unit([F.col(key), F.col("replicate")], seed))
-            .withColumn(out, poisson1(F.col("__u"))).where(F.col(out) > 0).drop("__u"))
+_CDF = np.array(POISSON1_CDF)
+
+
+def _weights(keys: list[str], replicates: int, seed: int) -> np.ndarray:
+    """Poisson(1) weights (keys x replicates) from the first 32 bits of md5(key|replicate|seed)."""
+    tails = [f"|{r}|{seed}".encode() for r in range(1, replicates + 1)]
+    md5 = hashlib.md5
+    drawn = b"".join(md5(k + t).digest()[:4] for k in (k.encode() for k in keys) for t in tails)
+    uniform = np.frombuffer(drawn, ">u4").astype(np.float64) / 4294967296.0
+    return np.searchsorted(_CDF, uniform, side="right").astype(np.uint16).reshape(len(keys), replicates)
+
+
+def bootstrap_draws(df: DataFrame, key: str, replicates: int, seed: int = 42) -> DataFrame:
+    """Per replicate, the rows drawn at least once and the total weight.
+
+    A row drawn k times in a resample has weight k instead of being copied k times; the weights of a row are a
+    vector over the replicates, summed in the task that draws it, so rows are never multiplied by replicates."""
+    def run(batches):
+        drawn, total = np.zeros(replicates, np.int64), np.zeros(replicates, np.int64)
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            for i in range(0, len(keys), _AT_ONCE):
+                w = _weights(keys[i:i + _AT_ONCE], replicates, seed)
+                drawn += (w > 0).sum(axis=0)
+                total += w.sum(axis=0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, replicates + 1, dtype=np.int32)), pa.array(drawn), pa.array(total)],
+                                         names=["replicate", "drawn_rows", "total_weight"])
+
+    parts = df.select(F.coalesce(F.col(key).cast("string"), F.lit(""))).mapInArrow(run, "replicate int, drawn_rows long, total_weight long")
+    return parts.groupBy("replicate").agg(F.sum("drawn_rows").alias("drawn_rows"), F.sum("total_weight").alias("total_weight"))
+
+
+_AT_ONCE = 4096          # rows whose weight vectors are held together; their sums fit 16 bits
+
+
+def _weighted_scores(replicates: int, seed: int):
+    """(which, score, label, weights): the weight vectors of the rows of one run, added up per model, score and label."""
+    def run(batches):
+        for batch in batches:
+            key, label, sa, sb = (c.to_pylist() for c in batch.columns)
+            for i in range(0, len(key), _AT_ONCE):
+                part = slice(i, i + _AT_ONCE)
+                w = _weights(key[part], replicates, seed)
+                rows = []
+                for which, scores in ((0, sa[part]), (1, sb[part])):
+                    have = [n for n, s in enumerate(scores) if s is not None and label[i + n] is not None]
+                    order = sorted(have, key=lambda n: (scores[n], label[i + n]))
+                    tags = [(scores[n], label[i + n]) for n in order]
+                    cuts = [n for n, t in enumerate(tags) if n == 0 or t != tags[n - 1]]
+                    if cuts:
+                        sums = np.add.reduceat(w[order], cuts, axis=0, dtype=np.uint16)
+                        rows += [(which, *tags[c], s.tobytes()) for c, s in zip(cuts, sums)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                        pa.int32(), pa.float64(), pa.int32(), pa.binary()))], names=["which", "score", "label", "weights"])
+    return run
+
+
+def _bucket_sums(replicates: int):
+    """(which, bucket, s, p, n): per bucket and replicate the rank sum of positives, positives and rows.
+
+    Rows come sorted by bucket and score; one vector per running sum is all that is kept."""
+    def run(batches):
+        state = None
+
+        def close_score():
+            tot, pos = state["tot"], state["pos"]
+            state["s"] += pos * (state["n"] + (tot + 1.0) / 2.0)      # ties share the average rank
+            state["n"] += tot
+            state["p"] += pos
+
+        def result():
+            close_score()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([state["key"][0]], pa.int32()), pa.array([state["key"][1]], pa.int64()),
+                 *[pa.array([state[c]], pa.list_(pa.float64())) for c in ("s", "p", "n")]], names=["which", "bucket", "s", "p", "n"])
+
+        for batch in batches:
+            for which, bucket, score, label, weights in zip(*(c.to_pylist() for c in batch.columns)):
+                if state is None or state["key"] != (which, bucket):
+                    if state is not None:
+                        yield result()
+                    state = {"key": (which, bucket), "score": score, **{c: np.zeros(replicates) for c in ("s", "p", "n", "tot", "pos")}}
+                elif state["score"] != score:
+                    close_score()
+                    state.update(score=score, tot=np.zeros(replicates), pos=np.zeros(replicates))
+                w = np.frombuffer(weights, np.uint16)
+                state["tot"] += w
+                if label:
+                    state["pos"] += w
+        if state is not None:
+            yield result()
+    return run
 
 
 def bootstrap_auc_difference(df: DataFrame, model_a: str, model_b: str, replicates: int = 500, seed: int = 42,
@@ -233,27 +317,36 @@ def bootstrap_auc_difference(df: DataFrame, model_a: str, model_b: str, replicat
                              label: str = "label", buckets: int | None = None) -> DataFrame:
     """Paired Poisson bootstrap of AUC(model_a) - AUC(model_b): one row per replicate.
 
-    Each (row, replicate) gets weight Poisson(1) drawn from md5(key|replicate|seed),
-    shared by both models (a paired resample). Replicates where the resample has a
-    single class are skipped. The replicate ids are a parameter-sized range,
-    broadcast; rows are never collected or looped over.
+    Each row has a vector of Poisson(1) weights, one per replicate, drawn from md5(key|replicate|seed) and shared by
+    both models (a paired resample); of rows that repeat a key, the n-th (n > 1) draws with the key ``key#n``. The rows
+    are bucketed by score once and the vectors are summed along each bucket, so rows are never multiplied by
+    replicates. Replicates whose resample has a single class are skipped.
     """
-    base = df.where(F.col(model).isin(model_a, model_b)).select(model, key, label, score)
-    # One row per key with both models' scores: each (key, replicate) weight is drawn once.
-    wide = base.groupBy(key).agg(F.max(label).alias(label),
-                                 F.max(F.when(F.col(model) == model_a, F.col(score))).alias("__sa"),
-                                 F.max(F.when(F.col(model) == model_b, F.col(score))).alias("__sb"))
-    w = bootstrap_weights(wide, key, replicates, seed, out="__w")
-    tall = w.select("replicate", "__w", label, F.inline(F.array(
-        F.struct(F.lit(model_a).alias(model), F.col("__sa").alias(score)),
-        F.struct(F.lit(model_b).alias(model), F.col("__sb").alias(score))))).where(F.col(score).isNotNull())
-    # Every replicate of a model shares the model's score distribution: bucket boundaries come
-    # from the unreplicated scores (two rows of boundaries), not from the B-times larger table.
-    bounds = bucket_bounds(base, score, [model], buckets)
-    aucs = roc_auc(tall, score, label, by=["replicate", model], weight="__w", buckets=buckets, bounds=bounds)
-    pivot = aucs.groupBy("replicate").agg(
-        F.max(F.when(F.col(model) == model_a, F.col("auc"))).alias("auc_a"),
-        F.max(F.when(F.col(model) == model_b, F.col("auc"))).alias("auc_b"))
+    base = df.where(F.col(model).isin(model_a, model_b)).select(
+        F.col(model).alias("m"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"),
+        F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("x"))
+    nth = F.row_number().over(Window.partitionBy("m", "k").orderBy("y", "x"))
+    wide = base.withColumn("i", nth).groupBy("k", "i").agg(
+        F.max("y").alias("y"), F.max(F.when(F.col("m") == model_a, F.col("x"))).alias("a"),
+        F.max(F.when(F.col("m") == model_b, F.col("x"))).alias("b"))
+    rows = wide.select(F.when(F.col("i") == 1, F.col("k")).otherwise(F.concat_ws("#", "k", "i")).alias("k"), "y", "a", "b")
+    vectors = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) \
+        .mapInArrow(_weighted_scores(replicates, seed), "which int, score double, label int, weights binary")
+    # the drawn vectors are kept: the boundaries and the sums both read them
+    placed = assign_buckets(cut_lineage(vectors), "score", ["which"], buckets, few_groups=True)
+    sums = placed.select("which", F.col("__bucket").cast("long").alias("bucket"), "score", "label", "weights") \
+        .repartition("which", "bucket").sortWithinPartitions("which", "bucket", "score") \
+        .mapInArrow(_bucket_sums(replicates), "which int, bucket long, s array<double>, p array<double>, n array<double>")
+    # 2 x buckets x replicates rows
+    each = sums.select("which", "bucket", F.posexplode(F.arrays_zip("s", "p", "n")).alias("r", "v")).select(
+        "which", "bucket", "r", "v.s", "v.p", "v.n")
+    before = Window.partitionBy("which", "r").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    total = each.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0.0))).groupBy("which", "r").agg(
+        F.sum("p").alias("n1"), F.sum("n").alias("n"), F.sum(F.col("s") + F.col("off") * F.col("p")).alias("srank"))
+    n1, n0 = F.col("n1"), F.col("n") - F.col("n1")
+    auc = F.when((n1 > 0) & (n0 > 0), (F.col("srank") - n1 * (n1 + F.lit(1.0)) / F.lit(2.0)) / (n1 * n0))
+    pivot = total.withColumn("auc", auc).groupBy((F.col("r") + 1).cast("int").alias("replicate")).agg(
+        F.max(F.when(F.col("which") == 0, F.col("auc"))).alias("auc_a"), F.max(F.when(F.col("which") == 1, F.col("auc"))).alias("auc_b"))
     return (pivot.where(F.col("auc_a").isNotNull() & F.col("auc_b").isNotNull())
             .select("replicate", "auc_a", "auc_b", (F.col("auc_a") - F.col("auc_b")).alias("diff")))
 
@@ -270,9 +363,17 @@ def confidence_interval(samples: DataFrame, column: str = "diff", lo: float = 0.
 # ---------------------------------------------------------------- V13
 def model_comparison(df: DataFrame, model: str = "model", label: str = "label", pred: str = "pred",
                      score: str = "score", digits: int = 4) -> DataFrame:
-    """One row per model: precision, recall, F1, accuracy and AUC, rounded for the report."""
-    prf = precision_recall_f1(df, label, pred, [model])
-    acc = accuracy(df, label, pred, [model])
-    auc = roc_auc(df, score, label, [model])
-    j = prf.join(acc, model).join(auc, model)
-    return j.select(model, *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1", "accuracy", "auc")])
+    """One row per model: precision, recall, F1, accuracy and AUC, rounded for the report.
+
+    One histogram of (model, score, label, pred) feeds both the counts and the AUC, so the model scores each row once."""
+    h = df.groupBy(model, F.col(score).alias("__score"), F.col(label).alias("__y"), F.col(pred).alias("__p")) \
+        .agg(F.count(F.lit(1)).alias("__w"))
+    y, p, w = F.col("__y"), F.col("__p"), F.col("__w")
+    n = lambda cond: F.sum(F.when(cond, w).otherwise(0))
+    c = h.groupBy(model).agg(n((y == 1) & (p == 1)).alias("tp"), n((y == 0) & (p == 1)).alias("fp"), n((y == 1) & (p == 0)).alias("fn"),
+                             n(y == p).alias("__ok"), n(y.isNotNull() & p.isNotNull()).alias("__all"))
+    precision, recall, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
+    scores = c.select(model, precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
+                      F.try_divide(F.col("__ok").cast("double"), F.col("__all")).alias("accuracy"))
+    auc = roc_auc(h, "__score", "__y", [model], weight="__w")
+    return scores.join(auc, model).select(model, *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1", "accuracy", "auc")])

@@ -14,7 +14,7 @@ with a real service supplies ``responder=`` (a pandas function run through
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +56,6 @@ class ResponderRules:
     medium_cutoff: float = 0.7
     hot_temperature: float = 0.7
     review_below: float = 0.8
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT_RULES = ResponderRules()
@@ -78,25 +77,39 @@ def guardrail_status(pii: Column, raw: Column) -> Column:
 
 # ---------------------------------------------------------------- T3
 def python_float_text(c: str | Column) -> Column:
-    """Decimal text of a double as Python prints it for ordinary magnitudes ('4.0', '0.05')."""
-    return _c(c).cast("double").cast("string")
+    """Decimal text of a double as Python prints it: plain between 1e-4 and 1e16 ('4.0', '0.0005', '20000000.0'),
+    otherwise with a two-digit signed exponent ('1e-05'); NaN and infinities as json.dumps writes them."""
+    s = _c(c).cast("double").cast("string")
+    # the rare exponent form is a lambda: its text is built from several reads of s, which would swell the generated code
+    return F.when(~s.contains("E"), s).otherwise(F.transform(F.array(s), _exponent_text)[0])
+
+
+def _exponent_text(s: Column) -> Column:
+    """'5.0E-4' (the shortest digits and an exponent) as Python prints it."""
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.rtrim(F.regexp_replace(F.regexp_extract(s, r"^-?([0-9.]+)E", 1), r"\.", ""), F.lit("0"))
+    e = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    whole = F.rpad(digits, F.greatest(e + 1, F.length(digits)), "0")
+    large = F.concat(F.left(whole, e + 1), F.lit("."), F.when(F.length(whole) > e + 1, F.substring(whole, e + 2, F.lit(400))).otherwise("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), F.lit(-1) - e), digits)
+    power = F.concat(F.left(digits, F.lit(1)), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 400))).otherwise(""),
+                     F.lit("e"), F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.length(F.abs(e).cast("string")), F.lit(2)), "0"))
+    return F.concat(sign, F.when((e >= 0) & (e < 16), large).when((e < 0) & (e >= -4), small).otherwise(power))
 
 
 def fixed4_text(p: str | Column) -> Column:
-    """Probability with 4 decimals, half-up on the 6-decimal value, computed in integers so every
-    engine prints the same digits (Java and C formatters round binary ties differently)."""
-    p6 = F.round(_c(p).cast("double") * F.lit(1e6)).cast("bigint")
-    q = F.floor((p6 + F.lit(50)) / F.lit(100)).cast("bigint")
+    """Probability with 4 decimals, rounded once (half up), computed in integers so every engine prints the same digits."""
+    q = F.floor(_c(p).cast("double") * F.lit(1e4) + F.lit(0.5)).cast("bigint")
     return F.concat(F.floor(q / F.lit(10000)).cast("bigint").cast("string"), F.lit("."),
                     F.lpad((q % F.lit(10000)).cast("string"), 4, "0"))
 
 
 def features_json(features: list[str], indent: bool) -> Column:
-    """JSON object of the feature values in Python's json.dumps layout (key order kept)."""
+    """JSON object of the feature values in Python's json.dumps layout (key order kept, a missing value is null)."""
     if indent:
-        items = [F.concat(F.lit(f'  "{f}": '), python_float_text(f)) for f in features]
+        items = [F.concat(F.lit(f'  "{f}": '), F.coalesce(python_float_text(f), F.lit("null"))) for f in features]
         return F.concat(F.lit("{\n"), F.concat_ws(",\n", *items), F.lit("\n}"))
-    items = [F.concat(F.lit(f'"{f}": '), python_float_text(f)) for f in features]
+    items = [F.concat(F.lit(f'"{f}": '), F.coalesce(python_float_text(f), F.lit("null"))) for f in features]
     return F.concat(F.lit("{"), F.concat_ws(", ", *items), F.lit("}"))
 
 
@@ -163,13 +176,13 @@ def offline_response(prompt: str | Column, temperature: float | Column,
 
 
 def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: ResponderRules = DEFAULT_RULES,
-            responder=None, pii_col: str | None = None) -> DataFrame:
+            responder=None, pii_col: str | None = None, system_prompt: str = "") -> DataFrame:
     """Gate then respond: blocked prompts get a NULL response and never reach the responder.
 
     Adds ``out`` (raw text) and ``{out}_status``. ``pii_col`` names an existing PII flag for
     the prompt (see ``pii_flag``) so several temperatures share one regex scan.
-    ``responder``: optional ``fn(prompts: pandas.Series, temperature) -> pandas.Series`` of raw
-    text (NULL on failure), run per Arrow batch with ``mapInPandas``.
+    ``responder``: optional ``fn(system_prompt, prompts: pandas.Series, temperature) -> pandas.Series`` of
+    raw text (NULL on failure), run per Arrow batch with ``mapInPandas``; the offline rules need no system prompt.
     """
     flag = pii_col or f"{out}_pii"
     gated = df if pii_col else df.withColumn(flag, has_pii(prompt))
@@ -187,12 +200,9 @@ def respond(df: DataFrame, prompt: str, temperature: float, out: str, rules: Res
         def run(batches):
             for pdf in batches:
                 allowed = ~pdf[flag].astype(bool)
-                res = [None] * len(pdf)
+                pdf[out] = None
                 if allowed.any():
-                    got = responder(pdf.loc[allowed, prompt], temperature)
-                    for i, v in zip(pdf.index[allowed], list(got)):
-                        res[pdf.index.get_loc(i)] = v
-                pdf[out] = res
+                    pdf.loc[allowed, out] = list(responder(system_prompt, pdf.loc[allowed, prompt], temperature))
                 yield pdf
         gated = gated.mapInPandas(run, schema)
     gated = gated.withColumn(f"{out}_status", guardrail_status(F.col(flag), F.col(out)))
@@ -217,16 +227,17 @@ def _wrapped(raw: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), json_strip(raw), F.lit(f',"{_SENTINEL}"]')))
 
 
-def validation_error(raw: str | Column) -> Column:
+def validation_error(raw: str | Column, parsed: Column | None = None) -> Column:
     """NULL when valid, else 'no_response', 'json_error' or 'schema_error' (strict schema).
 
     ONE parse per response: the trimmed text wrapped as ``[text, sentinel]`` must parse
     to exactly those two elements, which rejects trailing text, early-closing brackets
     and second values that a bare parse would accept. The element's variant schema must then equal the expected
     object schema (exact key set and types), and the tier must be in the enum.
+    ``parsed`` is the column that holds the parse already (see ``parse_and_validate``).
     """
     r = _c(raw)
-    w = _wrapped(r)
+    w = _wrapped(r) if parsed is None else parsed
     syntax_ok = (w.isNotNull() & (F.size(F.variant_get(w, "$", "array<variant>")) == 2)
                  & (F.variant_get(w, "$[1]", "string") == _SENTINEL))
     v = F.variant_get(w, "$[0]", "variant")
@@ -242,7 +253,7 @@ def parse_and_validate(df: DataFrame, raw: str, prefix: str = "") -> DataFrame:
 
     The fields are read from the same parsed variant (no second parse)."""
     out = df.withColumn("__w", _wrapped(F.col(raw)))
-    out = out.withColumn(f"{prefix}error", validation_error(raw)).withColumn(f"{prefix}valid", F.col(f"{prefix}error").isNull())
+    out = out.withColumn(f"{prefix}error", validation_error(raw, F.col("__w"))).withColumn(f"{prefix}valid", F.col(f"{prefix}error").isNull())
     fields = {}
     for k in RESPONSE_KEYS:
         t = "boolean" if k == "requires_human_review" else "string"

@@ -8,13 +8,14 @@ K-row aggregates broadcast back to the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwright.functions.encoding import ordinal_code
 from sparkwright.functions.hashing import hash_order, hash_unit
+from sparkwright.functions.numeric import nan_to_null
 from sparkwright.operators.quantile import quantile_wide
-from sparkwright.operators.ranking import average_rank
 
 
 def ordinal_encode(df: DataFrame, levels: dict[str, list[str]], suffix: str = "") -> DataFrame:
@@ -34,43 +35,92 @@ def split_flag(df: DataFrame, key, seed: int = 42, test_fraction: float = 0.2, o
     """Seeded train/test assignment (F2).
 
     Default: ``hash_unit(key, seed) < fraction`` (size is fraction*n in
-    expectation). ``exact=True`` takes exactly ceil(fraction * n) rows: the
-    rows with the smallest hash ranks, ranked without a global sort.
+    expectation). ``exact=True`` takes exactly ceil(fraction * n) rows, those of the
+    smallest hashes (rows that share a key share a side), by a cut-off found with counts.
     """
     if not exact:
         return df.withColumn(out, hash_unit(key, seed) < F.lit(test_fraction))
     h = df.withColumn("__h", hash_order(key, seed))
-    ranks = average_rank(h, "__h").select("__h", F.col("rank").alias("__r"))
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    return (h.join(ranks, "__h").crossJoin(F.broadcast(n))
-            .withColumn(out, F.col("__r") <= F.ceil(F.col("__n") * F.lit(test_fraction)))
-            .drop("__h", "__r", "__n"))
+    cut = hash_cutoffs(h.select("__h"), [test_fraction], F.ceil)
+    return (h.crossJoin(F.broadcast(cut.select("__cut"))).withColumn(out, F.col("__h") <= F.col("__cut"))
+            .drop("__h", "__cut"))
+
+
+# A 60-bit hash is uniform: its top bits are buckets by arithmetic, without quantile boundaries.
+_TOP, _MID = 12, 16
+
+
+def hash_cutoffs(h: DataFrame, fractions: list[float], rounding) -> DataFrame:
+    """(fraction, __cut): the hash of the rounding(n * fraction)-th row in hash order (-1 for none of the rows).
+
+    ``h`` has the 60-bit hash ``__h``. The row is found by counting: rows per value of the top bits (at most
+    2^12 table rows), then of the next bits inside the one bucket that holds it, then by ranking the about
+    n / 2^28 rows left. Rows that share a hash share the side of the cut.
+    """
+    top = F.shiftright("__h", 60 - _TOP)
+    mid = F.shiftright("__h", 60 - _TOP - _MID)
+    wanted = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
+    upto = lambda *by: Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = h.groupBy(top.alias("__b")).agg(F.count(F.lit(1)).alias("__c"))
+    total = counts.agg(F.sum("__c").alias("__n")).select(wanted, "__n")
+    goal = total.select("fraction", rounding(F.col("__n") * F.col("fraction")).alias("__k"))
+    run = counts.withColumn("__run", F.sum("__c").over(upto(F.lit(0))))          # at most 2^12 rows
+    first = run.join(F.broadcast(goal), (F.col("__run") - F.col("__c") < F.col("__k")) & (F.col("__k") <= F.col("__run"))) \
+        .select("fraction", F.col("__b").alias("__top"), (F.col("__k") - F.col("__run") + F.col("__c")).alias("__k"))
+    inner = h.select("__h", top.alias("__top")).join(F.broadcast(first), "__top")
+    run = inner.groupBy("fraction", "__k", mid.alias("__b")).agg(F.count(F.lit(1)).alias("__c")) \
+        .withColumn("__run", F.sum("__c").over(upto("fraction")))                # at most 2^16 rows per fraction
+    second = run.where((F.col("__run") - F.col("__c") < F.col("__k")) & (F.col("__k") <= F.col("__run"))) \
+        .select("fraction", F.col("__b").alias("__mid"), (F.col("__k") - F.col("__run") + F.col("__c")).alias("__k"))
+    left = h.select("__h", mid.alias("__mid")).join(F.broadcast(second), "__mid")
+    rank = F.row_number().over(Window.partitionBy("fraction").orderBy("__h"))
+    cut = left.withColumn("__r", rank).where(F.col("__r") == F.col("__k")).select(F.col("fraction").alias("__f"), "__h")
+    return goal.join(F.broadcast(cut), F.col("fraction") == F.col("__f"), "left") \
+        .select("fraction", F.coalesce("__h", F.lit(-1)).alias("__cut"))
+
+
+def nested_prefixes(df: DataFrame, key, seed: int, fractions: list[float]) -> DataFrame:
+    """Every row once per fraction whose first int(fraction * n) rows of a seeded shuffle hold it (P8), with ``fraction``.
+
+    The subsets are nested; all cut-offs come from one counting pass."""
+    h = df.withColumn("__h", hash_order(key, seed))
+    cut = hash_cutoffs(h.select("__h"), fractions, F.floor)
+    return h.join(F.broadcast(cut), F.col("__h") <= F.col("__cut")).drop("__h", "__cut")
 
 
 def nested_prefix(df: DataFrame, key, seed: int, fraction: float) -> DataFrame:
     """First int(fraction * n) rows of a seeded shuffle (P8); subsets are nested across fractions."""
-    h = df.withColumn("__h", hash_order(key, seed))
-    ranks = average_rank(h, "__h").select("__h", F.col("rank").alias("__r"))
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    return (h.join(ranks, "__h").crossJoin(F.broadcast(n))
-            .where(F.col("__r") <= F.floor(F.col("__n") * F.lit(fraction)))
-            .drop("__h", "__r", "__n"))
+    return nested_prefixes(df, key, seed, [fraction]).drop("fraction")
 
 
 def stratified_folds(df: DataFrame, key, label: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Fold 0..k-1 per row; within each class the seeded order is dealt round-robin, so
-    fold sizes per class differ by at most one (F6). Ranking is bucketed, not one task per class."""
-    h = df.withColumn("__h", hash_order(key, seed))
-    ranks = average_rank(h, "__h", [label], few_groups=True).select(label, "__h", F.col("rank").alias("__r"))  # classes
-    return (h.join(ranks, [label, "__h"])
-            .withColumn(out, F.pmod(F.floor(F.col("__r")).cast("bigint") - 1, F.lit(k)).cast("int"))
-            .drop("__h", "__r"))
+    fold sizes per class differ by at most one (F6), also when keys repeat: rows of one hash
+    are ordered by their columns. Rows are numbered inside (class, top hash bits) buckets, and the
+    sizes of a class's earlier buckets (classes x buckets rows) are added."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(6, (parts - 1).bit_length())
+    h = df.withColumn("__h", hash_order(key, seed)).withColumn("__b", F.shiftright("__h", 60 - bits))
+    ties = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType,
+                                                                          T.DateType, T.TimestampType))]
+    sizes = h.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(label, "__b", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))
+    inside = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", *[F.col(f"`{c}`") for c in ties])) - 1
+    return (h.withColumn("__r", inside).join(starts, [label, "__b"])
+            .withColumn(out, F.pmod(F.col("__s") + F.col("__r"), F.lit(k)).cast("int")).drop("__h", "__b", "__r", "__s"))
 
 
 def fit_standard_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: mean and population std of each column (fit on the rows given, e.g. train only)."""
-    return df.agg(*[F.avg(c).alias(f"__mean_{c}") for c in columns],
-                  *[F.stddev_pop(c).alias(f"__std_{c}") for c in columns])
+    v = {c: _present(df, c) for c in columns}
+    return df.agg(*[F.avg(v[c]).alias(f"__mean_{c}") for c in columns],
+                  *[F.stddev_pop(v[c]).alias(f"__std_{c}") for c in columns])
+
+
+def _present(df: DataFrame, c: str):
+    """The column with NaN as NULL (the one missing marker)."""
+    return nan_to_null(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c)
 
 
 def apply_standard_scaler(df: DataFrame, stats: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,7 +144,7 @@ def fit_median_imputer(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def apply_median_imputer(df: DataFrame, medians: DataFrame, columns: list[str]) -> DataFrame:
     j = df.crossJoin(F.broadcast(medians))
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in columns}) \
+    return j.withColumns({c: F.coalesce(_present(df, c), F.col(f"__med_{c}")) for c in columns}) \
         .drop(*[f"__med_{c}" for c in columns])
 
 

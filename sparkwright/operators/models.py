@@ -29,6 +29,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.functions.numeric import nan_to_null
 from sparkwright.operators.evaluate import roc_auc
 from sparkwright.operators.quantile import quantile_wide
 from sparkwright.session import ensure_checkpoint_dir
@@ -43,7 +44,7 @@ class _Stats(Params):
 class ExactMedianImputerModel(Model, HasInputCols, _Stats, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         meds = self.getOrDefault(self.stats)
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m))
+        return df.withColumns({c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(m))
                                for c, m in zip(self.getInputCols(), meds)})
 
 
@@ -81,8 +82,9 @@ class PopulationStandardScaler(Estimator, HasInputCols, DefaultParamsReadable, D
 
     def _fit(self, df: DataFrame) -> PopulationStandardScalerModel:
         cols = self.getInputCols()
-        row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+        v = [nan_to_null(F.col(c).cast("double")) for c in cols]
+        row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(v)],
+                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(v)]).first()
         m = PopulationStandardScalerModel()
         m._set(inputCols=cols, stats=[float(row[f"m{i}"] or 0.0) for i in range(len(cols))],
                stats2=[float(row[f"s{i}"] or 0.0) for i in range(len(cols))])
@@ -100,7 +102,7 @@ class RankSumAUC(Evaluator):
         s = df.select(vector_to_array(self.probabilityCol)[1].alias("score"),
                       F.col(self.labelCol).cast("int").alias("label"))
         v = roc_auc(s, "score", "label").first()["auc"]
-        return float(v) if v is not None else float("nan")
+        return float(v) if v is not None else 0.0     # one class only: the worst value, so that it is never picked
 
     def isLargerBetter(self) -> bool:
         return True

@@ -9,10 +9,11 @@ that single row: no shuffle of the big side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.session import cut_lineage
 from sparkwright.operators.quantile import exact_quantiles, quantile_wide
 from sparkwright.functions.numeric import (
     bias_corrected_skew, is_missing, nan_to_null, numeric_columns, safe_ratio,
@@ -159,28 +160,28 @@ def dedup_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q10 / Q11
-def category_domain(df: DataFrame, column: str, max_levels: int = 100000) -> DataFrame:
-    """Sorted distinct non-null values with a 0-based code (dictionary encoding).
+def category_domain(df: DataFrame, column: str) -> DataFrame:
+    """Sorted distinct non-null values with a 0-based code (dictionary encoding), for any number of values.
 
-    The domain of a low-cardinality column is small by definition; its size is
-    checked before it is ranked and broadcast, so a high-cardinality column
-    fails loudly instead of funnelling into one task.
+    The distinct values are range-partitioned (they are unique, so the ranges are even) and numbered inside
+    their range; the sizes of the earlier ranges, a table of one row per partition, are added.
     """
     dom = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
-    levels = dom.count()
-    if levels > max_levels:
-        raise ValueError(f"{column}: {levels} distinct values exceed max_levels={max_levels}")
-    from pyspark.sql import Window
-    w = Window.orderBy("value")  # bounded by max_levels, checked above
-    return dom.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
-
-
-def category_encode(df: DataFrame, column: str, max_levels: int = 100000, code_col: str | None = None) -> DataFrame:
-    """Replace a text column by its dictionary code (broadcast lookup of the checked domain)."""
-    dom = category_domain(df, column, max_levels)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(dom.repartitionByRange(parts, "value").withColumn("__range", F.spark_partition_id()))
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    starts = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy("value")) - 1
+    return (ranged.withColumn("__row", inside).join(F.broadcast(starts), "__range")
+            .select("value", (F.col("__start") + F.col("__row")).cast("int").alias("code")))
+
+
+def category_encode(df: DataFrame, column: str, code_col: str | None = None) -> DataFrame:
+    """Replace a text column by its dictionary code; AQE broadcasts the domain when it measures it small."""
+    dom = category_domain(df, column)
     out = code_col or f"{column}_code"
-    return (df.join(F.broadcast(dom.withColumnRenamed("value", column)), column, "left")
-            .withColumnRenamed("code", out))
+    return df.join(dom.withColumnRenamed("value", column), column, "left").withColumnRenamed("code", out)
 
 
 def storage_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -325,8 +326,14 @@ def outside_range(df: DataFrame, column: str, lower: float, upper: float) -> Dat
 
 
 # ---------------------------------------------------------------- A6 - A9
-def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:
-    """mean, std (n-1) and count of ``value`` per non-null ``key``."""
+def group_stats(df: DataFrame, key: str, value: str, domain: DataFrame | None = None) -> DataFrame:
+    """mean, std (n-1) and count of ``value`` per non-null ``key``.
+
+    ``domain``: one row per category in column ``key`` (a categorical's declared levels); categories that
+    do not occur are kept with NULL mean and std and count 0, as pandas does with observed=False."""
+    if domain is not None:
+        found = group_stats(df, key, value)
+        return domain.select(key).join(found, key, "left").select(key, "mean", "std", F.coalesce("count", F.lit(0)).alias("count"))
     v = nan_to_null(value) if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else F.col(value)
     return (df.where(F.col(key).isNotNull())
             .groupBy(key)
@@ -335,14 +342,17 @@ def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def group_mean_sorted(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean per group, ascending."""
-    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias("mean"))
+    v = nan_to_null(value) if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else F.col(value)
+    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(v).alias("mean"))
             .orderBy("mean", key))
 
 
 def group_argmax(stats: DataFrame, key: str, metrics: list[str]) -> DataFrame:
-    """For each metric, the group with the highest value; ties go to the smallest key."""
+    """For each metric, the group with the highest value; ties go to the smallest key.
+
+    A group without the metric (NULL or NaN, as the std of one row) never wins."""
     # min over (-value, key): the highest value first, then the smallest key. One pass, no join.
-    parts = [stats.agg(F.lit(m).alias("metric"),
+    parts = [stats.where(~is_missing(stats, m)).agg(F.lit(m).alias("metric"),
                        F.min_by(F.col(key), F.struct(F.negative(F.col(m)), F.col(key))).alias("group"),
                        F.max(m).alias("value"))
              for m in metrics]
@@ -360,7 +370,7 @@ def spread_ratio(stats: DataFrame, metric: str = "mean") -> DataFrame:
 # ---------------------------------------------------------------- A15 / A16 / A21 / A22
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of each non-null value, most frequent first (ties by value)."""
-    return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    return (df.where(~is_missing(df, column)).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col(column)))
 
 

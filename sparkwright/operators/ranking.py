@@ -15,19 +15,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwright.functions.numeric import is_missing
 
-# Cap: the unrolled binary search is a nested CASE of 2 * buckets nodes; at 1024 the generated
-# code no longer compiles (Spark falls back to interpreted evaluation), at 256 it does.
-MAX_BUCKETS = 256
+# Fan-out of one search level: the unrolled binary search is a nested CASE of 2 * buckets nodes; at 1024
+# the generated code no longer compiles (Spark falls back to interpreted evaluation), at 256 it does.
+# More buckets are reached by searching again inside each bucket, level by level.
+FAN_OUT = 256
 
 
 def _default_buckets(df: DataFrame) -> int:
-    """One bucket per shuffle partition (at least 16, at most MAX_BUCKETS) per group."""
+    """One bucket per shuffle partition (at least 16) per group."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         parts = 200
-    return min(MAX_BUCKETS, max(16, parts))
+    return max(16, parts)
 
 
 def _count_below(bounds: str, value: str, n: int):
@@ -47,40 +49,37 @@ def _count_below(bounds: str, value: str, n: int):
 
 def bucket_bounds(df: DataFrame, order: str, by: list[str] | None = None, buckets: int | None = None,
                   accuracy: int = 10000) -> DataFrame:
-    """Per group, ``buckets - 1`` approximate-quantile boundaries of ``order`` (one row per group).
-
-    Computed on any representative input: callers that rank many groups sharing one
-    distribution (bootstrap replicates of one model) pass bounds from the small base
-    table instead of the replicated one.
-    """
+    """Per group, the approximate-quantile boundaries of ``order`` for one search level (one row per group)."""
     by = list(by or [])
-    nb = min(buckets or _default_buckets(df), MAX_BUCKETS)
+    nb = min(buckets or _default_buckets(df), FAN_OUT)
     probs = [i / nb for i in range(1, max(nb, 2))]
     return df.where(F.col(order).isNotNull()).groupBy(*by).agg(
         F.percentile_approx(order, probs, accuracy).alias("__bounds", metadata={"n": len(probs)}))
 
 
-def _bounds_length(bounds: DataFrame) -> int:
-    raise ValueError("bucket bounds must come from bucket_bounds() (array length is carried in metadata)")
-
-
 def assign_buckets(hist: DataFrame, order: str, by: list[str] | None, buckets: int | None = None,
-                   accuracy: int = 10000, bounds: DataFrame | None = None, few_groups: bool = False) -> DataFrame:
+                   accuracy: int = 10000, few_groups: bool = False) -> DataFrame:
     """Add ``__bucket``: the order-preserving slice of the group's distinct values a row falls in.
 
-    The bounds table has one row of ``buckets - 1`` doubles per group. ``few_groups=True``
-    (the groups are parameter-sized: models, folds, replicates, column pairs, classes)
-    broadcasts it: a shuffle join on a handful of group keys would send each group's
+    More than ``FAN_OUT`` buckets are found level by level: each bucket of a level has boundaries
+    of its own. A bounds table has one row of at most ``FAN_OUT - 1`` doubles per group (and outer
+    bucket). ``few_groups=True`` (the groups are parameter-sized: models, folds, replicates, column
+    pairs, classes) broadcasts it: a shuffle join on a handful of group keys would send each group's
     whole histogram to one task. Otherwise AQE chooses after measuring it.
     """
     by = list(by or [])
-    nb = min(buckets or _default_buckets(hist), MAX_BUCKETS)
-    if nb <= 1 and bounds is None:
+    nb = buckets or _default_buckets(hist)
+    if nb <= 1:
         return hist.withColumn("__bucket", F.lit(0))
-    if bounds is None:
-        bounds = bucket_bounds(hist, order, by, nb, accuracy)
+    if nb > FAN_OUT:
+        inner = -(-nb // FAN_OUT)
+        outer = assign_buckets(hist, order, by, FAN_OUT, accuracy, few_groups).withColumnRenamed("__bucket", f"__outer{nb}")
+        # the outer buckets of few groups are few as well: FAN_OUT rows of bounds per group and level
+        both = assign_buckets(outer, order, [*by, f"__outer{nb}"], inner, accuracy, few_groups or not by)
+        return both.withColumn("__bucket", F.col(f"__outer{nb}") * inner + F.col("__bucket")).drop(f"__outer{nb}")
+    bounds = bucket_bounds(hist, order, by, nb, accuracy)
     keys = [c for c in bounds.columns if c != "__bounds"]
-    n_bounds = bounds.schema["__bounds"].metadata.get("n", None) or _bounds_length(bounds)
+    n_bounds = bounds.schema["__bounds"].metadata["n"]
     # One row per group: tiny for a parameter-sized group set. With groups the
     # planner (AQE) picks broadcast only after measuring the table.
     if not keys:
@@ -91,16 +90,14 @@ def assign_buckets(hist: DataFrame, order: str, by: list[str] | None, buckets: i
 
 
 def cumulative(hist: DataFrame, order: str, by: list[str] | None, sums: list[str],
-               buckets: int | None = None, accuracy: int = 10000, bounds: DataFrame | None = None,
-               few_groups: bool = False) -> DataFrame:
+               buckets: int | None = None, accuracy: int = 10000, few_groups: bool = False) -> DataFrame:
     """Inclusive prefix sums ``cum_<s>`` of columns ``sums`` along ``order`` within ``by``.
 
     ``hist`` must have one row per (by, order) value. No window ever spans a
     whole group: buckets split each group into ~equal slices of distinct values.
-    ``bounds`` (from ``bucket_bounds``) may be keyed by a subset of ``by``.
     """
     by = list(by or [])
-    hb = assign_buckets(hist, order, by, buckets, accuracy, bounds, few_groups)
+    hb = assign_buckets(hist, order, by, buckets, accuracy, few_groups)
     within = Window.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hb = hb.withColumns({f"__run_{s}": F.sum(s).over(within) for s in sums})
 
@@ -129,7 +126,7 @@ def histogram(df: DataFrame, value: str, by: list[str] | None = None, weight: st
 
 def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight: str | None = None,
                  buckets: int | None = None, accuracy: int = 10000, extra_sums: dict | None = None,
-                 bounds: DataFrame | None = None, few_groups: bool = False) -> DataFrame:
+                 few_groups: bool = False) -> DataFrame:
     """Histogram ``(by..., value, cnt, [extra sums], cum, rank)`` with average ranks per group.
 
     ``weight`` counts a row ``weight`` times (bootstrap replicate weights);
@@ -138,7 +135,7 @@ def average_rank(df: DataFrame, value: str, by: list[str] | None = None, weight:
     """
     by = list(by or [])
     hist = histogram(df, value, by, weight, extra_sums)
-    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy, bounds, few_groups).withColumnRenamed("cum_cnt", "cum")
+    c = cumulative(hist, value, by, ["cnt"], buckets, accuracy, few_groups).withColumnRenamed("cum_cnt", "cum")
     return c.withColumn("rank", F.col("cum") - (F.col("cnt") - F.lit(1.0)) / F.lit(2.0))
 
 
@@ -172,19 +169,23 @@ def head_tail(df: DataFrame, order: list, k: int) -> DataFrame:
 
 
 def arg_max_row(df: DataFrame, by_col: str, ret_col: str, tie_col: str | None = None) -> DataFrame:
-    """Value of ``ret_col`` on the row with the largest ``by_col``; first (smallest tie_col) on ties."""
+    """Value of ``ret_col`` on the row with the largest ``by_col``; first (smallest tie_col) on ties.
+
+    Rows whose ``by_col`` is missing (NULL or NaN) never win."""
     tie = tie_col or ret_col
-    return df.agg(F.min_by(F.col(ret_col), F.struct(F.negative(F.col(by_col)), F.col(tie))).alias(ret_col),
+    return df.where(~is_missing(df, by_col)).agg(F.min_by(F.col(ret_col), F.struct(F.negative(F.col(by_col)), F.col(tie))).alias(ret_col),
                   F.max(by_col).alias(by_col))
 
 
 def descending_cumulative(df: DataFrame, score: str, label: str, by: list[str] | None = None,
-                          buckets: int | None = None) -> DataFrame:
-    """Per distinct score, descending: cumulative positives ``tp`` and negatives ``fp``."""
+                          buckets: int | None = None, few_groups: bool = True) -> DataFrame:
+    """Per distinct score, descending: cumulative positives ``tp`` and negatives ``fp``.
+
+    ``few_groups``: the groups are models or splits; say False for groups that grow with the data."""
     by = list(by or [])
     neg = df.select(*by, F.negative(F.col(score)).alias("__ns"), F.col(label).cast("double").alias("__pos"))
     h = histogram(neg, "__ns", by, extra_sums={"pos": F.col("__pos")})
-    c = cumulative(h, "__ns", by, ["cnt", "pos"], buckets, few_groups=True)  # groups: models / splits
+    c = cumulative(h, "__ns", by, ["cnt", "pos"], buckets, few_groups=few_groups)
     return c.select(*by, F.negative("__ns").alias(score), F.col("cnt").alias("n_at_score"),
                     F.col("pos").alias("pos_at_score"), F.col("cum_pos").alias("tp"),
                     (F.col("cum_cnt") - F.col("cum_pos")).alias("fp"))

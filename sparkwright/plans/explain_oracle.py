@@ -1,22 +1,22 @@
 """DuckDB twins of the explanation queries."""
 
-from sparkwright.plans.fixtures import EXPLAIN_INPUT_SQL
+from sparkwright.functions.text import EMAIL_PATTERN, PHONE_PATTERN
+from sparkwright.operators.explain import DEFAULT_RULES as _R
+from sparkwright.plans.fixtures import EXPLAIN_INPUT_SQL, LINEITEM_FEATURES_SQL
 
 _FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "rf_code", "ls_code"]
 _NL = "chr(10)"
-_EMAIL = r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
-_PHONE = r"\b\d{10}\b|\b\d{3}[-.\s]\d{3}[-.\s]\d{4}\b"
 
 
 def _pii(col):
-    return f"(regexp_matches({col}, '{_EMAIL}') OR regexp_matches({col}, '{_PHONE}'))"
+    return f"(regexp_matches({col}, '{EMAIL_PATTERN}') OR regexp_matches({col}, '{PHONE_PATTERN}'))"
 
 
 _FEATS_INDENT = (f"'{{' || {_NL} || " + f" || ',' || {_NL} || ".join(
     f"'  \"{f}\": ' || CAST({f} AS VARCHAR)" for f in _FEATS) + f" || {_NL} || '}}'")
 _FEATS_FLAT = "'{' || " + " || ', ' || ".join(f"'\"{f}\": ' || CAST({f} AS VARCHAR)" for f in _FEATS) + " || '}'"
-_FIXED4 = ("CAST(floor(floor((round(prob * 1e6)::BIGINT + 50) / 100) / 10000)::BIGINT AS VARCHAR) || '.' || "
-           "lpad(CAST(floor((round(prob * 1e6)::BIGINT + 50) / 100)::BIGINT % 10000 AS VARCHAR), 4, '0')")
+_FIXED4 = ("CAST(floor(floor(prob * 1e4 + 0.5) / 10000)::BIGINT AS VARCHAR) || '.' || "
+           "lpad(CAST(floor(prob * 1e4 + 0.5)::BIGINT % 10000 AS VARCHAR), 4, '0')")
 _PROMPT = (f"'Feature values:' || {_NL} || {_FEATS_INDENT} || {_NL} || {_NL} || 'Predicted class: ' || CAST(pred AS VARCHAR)"
            f" || {_NL} || 'Predicted probability for class 1: ' || {_FIXED4} || {_NL} || {_NL} || "
            "'Explain this prediction as JSON only.'")
@@ -39,13 +39,12 @@ def _tier(prob):
 
 def _step(cls, t):
     if t >= 0.7:
-        return (f"CASE WHEN {cls} = 1 THEN 'Escalate to premium pricing analyst.' "
-                "ELSE 'Route to standard catalog with QA check.' END")
-    return "'Use standard pricing workflow.'"
+        return f"CASE WHEN {cls} = 1 THEN '{_R.escalate_step}' ELSE '{_R.review_step}' END"
+    return f"'{_R.default_step}'"
 
 
 def _label(cls):
-    return f"CASE WHEN {cls} = 1 THEN 'above_median_price' ELSE 'below_median_price' END"
+    return f"CASE WHEN {cls} = 1 THEN '{_R.positive_label}' ELSE '{_R.negative_label}' END"
 
 
 def _review(cls, prob):
@@ -55,8 +54,7 @@ def _review(cls, prob):
 def _response(p, t):
     prob, cls = _prob(p), _cls(p)
     return ("'{\"prediction_label\": \"' || " + _label(cls) + " || '\", \"confidence_level\": \"' || " + _tier(prob)
-            + " || '\", \"top_reason\": \"Stone dimensions are the main driver of price.\", "
-              "\"second_reason\": \"Quality grades (cut, clarity) add secondary signal.\", \"next_step\": \"' || "
+            + f" || '\", \"top_reason\": \"{_R.top_reason}\", \"second_reason\": \"{_R.second_reason}\", \"next_step\": \"' || "
             + _step(cls, t) + " || '\", \"requires_human_review\": ' || CASE WHEN " + _review(cls, prob)
             + " THEN 'true' ELSE 'false' END || '}'")
 
@@ -94,6 +92,11 @@ SQL = {
     "t1_pii_conversations": f"SELECT conv_id, turn, {_pii('text')} AS has_pii FROM conversations",
     "t2_guardrail_status": f"SELECT doc_id, CASE WHEN {_pii('text')} THEN 'blocked' ELSE 'passed' END AS status FROM documents",
     "t3_prompt": f"WITH {EXPLAIN_INPUT_SQL} SELECT row_key, {_PROMPT} AS prompt FROM ei",
+    "t3_prompt_edges": f"""WITH {LINEITEM_FEATURES_SQL}, ei AS (
+            SELECT row_key, nullif(l_discount, 0) AS l_discount, l_tax / 100 AS l_tax, l_extendedprice * 1000 AS l_extendedprice,
+                   l_quantity * 1e15 AS l_quantity, l_tax / 1e6 AS rf_code, -l_extendedprice * 1e9 AS ls_code,
+                   1 / (1 + exp(-(l_extendedprice - 36000.0) / 9000.0)) AS prob, label AS pred FROM lf WHERE is_test)
+        SELECT row_key, {_PROMPT.replace("|| CAST(l_discount AS VARCHAR)", "|| coalesce(CAST(l_discount AS VARCHAR), 'null')")} AS prompt FROM ei""",
     "t4_extract": f"WITH {_RESP} SELECT row_key, {_prob('prompt')} AS prob_parsed, {_cls('prompt')} AS class_parsed FROM pp",
     "t5_confidence_tier": f"WITH {_RESP} SELECT row_key, {_prob('prompt')} AS prob_parsed, {_tier(_prob('prompt'))} AS tier FROM pp",
     "t6_next_step": f"WITH {_RESP} SELECT row_key, {_step(_cls('prompt'), 0.0)} AS next_step_t0, "

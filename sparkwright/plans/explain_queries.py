@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwright.operators import explain as X
-from sparkwright.plans.fixtures import FEATURES, explain_input, table
+from sparkwright.plans.fixtures import FEATURES, explain_input, lineitem_features, table
 
 
 def _prompts(spark, d):
@@ -48,6 +48,17 @@ def t3_prompt(spark, d):
     return _prompts(spark, d).select("row_key", "prompt")
 
 
+def t3_prompt_edges(spark, d):
+    """Missing, very small and very large feature values, and unrounded probabilities."""
+    lf = lineitem_features(spark, d).where("is_test")
+    x = F.col("l_extendedprice")
+    edge = lf.select("row_key", F.expr("nullif(l_discount, 0)").alias("l_discount"), (F.col("l_tax") / 100).alias("l_tax"),
+                     (x * 1000).alias("l_extendedprice"), (F.col("l_quantity") * 1e15).alias("l_quantity"),
+                     (F.col("l_tax") / 1e6).alias("rf_code"), (-x * 1e9).alias("ls_code"),
+                     (1 / (1 + F.exp(-(x - 36000.0) / 9000.0))).alias("prob"), F.col("label").alias("pred"))
+    return edge.select("row_key", X.render_prompt(FEATURES, "pred", "prob").alias("prompt"))
+
+
 def t4_extract(spark, d):
     p = _prompts(spark, d)
     prob = X.parsed_probability(F.col("prompt"))

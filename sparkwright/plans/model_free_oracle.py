@@ -67,6 +67,12 @@ _F7_BASE = f"""WITH li AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppke
     st AS (SELECT avg(l_quantity) AS aq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS ad, stddev_pop(l_discount) AS sd,
                   avg(l_tax) AS atx, stddev_pop(l_tax) AS stx FROM im WHERE NOT is_test)"""
 
+# keyed by order: a repeated key's n-th row (by label, score) draws with the key 'key#n'
+_BOOT_KEYS = _BOOT.replace("reps AS (", """prn AS (SELECT * REPLACE (split_part(row_key, '|', 1) AS row_key),
+    row_number() OVER (PARTITION BY model, split_part(row_key, '|', 1) ORDER BY label, score) AS i FROM pr),
+prk AS (SELECT * REPLACE (CASE WHEN i = 1 THEN row_key ELSE row_key || '#' || i END AS row_key) FROM prn),
+reps AS (""", 1).replace("range(1, 501)", "range(1, 51)").replace("FROM pr p CROSS JOIN reps", "FROM prk p CROSS JOIN reps")
+
 SQL = {
     "p9_bootstrap_weights": "WITH " + SCORED_SQL + f""",
         reps AS (SELECT range::INTEGER AS replicate FROM range(1, 501)),
@@ -170,6 +176,16 @@ SQL = {
         FROM sca GROUP BY model""",
     "v10_bootstrap_auc_diff": f"WITH {_BOOT} SELECT replicate, round(auc_a, 8) AS auc_a, round(auc_b, 8) AS auc_b, "
                               "round(diff, 8) AS diff FROM diffs",
+    "v10_bootstrap_repeated_keys": f"WITH {_BOOT_KEYS} SELECT replicate, round(auc_a, 8) AS auc_a, round(auc_b, 8) AS auc_b, "
+                                   "round(diff, 8) AS diff FROM diffs",
+    "f6_folds_repeated_keys": f"""WITH {LINEITEM_FEATURES_SQL}, t AS (
+            SELECT label, (row_number() OVER (PARTITION BY label ORDER BY split_part(row_key, '|', 1), row_key) - 1) % 5 AS fold
+            FROM lf WHERE NOT is_test)
+        SELECT label, CAST(fold AS INTEGER) AS fold, count(*) AS rows FROM t GROUP BY ALL""",
+    "f4_imputer_nan": """WITH li AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_key, nullif(l_discount, 0) AS l_discount,
+                                           CASE WHEN l_linenumber = 1 THEN NULL ELSE l_tax END AS l_tax FROM lineitem),
+        m AS (SELECT quantile_cont(l_discount, 0.5) AS md, avg(l_tax) AS ta, stddev_pop(l_tax) AS ts FROM li)
+        SELECT row_key, round(coalesce(l_discount, md), 6) AS l_discount, round((l_tax - ta) / ts, 6) AS l_tax FROM li, m""",
     "v11_bootstrap_ci": f"""WITH {_BOOT} SELECT round(mean, 8) AS mean, round(ci_low, 8) AS ci_low, round(ci_high, 8) AS ci_high,
         replicates, NOT (ci_low <= 0 AND ci_high >= 0) AS excludes_zero FROM ci""",
     "v12_ci_excludes_zero": f"WITH {_BOOT} SELECT NOT (ci_low <= 0 AND ci_high >= 0) AS excludes_zero FROM ci",

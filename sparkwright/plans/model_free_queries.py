@@ -68,14 +68,8 @@ def f6_stratified_folds(spark, d):
 
 def p8_nested_prefix(spark, d):
     lf = lineitem_features(spark, d).where(~F.col("is_test")).select("row_key", "label")
-    parts = [FE.nested_prefix(lf, "row_key", SEED, f).agg(F.lit(f).alias("fraction"),
-                                                          F.count(F.lit(1)).alias("rows"),
-                                                          F.sum("label").cast("bigint").alias("positives"))
-             for f in (0.2, 0.4, 0.6, 0.8, 1.0)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return FE.nested_prefixes(lf, "row_key", SEED, [0.2, 0.4, 0.6, 0.8, 1.0]).groupBy("fraction").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("bigint").alias("positives"))
 
 
 def p6_threshold_predicate(spark, d):
@@ -149,6 +143,33 @@ def v13_model_comparison(spark, d):
     return V.model_comparison(scored(spark, d))
 
 
+def _by_order(spark, d):
+    """Scores keyed by order: a key repeats once per line, with labels of both classes."""
+    return scored(spark, d).withColumn("row_key", F.substring_index("row_key", "|", 1))
+
+
+def v10_bootstrap_repeated_keys(spark, d):
+    return rounded(V.bootstrap_auc_difference(_by_order(spark, d), "model_a", "model_b", 50, SEED), 8)
+
+
+def f6_folds_repeated_keys(spark, d):
+    """Folds keyed by order: rows that share a hash are still dealt one by one."""
+    lf = lineitem_features(spark, d).where(~F.col("is_test")).select(
+        F.substring_index("row_key", "|", 1).alias("order_key"), "row_key", "label")
+    return FE.stratified_folds(lf, "order_key", "label", 5, SEED).groupBy("label", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def f4_imputer_nan(spark, d):
+    """NaN is missing: the imputer and the scaler treat it as NULL."""
+    li = table(spark, d, "lineitem").select(
+        F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
+        F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_discount")).alias("l_discount"),
+        F.when(F.col("l_linenumber") == 1, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
+    done = FE.apply_median_imputer(li, FE.fit_median_imputer(li, ["l_discount"]), ["l_discount"])
+    return rounded(FE.apply_standard_scaler(done, FE.fit_standard_scaler(done, ["l_tax"]), ["l_tax"])
+                   .withColumn("l_tax", F.nanvl("l_tax", F.lit(None).cast("double"))))
+
+
 def a22_fold_auc_summary(spark, d):
     tr = scored_all(spark, d).where(~F.col("is_test"))
     folds = FE.stratified_folds(tr.where(F.col("model") == "model_a").select("row_key", "label"),
@@ -159,9 +180,7 @@ def a22_fold_auc_summary(spark, d):
 
 def p9_bootstrap_weights(spark, d):
     s = scored(spark, d).where(F.col("model") == "model_a").select("row_key")
-    w = V.bootstrap_weights(s, "row_key", 500, SEED)
-    return w.groupBy("replicate").agg(F.count(F.lit(1)).alias("drawn_rows"),
-                                      F.sum("weight").cast("bigint").alias("total_weight"))
+    return V.bootstrap_draws(s, "row_key", 500, SEED)
 
 
 def p7_drop_list_columns(spark, d):

@@ -121,4 +121,19 @@ SQL = {
     "p5_outside_range": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_extendedprice < 2000.0 OR l_extendedprice > 90000.0",
     "p13_keyed_lookup_default": """SELECT d.doc_id, d.lang, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxic
         FROM documents d LEFT JOIN labels l USING (doc_id)""",
+    "a6_group_mean_nan": """SELECT event_type, round(avg(value), 6) AS mean FROM events WHERE event_type IS NOT NULL AND event_id % 7 <> 0
+        GROUP BY 1 ORDER BY 2, 1""",
+    "a15_value_counts_nan": """SELECT floor(value)::DOUBLE AS whole, count(*) AS count FROM events WHERE event_id % 7 <> 0 AND value IS NOT NULL
+        GROUP BY 1""",
+    "a8_argmax_null_std": """WITH g AS (SELECT CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders) THEN 'alone' ELSE o_orderpriority END AS grp,
+                                          o_totalprice AS v FROM orders),
+        s AS (SELECT grp, stddev_samp(v) AS std, count(v)::DOUBLE AS count FROM g GROUP BY 1)
+        SELECT * FROM (SELECT 'std' AS metric, grp AS "group", round(std, 6) AS value FROM s WHERE std IS NOT NULL ORDER BY std DESC, grp LIMIT 1)
+        UNION ALL SELECT * FROM (SELECT 'count', grp, count FROM s ORDER BY count DESC, grp LIMIT 1)""",
+    "a7_group_stats_domain": """SELECT l.o_orderpriority, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std,
+               count(o_totalprice) AS count
+        FROM (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW'), ('6-NEVER')) l(o_orderpriority)
+        LEFT JOIN orders USING (o_orderpriority) GROUP BY 1""",
+    "q10_category_codes_wide": """SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+        FROM (SELECT DISTINCT 'order-' || o_orderkey AS value FROM orders)""",
 }

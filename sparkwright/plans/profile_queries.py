@@ -163,5 +163,42 @@ def p13_keyed_lookup_default(spark, d):
                     F.coalesce("toxic", F.lit(0)).alias("toxic")))
 
 
+def _events_nan(spark, d):
+    """events with NaN in place of every 7th value."""
+    ev = table(spark, d, "events")
+    return ev.select("event_id", "event_type", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+
+
+def a6_group_mean_nan(spark, d):
+    return rounded(P.group_mean_sorted(_events_nan(spark, d), "event_type", "value"))
+
+
+def a15_value_counts_nan(spark, d):
+    df = _events_nan(spark, d).select(F.when(F.isnan("value"), F.col("value")).otherwise(F.floor("value").cast("double")).alias("whole"))
+    return P.value_counts(df, "whole")
+
+
+def a8_argmax_null_std(spark, d):
+    """The largest order alone is a group of one row: its std is NULL and must not win."""
+    o = table(spark, d, "orders")
+    alone = o.withColumn("grp", F.when(F.col("o_orderkey") == F.lit(o.agg(F.min("o_orderkey")).first()[0]), F.lit("alone"))
+                         .otherwise(F.col("o_orderpriority")))
+    stats = P.group_stats(alone, "grp", "o_totalprice")
+    return rounded(P.group_argmax(stats, "grp", ["std", "count"]).withColumn("value", F.col("value").cast("double")))
+
+
+def a7_group_stats_domain(spark, d):
+    """Declared categories, one of which does not occur, keep their row."""
+    levels = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NEVER"]
+    domain = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in levels])).alias("o_orderpriority"))
+    return rounded(P.group_stats(table(spark, d, "orders"), "o_orderpriority", "o_totalprice", domain))
+
+
+def q10_category_codes_wide(spark, d):
+    """Dictionary codes of a column with a value per row."""
+    keys = table(spark, d, "orders").select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("name"))
+    return P.category_domain(keys, "name")
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and name[:1] in "sqap" and name[1:2].isdigit()}

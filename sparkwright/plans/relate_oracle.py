@@ -45,7 +45,19 @@ def _spearman_events() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _wide_sql() -> str:
+    cols = []
+    for i in range(30):
+        v = f"(l_extendedprice * {(i % 5) - 2} + l_quantity * {i * 37 % 11} + l_discount * {1000 * (i % 3)})"
+        cols.append((f"CASE WHEN l_orderkey % {i + 2} = 0 THEN NULL ELSE {v} END" if i % 2 else v) + f"::DOUBLE AS c{i}")
+    pairs = " UNION ALL ".join(f"SELECT 'c{i}' AS col_a, 'c{j}' AS col_b, CASE WHEN stddev_samp(c{i}) FILTER (WHERE c{j} IS NOT NULL) > 0 "
+                               f"AND stddev_samp(c{j}) FILTER (WHERE c{i} IS NOT NULL) > 0 THEN round(corr(c{i}, c{j}), 6) END AS value FROM w"
+                               for i, j in combinations(range(30), 2))
+    return f"WITH w AS MATERIALIZED (SELECT {', '.join(cols)} FROM lineitem) {pairs}"
+
+
 SQL = {
+    "a10_pearson_wide": _wide_sql(),
     "a11_spearman_complete": _spearman_events(),
     "r1_average_rank": """SELECT user_id, cnt::DOUBLE AS cnt, cum::DOUBLE AS cum, cum - (cnt - 1) / 2.0::DOUBLE AS rank FROM (
         SELECT user_id, cnt, sum(cnt) OVER (ORDER BY user_id) AS cum FROM (

@@ -38,6 +38,21 @@ def a10_pearson_square(spark, d):
     return rounded(C.to_square(C.pearson(lineitem_corr(spark, d), CORR_COLUMNS)).select("col_a", "col_b", "value"))
 
 
+def _wide_gaps(spark, d):
+    """30 columns of lineitem measures, every other one with gaps of its own."""
+    li = table(spark, d, "lineitem")
+    cols = []
+    for i in range(30):
+        v = F.col("l_extendedprice") * ((i % 5) - 2) + F.col("l_quantity") * (i * 37 % 11) + F.col("l_discount") * (1000 * (i % 3))
+        cols.append((F.when(F.col("l_orderkey") % (i + 2) == 0, F.lit(None)).otherwise(v) if i % 2 else v).alias(f"c{i}"))
+    return li.select(*cols)
+
+
+def a10_pearson_wide(spark, d):
+    """30 columns with gaps: pairs in blocks, one path for every width."""
+    return rounded(C.pearson(_wide_gaps(spark, d), [f"c{i}" for i in range(30)]).select("col_a", "col_b", "value"))
+
+
 def a11_spearman(spark, d):
     return rounded(C.spearman(lineitem_corr(spark, d), CORR_COLUMNS).select("col_a", "col_b", "value"))
 

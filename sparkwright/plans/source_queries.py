@@ -17,9 +17,12 @@ def s1_csv_scan(spark, d):
         F.when(F.col("o_orderstatus") == "P", F.lit("NA")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("null")).otherwise(F.col("o_totalprice").cast("string"))
         .alias("o_totalprice"),
-        "o_orderpriority")
+        "o_orderpriority",
+        F.concat(F.lit('{"key": "'), F.col("o_orderkey").cast("string"), F.lit('", "note": "a, ""b""\n'),
+                 F.col("o_orderpriority"), F.lit('"}')).alias("note"))
     path = S.write_csv(o, S.scratch_path(spark, "orders_csv"))
-    return S.read_csv(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    # bound by name: declared in another order than written
+    return S.read_csv(spark, path, "o_custkey bigint, o_orderkey bigint, note string, o_orderstatus string, "
                                    "o_totalprice double, o_orderpriority string")
 
 
@@ -33,15 +36,16 @@ def s2_stage_scan(spark, d):
 def s5_csv_report(spark, d):
     """Grouped statistics report written as CSV with a header and read back."""
     rep = rounded(P.group_stats(table(spark, d, "orders"), "o_orderpriority", "o_totalprice"))
-    path = S.write_csv(rep, S.scratch_path(spark, "group_report"), single_file=True)
-    return S.read_csv(spark, path, "o_orderpriority string, mean double, std double, count bigint")
+    path = S.write_csv(rep, S.scratch_path(spark, "group_report"), index_by=["o_orderpriority"])
+    return S.read_csv(spark, path, "`Unnamed: 0` int, o_orderpriority string, mean double, std double, count bigint") \
+        .withColumnRenamed("Unnamed: 0", "row")
 
 
 def s4_literal_rows_joined(spark, d):
-    """Literal lookup rows (declared priority ranks) joined to orders and counted."""
+    """Literal lookup rows (declared priority ranks) joined to orders and counted; other priorities have no rank."""
     lit = S.literal_rows(spark, [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3)], "o_orderpriority string, rank int")
     o = table(spark, d, "orders")
-    return o.join(F.broadcast(lit), "o_orderpriority").groupBy("o_orderpriority", "rank") \
+    return o.join(F.broadcast(lit), "o_orderpriority", "left").groupBy("o_orderpriority", "rank") \
         .agg(F.count(F.lit(1)).alias("orders"))
 
 

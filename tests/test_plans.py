@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from tests.conftest import SF001
 
@@ -37,7 +39,15 @@ def test_rank_windows_are_bucketed(spark):
         plan = _formatted(E.queries()[name](spark, SF001))
         windows = re.findall(r"\(\d+\) Window\nInput[^\n]*\nArguments: ([^\n]*)", plan)
         assert windows, name
-        assert all("__bucket" in w for w in windows), (name, windows)
+        assert all("__bucket" in w or "__b#" in w for w in windows), (name, windows)
+
+
+@pytest.mark.parametrize("name, columns", [("t10_validate", 1), ("t11_fallback_record", 1), ("t12_ab_compare", 2), ("t13_result_table", 1),
+                                           ("t14_guardrail_audit", 1)])
+def test_one_parse_per_response(spark, name, columns):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    branches = 3 if name in ("t10_validate", "t11_fallback_record") else 1      # a union of three sources may be parsed in each
+    assert columns <= len(re.findall(r"tryparsejson|try_parse_json|parseJson", plan, re.I)) <= columns * branches
 
 
 def test_bootstrap_bounds_are_broadcast(spark):

@@ -54,23 +54,60 @@ def test_exact_split_size_and_nested_prefixes(spark):
     assert len(small) == 199 and len(big) == 598 and small <= big
 
 
-def test_spearman_complete_path_equals_pairwise_path(spark):
+def test_spearman_equals_pandas_with_and_without_gaps(spark):
     from sparkwright.operators.correlation import spearman
     from tests.conftest import SF001
     ev = spark.read.parquet(f"{SF001}/events.parquet")
+    gaps = ev.withColumn("value", F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("value")))
     cols = ["event_id", "user_id", "value"]
-    a = {(r["col_a"], r["col_b"]): r["value"] for r in spearman(ev, cols).collect()}
-    b = {(r["col_a"], r["col_b"]): r["value"] for r in spearman(ev, cols, complete=False).collect()}
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
-    pdf = ev.select(*cols).toPandas().corr(method="spearman")
-    assert abs(a[("user_id", "value")] - pdf.loc["user_id", "value"]) < 1e-12
+    for df in (ev, gaps):
+        a = {(r["col_a"], r["col_b"]): r["value"] for r in spearman(df, cols).collect()}
+        pdf = df.select(*cols).toPandas().corr(method="spearman")
+        assert len(a) == 3 and all(abs(v - pdf.loc[k]) < 1e-9 for k, v in a.items())
 
 
-def test_pearson_gramian_path_equals_aggregate_path(spark):
+def test_pearson_blocks_equal_pandas(spark):
     from sparkwright.operators import correlation as C
     from tests.conftest import SF001
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey"]
-    a = {(r["col_a"], r["col_b"]): r["value"] for r in C.pearson(li, cols).collect()}
-    b = {(r["col_a"], r["col_b"]): r["value"] for r in C._pearson_gramian(li.select(*cols), cols).collect()}
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    wide = li.select(*[(F.col(c) * (i + 1) + F.col("l_suppkey")).alias(f"{c}{i}") for i in range(5) for c in cols])
+    a = {(r["col_a"], r["col_b"]): r["value"] for r in C.pearson(wide, wide.columns).collect()}
+    pdf = wide.toPandas().corr()
+    assert len(a) == 30 * 29 // 2 and all(abs(v - pdf.loc[k]) < 1e-9 for k, v in a.items())
+
+
+def test_ranks_beyond_one_level_of_buckets(spark):
+    """More buckets than one search level holds: ranks equal pandas."""
+    from sparkwright.operators import ranking as R
+    df = spark.range(0, 30000).select((F.hash("id") % 20000).cast("double").alias("v"))
+    pdf = df.toPandas()
+    pdf["r"] = pdf["v"].rank()
+    want = dict(zip(pdf["v"], pdf["r"]))
+    out = R.average_rank(df, "v", buckets=700)
+    got = {r["v"]: r["rank"] for r in out.collect()}
+    assert got == want
+    hist = R.histogram(df, "v")
+    assert R.assign_buckets(hist, "v", None, 700).select("__bucket").distinct().count() > 600
+
+
+def test_repeated_keys_keep_their_rows(spark):
+    """20 keys with two rows each, labels 0 and 1: the bootstrap keeps all rows."""
+    from sparkwright.operators import evaluate as V
+    rows = [(m, f"k{i}", y, (i % 5) / 5 + y * 0.1 * (m == "a")) for i in range(20) for y in (0, 1) for m in ("a", "b")]
+    df = spark.createDataFrame(rows, "model string, row_key string, label int, score double")
+    out = V.bootstrap_auc_difference(df, "a", "b", 40).collect()
+    assert len(out) == 40 and 0.55 < sum(r["auc_a"] for r in out) / 40 < 0.75
+    assert abs(sum(r["auc_b"] for r in out) / 40 - 0.5) < 0.1
+
+
+def test_quantiles_shuffle_only_candidates(spark):
+    from sparkwright.operators.quantile import exact_quantiles
+    import numpy as np
+    df = spark.range(0, 40000).select((F.hash("id") / 1000.0).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("b"))
+    got = {(r["column_name"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], [0.0, 0.1, 0.5, 0.975, 1.0]).collect()}
+    pdf = df.toPandas()
+    assert len(got) == 10
+    for (c, p), v in got.items():
+        assert abs(v - np.quantile(pdf[c].dropna(), p)) < 1e-9
+
