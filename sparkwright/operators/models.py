@@ -211,15 +211,19 @@ def fit_all(jobs: list, parallelism: int = 4) -> list:
 
 def out_of_fold_predictions(df: DataFrame, features: list[str], estimators: dict, fold: str = "fold",
                             label: str = "label", key: str = "row_key", k: int = 5, impute: bool = False,
-                            parallelism: int = 4) -> DataFrame:
+                            parallelism: int = 4, prepare=None) -> DataFrame:
     """Tall (model, fold, key, label, score): each fold scored by a model fit on the other folds.
 
+    ``estimators`` maps a name to an estimator, or to a function of the fold's training rows that returns one (a
+    penalty that depends on their number); ``prepare`` is applied to those rows first (class weights of the fold).
+
     One fit per (model, fold), run ``parallelism`` at a time — a loop over folds, never over
     rows — and the union of all out-of-fold predictions is evaluated in one grouped job.
     """
     plan = [(name, i) for name in estimators for i in range(k)]
-    models = fit_all([(assemble_stages(features, estimators[name], impute=impute), df.where(F.col(fold) != i))
-                      for name, i in plan], parallelism)
+    rows = {i: (prepare or (lambda tr: tr))(df.where(F.col(fold) != i)) for i in range(k)}
+    build = {(name, i): e(rows[i]) if callable(e) else e for name, e in estimators.items() for i in range(k)}
+    models = fit_all([(assemble_stages(features, build[name, i], impute=impute), rows[i]) for name, i in plan], parallelism)
     parts = [score(m, df.where(F.col(fold) == i), [key, label, fold]).withColumn("model", F.lit(name))
              for (name, i), m in zip(plan, models)]
     out = parts[0]

@@ -1,9 +1,26 @@
 """DuckDB twins for the model queries that SQL can express (a one-feature least-squares fit)."""
 
-from sparkwright.plans.fixtures import LINEITEM_FEATURES_SQL
+from sparkwright.plans.fixtures import FEATURES, LINEITEM_FEATURES_SQL
+
+
+def _residuals() -> str:
+    """CTEs that take each feature's share out of net and of the later features, on the training rows' sums."""
+    x = [f"x{i}" for i in range(len(FEATURES))]
+    ctes = ["c AS (SELECT " + ", ".join(f"avg({f}) AS m{i}" for i, f in enumerate(FEATURES)) + ", avg(net) AS my FROM lf WHERE NOT is_test)",
+            "r0 AS (SELECT is_test, net, net - my AS y, " + ", ".join(f"{f} - m{i} AS x{i}" for i, f in enumerate(FEATURES)) + " FROM lf, c)"]
+    for k in range(len(FEATURES)):
+        rest = x[k + 1:]
+        ctes.append(f"b{k} AS (SELECT sum(y * x{k}) / sum(x{k} * x{k}) AS b_y"
+                    + "".join(f", sum({z} * x{k}) / sum(x{k} * x{k}) AS b_{z}" for z in rest) + f" FROM r{k} WHERE NOT is_test)")
+        ctes.append(f"r{k + 1} AS (SELECT is_test, net, y - b_y * x{k} AS y" + "".join(f", {z} - b_{z} * x{k} AS {z}" for z in rest) + f" FROM r{k}, b{k})")
+    return ", ".join(ctes)
 
 SQL = {
     "m1_ols_one_feature": f"""WITH {LINEITEM_FEATURES_SQL}
         SELECT round(regr_slope(net, l_extendedprice), 6) AS slope, round(regr_intercept(net, l_extendedprice), 2) AS intercept
         FROM lf WHERE NOT is_test""",
+    "m1_ols_r2": f"""WITH {LINEITEM_FEATURES_SQL}, {_residuals()}
+        SELECT 'ols' AS model, round(1 - sum(y * y) / (count(net) * var_pop(net)), 4) AS r2 FROM r{len(FEATURES)} WHERE is_test""",
+    "m18_reload_difference": f"WITH {LINEITEM_FEATURES_SQL} SELECT count(*) AS rows, 0.0::DOUBLE AS max_difference FROM lf WHERE is_test",
+    "s6_save_load": f"WITH {LINEITEM_FEATURES_SQL} SELECT count(*) AS rows, 0.0::DOUBLE AS max_difference FROM lf WHERE is_test",
 }
