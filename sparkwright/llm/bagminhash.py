@@ -31,6 +31,7 @@ from sparkwright.llm.textutil import WordHashes, mixed, shingles, slices, texts_
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5            # a pair at similarity 0.8 shares a band with probability 0.99995
 CHUNK, REPS = 512, 32
+BROADCAST_ROWS = 1 << 21
 _U = np.uint64
 
 
@@ -243,7 +244,10 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = bucket.join(leaders, "h").where("k <> b").select(F.col("k").alias("a"), "b").distinct()
     labels = components(edges)
     text = docs.select(_key().alias("k"), "text")
-    members = cut_lineage(text.join(labels.select(F.col("node").alias("k"), "label"), "k").dropDuplicates(["k"]))
+    linked = labels.select(F.col("node").alias("k"), "label")
+    if labels.count() <= BROADCAST_ROWS:     # two longs a row; beyond that the texts are shuffled to the join
+        linked = F.broadcast(linked)
+    members = cut_lineage(text.join(linked, "k").dropDuplicates(["k"]))
     merges = _verified(members)
     rows = signed.select("doc_id", "k")
     if merges is None:
