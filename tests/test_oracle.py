@@ -7,14 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sparkwright.plans.catalog import all_queries
 from tests.conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 SQL = E.oracle_sql()
-SLOW_ROWS_ONLY = {"m14_cross_validation", "m15_grid_search", "m16_best_params", "m17_learning_curve",
-                  "m18_reload_score", "m19_leaderboard", "m12_gradient_boosting", "m13_ablation", "m10_random_forest",
-                  "m11_feature_importance", "m20_predict_test", "m6_tree_unlimited", "m7_tree_depth5"}
+SLOW_ROWS_ONLY = {"m14_cross_validation", "m17_learning_curve", "m19_leaderboard", "m12_gradient_boosting", "m13_ablation"}
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +52,7 @@ def test_query_matches_duckdb(spark, con, name):
     assert got[1] == exp[1]
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n not in SQL and n not in SLOW_ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(n for n in all_queries() if n not in SQL and n not in SLOW_ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF001).count() > 0
 
@@ -77,3 +76,23 @@ def test_output_types_match_duckdb(spark, con):
         if st != dt:
             bad[name] = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
     assert not bad, bad
+
+
+def test_grid_and_best_point(spark):
+    """Every point of the grid is there, the best is its arg-max, and its AUC is in the published range."""
+    grid = E.queries()["m15_grid_search"](spark, SF001).collect()
+    assert len(grid) == 8 and len({(r.numTrees, r.maxDepth, r.minInstancesPerNode) for r in grid}) == 8
+    best = E.queries()["m16_best_params"](spark, SF001).first()
+    assert round(best.cv_auc, 4) == max(r.cv_auc for r in grid) and 0.95 < best.cv_auc <= 1.0
+
+
+def test_end_to_end_explanations(spark):
+    out = E.queries()["t15_end_to_end"](spark, SF001)
+    n, valid, passed = out.selectExpr("count(*)", "count_if(valid_temp0 and valid_temp07)", "count_if(guardrail = 'passed')").first()
+    assert n > 0 and valid == passed == n
+    assert {r[0] for r in out.select("pred").distinct().collect()} == {0, 1}
+
+
+def test_controlled_tree_differs_from_the_unlimited_one(spark):
+    rows = {r.model: r for r in E.queries()["m7_tree_depth5"](spark, SF001).collect()}
+    assert rows["tree_d5"].gap < rows["tree_full"].gap and rows["tree_d5"].test_acc > 0.9
