@@ -148,7 +148,8 @@ def mix(docs: DataFrame, block_words: int = 256, n_shards: int = 64, share: floa
     laid = lay_out(with_sid, ["doc_id", "h"])
     slots = draw_slots(sources, max(1, total), n_shards, seed)
     uses = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
-    parts = pieces(laid, block_words, ["doc_id", "h", "copy", "size"]).join(uses, ["sid", "block"])
+    parts = pieces(laid, block_words, ["doc_id", "h", "copy", "size"]).join(
+        uses.hint("merge"), ["sid", "block"])       # the blocks grow with the data, which the planner cannot see: no broadcast
     return laid, parts, slots, sources
 
 
