@@ -27,6 +27,7 @@ PER_LANGUAGE = 1000
 EM_ROUNDS = 2
 SMOOTHING = 0.05
 WIDTHS = (8, 16, 32)          # words are packed in arrays of these widths
+AT_ONCE = 8192                # words whose forward tables are held together
 REMEMBERED = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -96,11 +97,13 @@ def _substrings(pieces: Pieces, words: list[bytes], width: int):
 
 
 def _by_width(words: list[bytes]):
-    """Index lists of the words that fit each width, and of the longer ones."""
+    """Index lists of the words that fit each width, AT_ONCE at a time, and of the longer ones."""
     size = np.array([len(w) for w in words])
     low = 0
     for width in WIDTHS:
-        yield width, np.flatnonzero((size > low) & (size <= width))
+        rows = np.flatnonzero((size > low) & (size <= width))
+        for start in range(0, len(rows), AT_ONCE):
+            yield width, rows[start:start + AT_ONCE]
         low = width
     yield None, np.flatnonzero(size > low)
 
@@ -238,10 +241,8 @@ def predict(docs: DataFrame, model, pieces_path: str = DEFAULT_PIECES, names: tu
                     new = list(set().union(*counted) - known.keys())
                     while len(known) + len(new) > len(scores):
                         scores = np.concatenate([scores, np.zeros_like(scores)])
-                    for k in range(0, len(new), 8192):
-                        part = new[k:k + 8192]
-                        scores[len(known):len(known) + len(part)] = word_scores(pieces, prob, [_word(w) for w in part])
-                        known.update(zip(part, range(len(known), len(known) + len(part))))
+                    scores[len(known):len(known) + len(new)] = word_scores(pieces, prob, [_word(w) for w in new])
+                    known.update(zip(new, range(len(known), len(known) + len(new))))
                 out = []
                 for text, c in zip(texts, counted):
                     if not languages or not any(ch.isalpha() for ch in text.decode("utf-8", "replace")):
