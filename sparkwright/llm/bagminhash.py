@@ -11,8 +11,9 @@ with an empty component go on with a doubled horizon.
 Signatures are cut in ``BANDS`` bands; each text is linked to the least text of its bucket, which costs one link per
 text and band, never all pairs. The linked groups are then verified: within a group all pairs that are not connected
 yet are compared exactly (multiset Jaccard >= 0.8) and the classes are the connected parts. Groups of more than
-``CHUNK`` different texts are verified in chunks; every connected part then sends up to ``REPS`` members to the next
-round, until a group fits one chunk; when rounds stop shrinking a group, its chunks are compared pairwise.
+``CHUNK`` different texts are verified in chunks; every connected part sends up to ``REPS`` members to the next round,
+until a group fits one chunk or rounds stop shrinking it. These rounds only save comparisons: after them, all members
+of such a group that share a band bucket and are still in different parts are compared, large buckets in block pairs.
 
 Defined cases: null text is empty, and all texts without words are equal; fewer than five words are one shingle; equal texts
 (whatever their doc_id) are one class; class_id is the least doc_id of the class, null if all are null; an empty
@@ -196,29 +197,28 @@ def _close(groups: DataFrame) -> DataFrame:
     return groups.select("g", "part", "text").repartition(n, "g").sortWithinPartitions("g", "part").mapInArrow(run, _GROUPED)
 
 
-def _verified(members: DataFrame) -> DataFrame:
-    """Edges (a, b) between parts of members (label, k, text) that are linked exactly; null if there are no members."""
+def _verified(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) between parts of members (label, k, text) that are linked exactly; null if there are no members.
+
+    labels: (node, label) of all members, nodes: (k, bands)."""
     state = members.select("label", "k", F.col("k").alias("part"))        # carried members and the part each is in
-    merges = before = None
+    merges = before = large = None
     while True:
         sizes = state.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
         largest, carried = sizes.agg(F.max("n"), F.sum(F.when(F.col("n") > CHUNK, F.col("n")))).first()
         if largest is None:
             break
+        if large is None and largest > CHUNK:
+            large = cut_lineage(sizes.where(F.col("n") > CHUNK).select("label"))
+        if before is not None and (carried or 0) > 0.75 * before:
+            break
         sized = state.join(sizes, "label").withColumn("blocks", F.ceil(F.col("n") / CHUNK))
-        stuck = before is not None and (carried or 0) > 0.75 * before
-        if stuck:   # every pair of half-sized blocks meets, so the rest is exact
-            half = F.ceil(2 * F.col("n") / CHUNK)
-            block = F.pmod(F.xxhash64("k"), half)
-            every = sized.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), half - 1)))
-            placed = every.withColumn("g", F.xxhash64("label", F.least("i", "j"), F.greatest("i", "j")))
-        else:
-            placed = sized.withColumn("g", F.xxhash64("label", F.pmod(F.xxhash64("part", F.lit(before or 0)), "blocks")))
+        placed = sized.withColumn("g", F.xxhash64("label", F.pmod(F.xxhash64("part", F.lit(before or 0)), "blocks")))
         # a part's carried members stay together, so a chunk is complete for the parts that it holds
         texts = placed.select("g", "part", "k").join(members.select("k", "text"), "k")
         into = cut_lineage(_close(texts).where("part <> into").select(F.col("part").alias("a"), F.col("into").alias("b")))
         merges = into if merges is None else merges.unionByName(into)
-        if stuck or largest <= CHUNK:
+        if largest <= CHUNK:
             break
         before = carried
         # a part was in one chunk only, so its merge is one row
@@ -226,7 +226,36 @@ def _verified(members: DataFrame) -> DataFrame:
             .join(into.select(F.col("a").alias("part"), "b"), "part", "left") \
             .select("label", "k", F.coalesce("b", "part").alias("part"))
         state = cut_lineage(_carry(moved))
-    return merges
+    if large is None:
+        return merges
+    inside = labels.join(F.broadcast(large), "label").select(F.col("node").alias("k"))       # a label has over CHUNK texts
+    return merges.unionByName(_across(members, nodes.join(inside, "k"), components(merges)))
+
+
+def _across(members: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Edges (a, b) between the parts (node, label) of nodes (k, bands) that share a bucket, from all pairs of their members.
+
+    A bucket's largest part is cut in ``tops`` blocks, its other members in ``rests``; every block of others meets every
+    block of the largest part and every other block of others, so pairs inside the largest part cost nothing."""
+    in_parts = nodes.join(parts.withColumnRenamed("node", "k"), "k", "left").withColumn("part", F.coalesce("label", "k"))
+    bucket = cut_lineage(in_parts.select("k", "part", F.explode("bands").alias("h")))
+    held = bucket.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"))
+    half = lambda n: F.when(F.col("total") > CHUNK, F.ceil(2 * n / CHUNK)).otherwise(1)
+    shared = held.groupBy("h").agg(F.sum("n").alias("total"), F.max(F.struct("n", "part")).alias("top")) \
+        .where("total > top.n").select("h", F.col("top.part").alias("top"), half(F.col("top.n")).alias("tops"),
+                                       half(F.col("total") - F.col("top.n")).alias("rests"))
+    own = F.pmod(F.xxhash64("k"), F.when(F.col("part") == F.col("top"), F.col("tops")).otherwise(F.col("rests")))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    pair = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    mine = F.col("own")
+    met = F.when(F.col("part") == F.col("top"), F.transform(upto(F.col("rests")), lambda j: pair("top", mine, j))).otherwise(
+        F.concat(F.transform(upto(F.col("tops")), lambda i: pair("top", i, mine)),
+                 F.transform(F.filter(upto(F.col("rests")), lambda j: j != mine),
+                             lambda j: pair("rest", F.least(mine, j), F.greatest(mine, j)))))
+    placed = bucket.join(shared, "h").withColumn("own", own).withColumn("at", F.explode(met)) \
+        .select(F.xxhash64("h", "at.kind", "at.i", "at.j").alias("g"), "part", "k")
+    texts = placed.join(members.select("k", "text"), "k")
+    return cut_lineage(_close(texts).where("part <> into").select(F.col("part").alias("a"), F.col("into").alias("b")).distinct())
 
 
 def _carry(state: DataFrame) -> DataFrame:
@@ -248,7 +277,7 @@ def classes(docs: DataFrame) -> DataFrame:
     if labels.count() <= BROADCAST_ROWS:     # two longs a row; beyond that the texts are shuffled to the join
         linked = F.broadcast(linked)
     members = cut_lineage(text.join(linked, "k").dropDuplicates(["k"]))
-    merges = _verified(members)
+    merges = _verified(members, labels, nodes)
     rows = signed.select("doc_id", "k")
     if merges is None:
         return rows.withColumn("root", F.col("k"))

@@ -80,6 +80,21 @@ def test_classes_equal_brute_force(spark, monkeypatch, chunk, reps):
     assert got_classes(B.near_duplicates(df)) == brute_classes(rows)
 
 
+def test_one_base_links_more_texts_than_a_chunk(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, 701):
+        copy = list(base)
+        for i in range(8):                       # the base is similar to each copy, the copies are not similar to each other
+            copy[25 + 50 * i + rng.randrange(-20, 20)] = f"z{n}x{i}"
+        rows.append((n, " ".join(copy)))
+    bags = [shingle_counts(t) for _, t in rows[:40]]
+    assert all(jaccard(bags[0], b) >= 0.8 for b in bags[1:]) and all(jaccard(bags[1], b) < 0.8 for b in bags[2:])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got_classes(B.near_duplicates(df)) == [list(range(701))]
+
+
 def test_classes_of_the_documents(docs001):
     rows = [tuple(r) for r in docs001.select("doc_id", "text").collect()]
     want = brute_classes(rows)
