@@ -5,7 +5,8 @@ cell positions. A cell's rows go to the shard of the first virtual node clockwis
 holds its capacity, the rest of the cell continues clockwise to the next shard with room. Capacities are
 floor(n / shards), one more for the first n mod shards, so row counts differ by at most one whatever the
 key distribution is. Only cell counts (a fixed-size table) reach the driver; rows are ranked inside
-(cell, lane) groups, lanes spreading rows that share one hash.
+(cell, lane) groups, lanes spreading rows that share one hash. The lane comes from the row number, so rows are stored
+with it first: a lane counted by one job is the same lane when another ranks it.
 
 Defined cases: null doc_id and null text hash like any other value; repeated rows are separate rows
 with separate slots; an empty table gives an empty result; fewer rows than shards leaves shards empty.
@@ -20,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sparkwright.session import stored
 from sparkwright.llm.textutil import whole_row
 
 CELLS = 1 << 14
@@ -93,10 +95,10 @@ def assign(df: DataFrame, n_shards: int, key_cols: list[str], vnodes: int = 64,
     """df with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard); columns of these names are replaced."""
     spark = df.sparkSession
     df = df.drop("shard", "slot")
-    keyed = df.select(
+    keyed = stored(df.select(
         whole_row(df), F.xxhash64(*key_cols, F.lit(seed)).alias("_h"),
         F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).alias("_lane"),
-    ).withColumn("_cell", F.pmod("_h", F.lit(CELLS)))
+    ).withColumn("_cell", F.pmod("_h", F.lit(CELLS))), "keyed")
     counts = np.zeros((CELLS, LANES), int)
     for r in keyed.groupBy("_cell", "_lane").count().collect():   # at most CELLS x LANES rows
         counts[r["_cell"], r["_lane"]] = r["count"]

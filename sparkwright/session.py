@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +73,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet to a new folder of the shared checkpoint directory and read again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored/{name}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

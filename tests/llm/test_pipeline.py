@@ -31,6 +31,24 @@ def test_stages_take_effect(spark, docs001, tmp_path):
     assert P.run(spark, SF).count() == sum(counts)
 
 
+def test_run_stores_every_stage(spark, docs001, monkeypatch):
+    seen = []
+    watched = lambda name, stage: (name, lambda s, docs, d: (seen.append((name, docs.inputFiles())), stage(s, docs, d))[1])
+    monkeypatch.setattr(P, "STAGES", [watched(*x) for x in P.STAGES])
+    out = P.run(spark, SF)
+    names = [n for n, _ in P.STAGES]
+    for (_, files), before in zip(seen[1:], names):
+        assert files and all(f"/stored/{before}-" in f for f in files)
+    assert all("/stored/sharding-" in f for f in out.inputFiles())
+    assert out.columns == [*docs001.columns, "shard", "slot"]
+    slots = {}
+    for r in out.select("shard", "slot").collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) <= set(range(P.SHARDS)) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    sizes = [len(slots.get(s, [])) for s in range(P.SHARDS)]
+    assert max(sizes) - min(sizes) <= 1
+
+
 def test_pipeline_on_odd_rows(spark, odd, none):
     for docs in (odd, none):
         for _, stage in P.STAGES:

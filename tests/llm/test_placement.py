@@ -26,6 +26,15 @@ def test_shards_are_level_and_slots_gapless(spark, docs01, odd, none):
     check_shards(R.assign(hot.repartition(5), 24, ["doc_id"]).collect(), 9000, 24)
 
 
+def test_shards_of_rows_in_another_order_each_time(spark):
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(batch.num_rows))
+
+    df = spark.range(5000, numPartitions=3).withColumnRenamed("id", "doc_id").mapInArrow(shuffled, "doc_id long")
+    check_shards(R.assign(df, 24, ["doc_id"]).collect(), 5000, 24)
+
+
 def test_place_equals_walking_the_ring():
     rng = np.random.default_rng(0)
     counts = np.zeros(R.CELLS, int)
