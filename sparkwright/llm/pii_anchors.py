@@ -6,7 +6,8 @@ boundaries and validates (part ranges, Luhn, digit counts, IBAN check digits). K
 are the base; login (user part of a URL), iban, ssn and account (digits after a cue) are added by the cues.
 
 Defined cases: null text is empty (no spans); spans are code points, end exclusive, in each kind leftmost and
-non-overlapping, and a span that fails its check uses up its characters; repeated rows are reported each; an
+non-overlapping, and a span that fails its check uses up its characters (an iban none); an iban ends after its country's
+length, for other countries at the last group border of 15 to 34 characters that passes the check; repeated rows are reported each; an
 empty table gives no rows; a text of any length is scanned whole.
 """
 
@@ -33,6 +34,11 @@ DIGITS = re.compile(r"[0-9]+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+:[^\s/@]+@")
 IBAN = re.compile(r"[\x20:#.=]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
+IBAN_LENGTHS = {c: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in countries.split()}
 SSN = re.compile(r"[\x20:#.=]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 ACCOUNT = re.compile(r"(?:\x20(?:no|nr|number))?[\x20:#.=]{1,4}([0-9]{6,17})(?![0-9])")
 CUES = {"iban": "iban", "ssn": "ssn", "account": "account", "acct": "account", "konto": "account", "compte": "account", "cuenta": "account"}
@@ -62,6 +68,17 @@ def _iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN that begins the run start..end of groups ends; None if no length passes the check."""
+    ends = [i + 1 for i in range(start, end) if text[i] != " "]
+    size = IBAN_LENGTHS.get(text[start:start + 2])
+    if size:
+        tried = ends[size - 1:size]
+    else:
+        tried = [e for e in reversed(ends[14:]) if not (text[e:e + 1].isascii() and text[e:e + 1].isalnum())]
+    return next((e for e in tried if _iban_ok(text[start:e])), None)
+
+
 def spans_of(text: str, anchors) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of all personal data in text, sorted."""
     out = []
@@ -73,10 +90,12 @@ def spans_of(text: str, anchors) -> list[tuple[int, int, int]]:
         if ok:
             out.append((KINDS.index(kind), start, end))
 
-    def cued(kind, pattern, after, check=None):
+    def cued(kind, pattern, after):
         m = pattern.match(text, after)
         if m and m.start(1) >= done[kind]:
-            take(kind, m.start(1), m.end(1), check is None or check(m.group(1)))
+            end = iban_end(text, *m.span(1)) if kind == "iban" else m.end(1)
+            if end:
+                take(kind, m.start(1), end, True)
 
     for last, (anchor, width) in anchors.iter(text):
         i = last - width + 1
@@ -105,7 +124,7 @@ def spans_of(text: str, anchors) -> list[tuple[int, int, int]]:
             if start < i and (m := USERINFO.match(text, last + 1)):
                 take("login", start, m.end() - 1, True)
         elif anchor == "iban":
-            cued("iban", IBAN, last + 1, _iban_ok)
+            cued("iban", IBAN, last + 1)
         elif anchor == "ssn":
             cued("ssn", SSN, last + 1)
         else:

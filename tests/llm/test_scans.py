@@ -105,3 +105,14 @@ def test_personal_base(spark, odd, none, docs001):
 def test_cues(text, kind, part):
     spans = [text[s:e] for k, s, e in P.spans_of(text, P.automaton()) if P.KINDS[k] == kind]
     assert spans == ([part] if part else [])
+
+
+@pytest.mark.parametrize("text, found", [
+    ("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN DE89370400440532013000 12345 A", ["DE89370400440532013000"]),
+    ("iban GB29 NWBK 6016 1331 9268 19 IBAN DE89 3704 0044 0532 0130 00", ["GB29 NWBK 6016 1331 9268 19", "DE89 3704 0044 0532 0130 00"]),
+    ("IBAN DE89 3704 0044 0532 0130 01 IBAN NO93 8601 1117 947 SWIFT", ["NO93 8601 1117 947"]),
+    ("IBAN ZZ22 3704 0044 0532 0130 00 BIC", ["ZZ22 3704 0044 0532 0130 00"]),
+    ("IBAN: DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", [])])
+def test_iban_ends_before_what_follows(text, found):
+    assert [text[s:e] for k, s, e in P.spans_of(text, P.automaton()) if P.KINDS[k] == "iban"] == found
