@@ -189,6 +189,22 @@ def test_matches_equal_brute_force(spark, part_bytes):
     assert sorted(r.doc_id for r in D.clean(df, bench, part_bytes).collect() if r.doc_id != 121) == [d for d, _ in docs if d not in held and d != 121]
 
 
+def test_matches_with_far_fingerprints():
+    rng = random.Random(3)
+    words = WordHashes(strip=True)
+    far = 0
+    for _ in range(4000):
+        item = [f"w{rng.randrange(10 ** 6)}" for _ in range(49)]
+        doc = item[:44] + [f"z{rng.randrange(10 ** 6)}" for _ in range(5)]       # 40 of 50 shingles shared
+        a, b = (D.shingles(words.of(" ".join(x).encode()), D.SHINGLE) for x in (item, doc))
+        distance = (int(D._print(D._signs(a).sum(axis=0))[0]) ^ int(D._print(D._signs(b).sum(axis=0))[0])).bit_count()
+        if distance > 18:
+            far += 1
+            found = D.Index([(7, " ".join(item).encode())]).matches(words.of(" ".join(doc).encode()))
+            assert [(i, round(s, 9), d) for i, s, d, *_ in found] == [(7, 0.8, distance)]
+    assert far
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "un texte de la rue")], "item_id long, text string")
     assert [(r.doc_id, r.item_id) for r in D.matches(odd, bench).collect()] == [(None, 1)]
