@@ -37,7 +37,8 @@ from sparkwright.session import stored
 
 WINDOW, QUANTUM, END_ID = 2048, 32, 1
 MAX_QUEUES, BROADCAST_BLOCKS = 1024, 500_000
-_LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
+LONG_RUN = 2000
+_LONG_BLANK = re.compile(r"\s{%d}" % LONG_RUN)
 
 
 class Tokenizer:
@@ -59,7 +60,7 @@ class Tokenizer:
         return cls(public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.path(f"{name}.json"), public_tokenizers.PATTERN)
 
     def ids(self, text: str) -> np.ndarray:
-        if _LONG_RUN.search(text) is None:
+        if max(map(len, text.split()), default=0) < LONG_RUN and _LONG_BLANK.search(text) is None:
             return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
         if self.slow is None:
             from tokenizers import Tokenizer as Reference

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkwright.llm import bagminhash, credentials, decontaminate, langid, lm_mixing, mixture, packing, pii_anchors, ring_shards, simhash, trie_tokens, whitening
+from sparkwright.llm import bagminhash, credentials, decontaminate, langid, lm_mixing, mixture, packing, phrases, pii_anchors, ring_shards, simhash, trie_tokens, whitening
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -66,7 +66,11 @@ def op12_packing(spark, sf_dir):
     return packing.digests(packing.pack(_documents(spark, sf_dir, "doc_id", "source", "text")))
 
 
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(_documents(spark, sf_dir, "text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_secrets, op3_token_counts, op4_decontamination, op5_near_duplicates, op6_pii, op7_sharding, op8_mixing,
-    op9_fingerprints, op10_language, op11_whitening, op12_packing)}
-SQL: dict[str, str] = {}
+    op9_fingerprints, op10_language, op11_whitening, op12_packing, op13_phrases)}
+SQL: dict[str, str] = {"op13_phrases": phrases.SQL}
