@@ -324,15 +324,15 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SQL = rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents),
 p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
+w AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
 g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
       FROM w, (VALUES (1), (2), (3), (4)) o(m) WHERE len(ws) >= m),
-f AS (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
-cut AS (SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f // (l.f + r.f))::BIGINT AS score
-        FROM f c, (VALUES (1), (2), (3)) o(k), f l, f r
-        WHERE c.m > k AND l.lang = c.lang AND r.lang = c.lang
-          AND l.phrase = array_to_string(c.ws[1:k], ' ') AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
-best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+part AS MATERIALIZED (SELECT lang, phrase, f AS a, k, array_to_string(ws[1:k], ' ') AS p1, array_to_string(ws[k + 1:], ' ') AS p2
+                      FROM f, (VALUES (1), (2), (3)) o(k) WHERE m > k),
+cut AS (SELECT part.lang, part.phrase, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a // (l.f + r.f))::BIGINT AS score
+        FROM part JOIN f l ON l.lang = part.lang AND l.phrase = p1 JOIN f r ON r.lang = part.lang AND r.phrase = p2),
+best AS MATERIALIZED (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inner_of AS (SELECT f.lang, f.f, array_to_string(ws[i:j], ' ') AS phrase FROM f, (VALUES (1), (2), (3)) a(i), (VALUES (2), (3), (4)) b(j)
              WHERE m >= 3 AND j <= m AND i < j AND j - i + 1 < m),
 around AS (SELECT lang, phrase, max(f) AS most FROM inner_of GROUP BY lang, phrase),
