@@ -12,7 +12,10 @@ as an ``Evaluator`` so ``CrossValidator`` can use it.
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -20,7 +23,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import LinearRegression
@@ -32,7 +35,8 @@ from pyspark.sql import functions as F
 from sparkwright.functions.numeric import nan_to_null
 from sparkwright.operators.evaluate import roc_auc
 from sparkwright.operators.quantile import quantile_wide
-from sparkwright.session import ensure_checkpoint_dir
+from sparkwright.operators.trees import collapse, leaf_shares, node_table, prefix_scores, walk
+from sparkwright.session import ensure_checkpoint_dir, stored
 
 
 # ---------------------------------------------------------------- custom stages
@@ -91,6 +95,44 @@ class PopulationStandardScaler(Estimator, HasInputCols, DefaultParamsReadable, D
         return m
 
 
+class CollapsedTreeModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A binary decision tree as its node table; the prediction is a walk written as columns."""
+    nodes = Param(Params._dummy(), "nodes", "the tree's nodes as JSON rows", typeConverter=TypeConverters.toString)
+
+    def node_rows(self) -> list[dict]:
+        return json.loads(self.getOrDefault(self.nodes))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        rows = self.node_rows()
+        width = 1 + max(r["feature"] for r in rows)
+        x = df.withColumn("__x", vector_to_array("features"))
+        share = walk(rows, [F.col("__x")[i] for i in range(width)], leaf_shares(rows))
+        return (x.withColumn("__p", share).withColumn("probability", array_to_vector(F.array(1 - F.col("__p"), F.col("__p"))))
+                .withColumn("prediction", (F.col("__p") > 0.5).cast("double")).drop("__x", "__p"))
+
+
+class CollapsedTree(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """A decision tree in which no node of fewer than ``minSplit`` rows is split (M7): grown freely to its depth, then
+    collapsed from the top on its node table."""
+    minSplit = Param(Params._dummy(), "minSplit", "rows a split node has at least", typeConverter=TypeConverters.toInt)
+
+    def __init__(self, tree: DecisionTreeClassifier | None = None, minSplit: int = 2):
+        super().__init__()
+        self.tree = tree
+        self._set(minSplit=minSplit)
+
+    def copy(self, extra=None):
+        other = super().copy(extra)
+        other.tree = self.tree
+        return other
+
+    def _fit(self, df: DataFrame) -> CollapsedTreeModel:
+        # one tree of bounded depth: its nodes come to the driver, as the fitted model's do
+        nodes = collapse(node_table(self.tree.fit(df), df.sparkSession), self.getOrDefault(self.minSplit))
+        rows = [r.asDict() for r in nodes.drop("tree", "leaf", "lo", "hi").orderBy("node").collect()]
+        return CollapsedTreeModel()._set(nodes=json.dumps(rows))
+
+
 class RankSumAUC(Evaluator):
     """Exact ROC AUC (ties count half) on P(1), for CrossValidator / TrainValidationSplit."""
 
@@ -115,7 +157,9 @@ def assemble_stages(features: list[str], estimator, impute: bool = True, scale:
         stages.append(ExactMedianImputer(inputCols=features))
     if scale:
         stages.append(PopulationStandardScaler(inputCols=features))
-    stages += [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), estimator]
+    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
+    if estimator is not None:
+        stages.append(estimator)
     return Pipeline(stages=stages)
 
 
@@ -149,10 +193,11 @@ def logistic(C: float, n: int, label: str = "label", weight: str | None = "weigh
 
 
 def decision_tree(max_depth: int | None = None, impurity: str = "gini", min_instances: int = 1,
-                  label: str = "label", max_bins: int = 128) -> DecisionTreeClassifier:
-    """Unlimited depth maps to 30, Spark's maximum (M6-M9)."""
-    return DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=30 if max_depth is None else max_depth,
+                  label: str = "label", max_bins: int = 128, min_split: int = 2):
+    """Unlimited depth maps to 30, Spark's maximum; min_split > 2 collapses the grown tree (M6-M9)."""
+    tree = DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=30 if max_depth is None else max_depth,
                                   impurity=impurity, minInstancesPerNode=min_instances, maxBins=max_bins, seed=42)
+    return CollapsedTree(tree, min_split) if min_split > 2 else tree
 
 
 def random_forest(trees: int = 100, max_depth: int | None = 10, min_leaf: int = 1, label: str = "label",
@@ -252,6 +297,46 @@ def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold:
     return cvm, table
 
 
+@dataclass
+class ForestSearch:
+    """The refitted best pipeline and the table (numTrees, maxDepth, minInstancesPerNode, cv_auc)."""
+    bestModel: PipelineModel
+    table: DataFrame
+
+
+def forest_grid_search(df: DataFrame, features: list[str], grid: dict, fold: str = "fold", label: str = "label", key: str = "row_key",
+                       k: int = 5, parallelism: int = 4) -> ForestSearch:
+    """Grid search over numTrees x maxDepth x minInstancesPerNode of a random forest on the given folds, refit on all rows.
+
+    The largest forest is fitted once per (depth, leaf size, fold); its first t trees are the forest of t trees, so the
+    numbers of trees cost no fit of their own (``trees.prefix_scores``). Fills, scales and the feature vector are fitted
+    once per fold. All scores of all points go through one grouped AUC. A point's AUC is the mean over the folds (a fold of one
+    class counts 0); of equal points the smallest is the best."""
+    spark = df.sparkSession
+    sizes, largest = sorted(grid["numTrees"]), max(grid["numTrees"])
+    shapes = [(d, m) for d in grid["maxDepth"] for m in grid["minInstancesPerNode"]]
+    prepared, parts, jobs = {}, [], []
+    for i in range(k):
+        train = df.where(F.col(fold) != i)
+        prepared[i] = assemble_stages(features, None).fit(train)
+        vectors = prepared[i].transform(train).select("features", label)
+        jobs += [((i, d, m), Pipeline(stages=[random_forest(largest, d, m, label=label)]), vectors) for d, m in shapes]
+    models = fit_all([(pipe, rows) for _, pipe, rows in jobs], parallelism)
+    for (i, d, m), fitted in zip([j[0] for j in jobs], models):
+        whole = PipelineModel(stages=[*prepared[i].stages, *fitted.stages])
+        scored = prefix_scores(whole, df.where(F.col(fold) == i), sizes, [key, label, fold])
+        parts.append(scored.select(F.col("trees").cast("double").alias("numTrees"), F.lit(float(d)).alias("maxDepth"),
+                                   F.lit(float(m)).alias("minInstancesPerNode"), fold, label, "score"))
+    points = ["numTrees", "maxDepth", "minInstancesPerNode"]
+    scores = stored(reduce(DataFrame.unionByName, parts), "grid_scores")
+    table = roc_auc(scores, "score", label, [*points, fold]).groupBy(*points).agg((F.sum(F.coalesce("auc", F.lit(0.0))) / k).alias("cv_auc"))
+    rows = sorted(table.collect(), key=lambda r: (-r["cv_auc"], *[r[p] for p in points]))      # one row per point
+    best = rows[0]
+    model = assemble_stages(features, random_forest(int(best["numTrees"]), int(best["maxDepth"]), int(best["minInstancesPerNode"]),
+                                                    label=label)).fit(df)
+    return ForestSearch(model, spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{c} double" for c in [*points, "cv_auc"])))
+
+
 def save_model(model: PipelineModel, spark, name: str) -> str:
     """Persist under the cluster's shared checkpoint directory (S6); returns the path."""
     base = ensure_checkpoint_dir(spark)

@@ -81,7 +81,8 @@ def test_output_types_match_duckdb(spark, con):
 def test_grid_and_best_point(spark):
     """Every point of the grid is there, the best is its arg-max, and its AUC is in the published range."""
     grid = E.queries()["m15_grid_search"](spark, SF001).collect()
-    assert len(grid) == 8 and len({(r.numTrees, r.maxDepth, r.minInstancesPerNode) for r in grid}) == 8
+    assert {(r.numTrees, r.maxDepth, r.minInstancesPerNode) for r in grid} == {(t, d, m) for t in (50, 100, 200) for d in (5, 10, 30) for m in (1, 5)}
+    assert len(grid) == 18
     best = E.queries()["m16_best_params"](spark, SF001).first()
     assert round(best.cv_auc, 4) == max(r.cv_auc for r in grid) and 0.95 < best.cv_auc <= 1.0
 
