@@ -61,7 +61,7 @@ class Tokenizer:
 
     def ids(self, text: str) -> np.ndarray:
         if max(map(len, text.split()), default=0) < LONG_RUN and _LONG_BLANK.search(text) is None:
-            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+            return np.array(self.fast.encode_ordinary(text), np.uint32)
         if self.slow is None:
             from tokenizers import Tokenizer as Reference
             self.slow = Reference.from_file(self.json_file)
@@ -87,7 +87,8 @@ class RoundRobin:
         self.totals, self.weights = np.array(totals, np.int64), np.array(weights, np.int64)
         self.all, self.window, self.quantum = max(1, sum(weights)), window, quantum
         self.length = int(self.totals.sum())
-        self._held = None                      # the last round asked for: (round, emitted before, after, places of its runs)
+        self._total, self._weight = self.totals.tolist(), self.weights.tolist()
+        self._rounds: dict[int, tuple] = {}    # rounds asked for: (emitted before, after, places of their runs)
 
     def emitted(self, rounds: int) -> np.ndarray:
         """Tokens of every queue in the first ``rounds`` rounds."""
@@ -101,21 +102,23 @@ class RoundRobin:
 
     def round_of(self, queue: int, token: int) -> int:
         """The round (from 1) that emits a queue's token (from 0)."""
-        need = min(int(self.totals[queue]), (token // self.quantum + 1) * self.quantum)
-        return -(-need * self.all // (self.window * int(self.weights[queue])))
-
-    def _round(self, number: int):
-        if self._held is None or self._held[0] != number:
+        need = min(self._total[queue], (token // self.quantum + 1) * self.quantum)
+        return -(-need * self.all // (self.window * self._weight[queue]))
+
+    def _round(self, number: int) -> tuple:
+        held = self._rounds.get(number)
+        if held is None:
+            if len(self._rounds) * len(self._total) > 1 << 21:
+                self._rounds.clear()
             before, after = self.emitted(number - 1), self.emitted(number)
             sent = after - before
-            self._held = (number, before, after, int(before.sum()) + np.cumsum(sent) - sent)
-        return self._held
+            held = self._rounds[number] = (before, after, int(before.sum()) + np.cumsum(sent) - sent)
+        return held
 
     def runs(self, queue: int, start: int, stop: int):
         """(first token, end, place in the stream) of the runs that hold the queue's tokens start..stop-1."""
         while start < stop:
-            number = self.round_of(queue, start)
-            _, before, after, places = self._round(number)
+            before, after, places = self._round(self.round_of(queue, start))
             end = min(stop, int(after[queue]))
             yield start, end, int(places[queue] - before[queue]) + start
             start = end
