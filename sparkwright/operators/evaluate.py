@@ -8,6 +8,7 @@ models or replicates is one job, not a loop.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.hashing import POISSON1_CDF
 from sparkwright.operators.ranking import assign_buckets, descending_cumulative, histogram
-from sparkwright.session import cut_lineage
+from sparkwright.session import stored
 
 
 def _d(c):
@@ -217,16 +218,21 @@ def best_threshold(sweep: DataFrame, by: list[str] | None = None, metric: str =
 
 
 # ---------------------------------------------------------------- V10 - V12
-_CDF = np.array(POISSON1_CDF)
+# A draw is a 32-bit word; its weight is the number of these steps at or below it.
+_STEPS = [np.uint32(c) for c in (math.ceil(p * 2 ** 32) for p in POISSON1_CDF) if c < 2 ** 32]
 
 
 def _weights(keys: list[str], replicates: int, seed: int) -> np.ndarray:
-    """Poisson(1) weights (keys x replicates) from the first 32 bits of md5(key|replicate|seed)."""
-    tails = [f"|{r}|{seed}".encode() for r in range(1, replicates + 1)]
+    """Poisson(1) weights (keys x replicates): replicate r draws word (r - 1) % 4 of md5(key|(r - 1) // 4|seed)."""
+    blocks = -(-replicates // 4)
+    tails = [f"|{b}|{seed}".encode() for b in range(blocks)]
     md5 = hashlib.md5
-    drawn = b"".join(md5(k + t).digest()[:4] for k in (k.encode() for k in keys) for t in tails)
-    uniform = np.frombuffer(drawn, ">u4").astype(np.float64) / 4294967296.0
-    return np.searchsorted(_CDF, uniform, side="right").astype(np.uint16).reshape(len(keys), replicates)
+    drawn = b"".join([md5(k + t).digest() for k in map(str.encode, keys) for t in tails])
+    words = np.frombuffer(drawn, ">u4").astype(np.uint32).reshape(len(keys), 4 * blocks)[:, :replicates]
+    out = np.zeros(words.shape, np.uint8)
+    for step in _STEPS:
+        out += words >= step
+    return out
 
 
 def bootstrap_draws(df: DataFrame, key: str, replicates: int, seed: int = 42) -> DataFrame:
@@ -249,97 +255,100 @@ def bootstrap_draws(df: DataFrame, key: str, replicates: int, seed: int = 42) ->
     return parts.groupBy("replicate").agg(F.sum("drawn_rows").alias("drawn_rows"), F.sum("total_weight").alias("total_weight"))
 
 
-_AT_ONCE = 4096          # rows whose weight vectors are held together; their sums fit 16 bits
+_AT_ONCE = 1024          # rows whose weights are held together
 
 
-def _weighted_scores(replicates: int, seed: int):
-    """(which, score, label, weights): the weight vectors of the rows of one run, added up per model, score and label."""
-    def run(batches):
-        for batch in batches:
-            key, label, sa, sb = (c.to_pylist() for c in batch.columns)
-            for i in range(0, len(key), _AT_ONCE):
-                part = slice(i, i + _AT_ONCE)
-                w = _weights(key[part], replicates, seed)
-                rows = []
-                for which, scores in ((0, sa[part]), (1, sb[part])):
-                    have = [n for n, s in enumerate(scores) if s is not None and label[i + n] is not None]
-                    order = sorted(have, key=lambda n: (scores[n], label[i + n]))
-                    tags = [(scores[n], label[i + n]) for n in order]
-                    cuts = [n for n, t in enumerate(tags) if n == 0 or t != tags[n - 1]]
-                    if cuts:
-                        sums = np.add.reduceat(w[order], cuts, axis=0, dtype=np.uint16)
-                        rows += [(which, *tags[c], s.tobytes()) for c, s in zip(cuts, sums)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                        pa.int32(), pa.float64(), pa.int32(), pa.binary()))], names=["which", "score", "label", "weights"])
-    return run
-
+def _segment_sums(replicates: int, seed: int):
+    """(which, seg, s, p, n): per segment and replicate the rank sum of positives, the positives and the rows.
 
-def _bucket_sums(replicates: int):
-    """(which, bucket, s, p, n): per bucket and replicate the rank sum of positives, positives and rows.
-
-    Rows come sorted by bucket and score; one vector per running sum is all that is kept."""
+    Rows come sorted by segment and score and carry their key; their weights are drawn here. Ties share the average rank;
+    the last score of a run of rows stays open, as the next run may go on with it."""
     def run(batches):
         state = None
 
-        def close_score():
-            tot, pos = state["tot"], state["pos"]
-            state["s"] += pos * (state["n"] + (tot + 1.0) / 2.0)      # ties share the average rank
-            state["n"] += tot
-            state["p"] += pos
+        def close(tot, pos):
+            """Add groups of equal scores, in rising order, to the running sums."""
+            before = state["n"] + np.cumsum(tot, axis=0) - tot
+            state["s"] += (pos * (before + (tot + 1.0) / 2.0)).sum(axis=0)
+            state["n"] += tot.sum(axis=0)
+            state["p"] += pos.sum(axis=0)
 
         def result():
-            close_score()
+            close(state["tot"][None], state["pos"][None])
             return pa.RecordBatch.from_arrays(
                 [pa.array([state["key"][0]], pa.int32()), pa.array([state["key"][1]], pa.int64()),
-                 *[pa.array([state[c]], pa.list_(pa.float64())) for c in ("s", "p", "n")]], names=["which", "bucket", "s", "p", "n"])
+                 *[pa.array([state[c]], pa.list_(pa.float64())) for c in ("s", "p", "n")]], names=["which", "seg", "s", "p", "n"])
 
         for batch in batches:
-            for which, bucket, score, label, weights in zip(*(c.to_pylist() for c in batch.columns)):
-                if state is None or state["key"] != (which, bucket):
-                    if state is not None:
-                        yield result()
-                    state = {"key": (which, bucket), "score": score, **{c: np.zeros(replicates) for c in ("s", "p", "n", "tot", "pos")}}
-                elif state["score"] != score:
-                    close_score()
-                    state.update(score=score, tot=np.zeros(replicates), pos=np.zeros(replicates))
-                w = np.frombuffer(weights, np.uint16)
-                state["tot"] += w
-                if label:
-                    state["pos"] += w
+            which, seg, score, label = (batch.column(c).to_numpy() for c in ("which", "seg", "score", "label"))
+            keys = batch.column("key").to_pylist()
+            for i in range(0, len(keys), _AT_ONCE):
+                part = slice(i, i + _AT_ONCE)
+                w = _weights(keys[part], replicates, seed).astype(np.float64)
+                wh, sg, sc = which[part], seg[part], score[part]
+                new_seg = np.r_[True, (wh[1:] != wh[:-1]) | (sg[1:] != sg[:-1])]
+                cuts = np.flatnonzero(new_seg | np.r_[True, sc[1:] != sc[:-1]])
+                tot, pos = np.add.reduceat(w, cuts, axis=0), np.add.reduceat(w * label[part][:, None], cuts, axis=0)
+                firsts = np.flatnonzero(new_seg[cuts])
+                for lo, hi in zip(firsts, np.r_[firsts[1:], len(cuts)]):
+                    at, key = cuts[lo], (int(wh[cuts[lo]]), int(sg[cuts[lo]]))
+                    if state is not None and state["key"] == key and state["score"] == sc[at]:
+                        tot[lo] += state["tot"]
+                        pos[lo] += state["pos"]
+                    elif state is not None and state["key"] == key:
+                        close(state["tot"][None], state["pos"][None])
+                    else:
+                        if state is not None:
+                            yield result()
+                        state = {"key": key, **{c: np.zeros(replicates) for c in ("s", "p", "n")}}
+                    close(tot[lo:hi - 1], pos[lo:hi - 1])
+                    state.update(score=sc[cuts[hi - 1]], tot=tot[hi - 1].copy(), pos=pos[hi - 1].copy())
         if state is not None:
             yield result()
     return run
 
 
+_HOT_SCORE, _LANES = 32, 64        # a score on more than 1/32 of a model's rows is dealt to 64 lanes
+
+
 def bootstrap_auc_difference(df: DataFrame, model_a: str, model_b: str, replicates: int = 500, seed: int = 42,
                              key: str = "row_key", model: str = "model", score: str = "score",
                              label: str = "label", buckets: int | None = None) -> DataFrame:
     """Paired Poisson bootstrap of AUC(model_a) - AUC(model_b): one row per replicate.
 
-    Each row has a vector of Poisson(1) weights, one per replicate, drawn from md5(key|replicate|seed) and shared by
-    both models (a paired resample); of rows that repeat a key, the n-th (n > 1) draws with the key ``key#n``. The rows
-    are bucketed by score once and the vectors are summed along each bucket, so rows are never multiplied by
-    replicates. Replicates whose resample has a single class are skipped.
+    Each row has a Poisson(1) weight per replicate, drawn from md5 of its key, the replicate and the seed and so the same for
+    both models (a paired resample); of rows that repeat a key, the n-th (n > 1) draws with the key ``key#n``. What is
+    shuffled is one narrow row per score (model, score segment, score, key, label): a segment's task draws the weights
+    itself and keeps running sums over the replicates, so neither rows nor weights are multiplied by replicates on the way.
+    A score that many rows share is a segment of its own in several lanes, whose sums are added. Replicates whose
+    resample has a single class are skipped.
     """
     base = df.where(F.col(model).isin(model_a, model_b)).select(
         F.col(model).alias("m"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"),
         F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("x"))
     nth = F.row_number().over(Window.partitionBy("m", "k").orderBy("y", "x"))
-    wide = base.withColumn("i", nth).groupBy("k", "i").agg(
-        F.max("y").alias("y"), F.max(F.when(F.col("m") == model_a, F.col("x"))).alias("a"),
-        F.max(F.when(F.col("m") == model_b, F.col("x"))).alias("b"))
-    rows = wide.select(F.when(F.col("i") == 1, F.col("k")).otherwise(F.concat_ws("#", "k", "i")).alias("k"), "y", "a", "b")
-    vectors = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) \
-        .mapInArrow(_weighted_scores(replicates, seed), "which int, score double, label int, weights binary")
-    # the drawn vectors are kept: the boundaries and the sums both read them
-    placed = assign_buckets(cut_lineage(vectors), "score", ["which"], buckets, few_groups=True)
-    sums = placed.select("which", F.col("__bucket").cast("long").alias("bucket"), "score", "label", "weights") \
-        .repartition("which", "bucket").sortWithinPartitions("which", "bucket", "score") \
-        .mapInArrow(_bucket_sums(replicates), "which int, bucket long, s array<double>, p array<double>, n array<double>")
-    # 2 x buckets x replicates rows
-    each = sums.select("which", "bucket", F.posexplode(F.arrays_zip("s", "p", "n")).alias("r", "v")).select(
-        "which", "bucket", "r", "v.s", "v.p", "v.n")
+    rows = stored(base.withColumn("i", nth).where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(
+        (F.col("m") == model_b).cast("int").alias("which"), F.col("x").alias("score"), F.col("y").cast("double").alias("label"),
+        F.when(F.col("i") == 1, F.col("k")).otherwise(F.concat_ws("#", "k", "i")).alias("key")), "bootstrap_rows")
+    counts = rows.groupBy("which", "score").agg(F.count(F.lit(1)).alias("c"))
+    totals = counts.groupBy("which").agg(F.sum("c").alias("t"))                       # two rows
+    hot = counts.join(F.broadcast(totals), "which").where(F.col("c") * _HOT_SCORE > F.col("t")) \
+        .groupBy("which").agg(F.collect_list("score").alias("hot"))                    # fewer than 32 scores a model
+    placed = assign_buckets(rows, "score", ["which"], buckets, few_groups=True).join(F.broadcast(hot), "which", "left")
+    is_hot = F.coalesce(F.array_contains("hot", F.col("score")), F.lit(False))
+    below = F.coalesce(F.size(F.filter("hot", lambda h: h < F.col("score"))), F.lit(0))
+    # segments rise with the score: bucket, then the hot scores inside it and what lies between them
+    seg = F.col("__bucket").cast("long") * (4 * _HOT_SCORE) + F.when(F.col("hot").isNull(), 0).otherwise(2 * below + is_hot.cast("int"))
+    lane = F.when(is_hot, F.pmod(F.xxhash64("key"), F.lit(_LANES))).otherwise(F.lit(0))
+    sums = placed.select("which", seg.alias("seg"), lane.alias("lane"), "score", "label", "key") \
+        .repartition("which", "seg", "lane").sortWithinPartitions("which", "seg", "score") \
+        .select("which", "seg", "score", "label", "key") \
+        .mapInArrow(_segment_sums(replicates, seed), "which int, seg long, s array<double>, p array<double>, n array<double>")
+    # 2 x segments x replicates rows; the lanes of a hot score are added, its rows share one rank
+    each = sums.select("which", "seg", F.posexplode(F.arrays_zip("s", "p", "n")).alias("r", "v")).groupBy("which", "seg", "r").agg(
+        F.sum("v.s").alias("s"), F.sum("v.p").alias("p"), F.sum("v.n").alias("n")) \
+        .withColumn("s", F.when(F.col("seg") % 2 == 1, F.col("p") * (F.col("n") + 1.0) / 2.0).otherwise(F.col("s"))) \
+        .withColumnRenamed("seg", "bucket")
     before = Window.partitionBy("which", "r").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     total = each.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0.0))).groupBy("which", "r").agg(
         F.sum("p").alias("n1"), F.sum("n").alias("n"), F.sum(F.col("s") + F.col("off") * F.col("p")).alias("srank"))

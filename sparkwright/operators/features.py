@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from sparkwright.functions.encoding import ordinal_code
 from sparkwright.functions.hashing import hash_order, hash_unit
 from sparkwright.functions.numeric import nan_to_null
+from sparkwright.operators.positions import with_positions
 from sparkwright.operators.quantile import quantile_wide
+from sparkwright.session import stored
 
 
 def ordinal_encode(df: DataFrame, levels: dict[str, list[str]], suffix: str = "") -> DataFrame:
@@ -36,26 +38,32 @@ def split_flag(df: DataFrame, key, seed: int = 42, test_fraction: float = 0.2, o
 
     Default: ``hash_unit(key, seed) < fraction`` (size is fraction*n in
     expectation). ``exact=True`` takes exactly ceil(fraction * n) rows, those of the
-    smallest hashes (rows that share a key share a side), by a cut-off found with counts.
+    smallest hashes, by a cut-off found with counts; of rows that share the cut-off's hash (a repeated key) as
+    many as are missing, in the order of a hash of the whole row.
     """
     if not exact:
         return df.withColumn(out, hash_unit(key, seed) < F.lit(test_fraction))
     h = df.withColumn("__h", hash_order(key, seed))
-    cut = hash_cutoffs(h.select("__h"), [test_fraction], F.ceil)
-    return (h.crossJoin(F.broadcast(cut.select("__cut"))).withColumn(out, F.col("__h") <= F.col("__cut"))
-            .drop("__h", "__cut"))
+    cut = hash_cutoffs(h.select("__h"), [test_fraction], F.ceil).first()
+    if cut["__take"] == cut["__of"]:
+        return h.withColumn(out, F.col("__h") <= cut["__cut"]).drop("__h")
+    tied = with_positions(h.where(F.col("__h") == cut["__cut"]), [], name="__place").withColumn(out, F.col("__place") < cut["__take"])
+    rest = h.where(F.col("__h") != cut["__cut"]).withColumn(out, F.col("__h") < cut["__cut"])
+    return rest.drop("__h").unionByName(tied.drop("__h", "__place"))
 
 
 # A 60-bit hash is uniform: its top bits are buckets by arithmetic, without quantile boundaries.
 _TOP, _MID = 12, 16
+HOT_ROWS = 10_000         # rows beyond twice the average that make a hash bucket too large for one task's window
 
 
 def hash_cutoffs(h: DataFrame, fractions: list[float], rounding) -> DataFrame:
-    """(fraction, __cut): the hash of the rounding(n * fraction)-th row in hash order (-1 for none of the rows).
+    """(fraction, __cut, __take, __of): the hash of the rounding(n * fraction)-th row in hash order (-1 for none of the
+    rows), how many rows of that very hash belong to the first, and how many there are.
 
     ``h`` has the 60-bit hash ``__h``. The row is found by counting: rows per value of the top bits (at most
-    2^12 table rows), then of the next bits inside the one bucket that holds it, then by ranking the about
-    n / 2^28 rows left. Rows that share a hash share the side of the cut.
+    2^12 table rows), then of the next bits inside the one bucket that holds it, then per hash among the about
+    n / 2^28 hashes left. A hash that many rows share is one counted row throughout.
     """
     top = F.shiftright("__h", 60 - _TOP)
     mid = F.shiftright("__h", 60 - _TOP - _MID)
@@ -73,19 +81,32 @@ def hash_cutoffs(h: DataFrame, fractions: list[float], rounding) -> DataFrame:
     second = run.where((F.col("__run") - F.col("__c") < F.col("__k")) & (F.col("__k") <= F.col("__run"))) \
         .select("fraction", F.col("__b").alias("__mid"), (F.col("__k") - F.col("__run") + F.col("__c")).alias("__k"))
     left = h.select("__h", mid.alias("__mid")).join(F.broadcast(second), "__mid")
-    rank = F.row_number().over(Window.partitionBy("fraction").orderBy("__h"))
-    cut = left.withColumn("__r", rank).where(F.col("__r") == F.col("__k")).select(F.col("fraction").alias("__f"), "__h")
+    run = left.groupBy("fraction", "__k", "__h").agg(F.count(F.lit(1)).alias("__c")).withColumn(
+        "__run", F.sum("__c").over(Window.partitionBy("fraction").orderBy("__h").rowsBetween(Window.unboundedPreceding, 0)))
+    cut = run.where((F.col("__run") - F.col("__c") < F.col("__k")) & (F.col("__k") <= F.col("__run"))) \
+        .select(F.col("fraction").alias("__f"), "__h", (F.col("__k") - F.col("__run") + F.col("__c")).alias("__t"), "__c")
     return goal.join(F.broadcast(cut), F.col("fraction") == F.col("__f"), "left") \
-        .select("fraction", F.coalesce("__h", F.lit(-1)).alias("__cut"))
+        .select("fraction", F.coalesce("__h", F.lit(-1)).alias("__cut"), F.coalesce("__t", F.lit(0)).alias("__take"), F.coalesce("__c", F.lit(0)).alias("__of"))
 
 
 def nested_prefixes(df: DataFrame, key, seed: int, fractions: list[float]) -> DataFrame:
     """Every row once per fraction whose first int(fraction * n) rows of a seeded shuffle hold it (P8), with ``fraction``.
 
-    The subsets are nested; all cut-offs come from one counting pass."""
+    The subsets are nested; all cut-offs come from one counting pass. Rows that share a cut-off's hash are taken in the
+    order of a hash of the whole row."""
     h = df.withColumn("__h", hash_order(key, seed))
-    cut = hash_cutoffs(h.select("__h"), fractions, F.floor)
-    return h.join(F.broadcast(cut), F.col("__h") <= F.col("__cut")).drop("__h", "__cut")
+    cuts = hash_cutoffs(h.select("__h"), fractions, F.floor).collect()             # one row per fraction
+    tied = sorted({r["__cut"] for r in cuts if r["__take"] != r["__of"]})
+    table = df.sparkSession.createDataFrame(
+        [(r["fraction"], r["__cut"], r["__take"], r["__cut"] if r["__cut"] in tied else r["__cut"] + 1) for r in cuts],
+        "fraction double, __cut long, __take long, __below long")
+    whole = h.join(F.broadcast(table), F.col("__h") < F.col("__below"))
+    if tied:
+        placed = with_positions(h.where(F.col("__h").isin(tied)), [], by=["__h"], name="__place")
+        part = placed.join(F.broadcast(table), (F.col("__h") == F.col("__cut")) & (F.col("__cut") == F.col("__below"))
+                           & (F.col("__place") < F.col("__take")))
+        whole = whole.unionByName(part.drop("__place"))
+    return whole.drop("__h", "__cut", "__take", "__below")
 
 
 def nested_prefix(df: DataFrame, key, seed: int, fraction: float) -> DataFrame:
@@ -97,13 +118,19 @@ def stratified_folds(df: DataFrame, key, label: str, k: int = 5, seed: int = 42,
     """Fold 0..k-1 per row; within each class the seeded order is dealt round-robin, so
     fold sizes per class differ by at most one (F6), also when keys repeat: rows of one hash
     are ordered by their columns. Rows are numbered inside (class, top hash bits) buckets, and the
-    sizes of a class's earlier buckets (classes x buckets rows) are added."""
+    sizes of a class's earlier buckets (classes x buckets rows) are added; a key that fills a bucket is spread over range
+    partitions instead (``positions``)."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(6, (parts - 1).bit_length())
     h = df.withColumn("__h", hash_order(key, seed)).withColumn("__b", F.shiftright("__h", 60 - bits))
     ties = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType,
                                                                           T.DateType, T.TimestampType))]
-    sizes = h.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    sizes = stored(h.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c")), "fold_sizes")
+    most = sizes.agg(F.max("__c").alias("top"), F.avg("__c").alias("mean")).first()
+    if most["top"] is not None and most["top"] > 2 * most["mean"] + HOT_ROWS:
+        # a key repeats so often that its bucket stands out: the same numbers from range partitions
+        placed = with_positions(h, ["__h", *ties], by=[label], name="__r")
+        return placed.select(label, *[c for c in df.columns if c not in (label, out)], F.pmod("__r", F.lit(k)).cast("int").alias(out))
     before = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(label, "__b", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))
     inside = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", *[F.col(f"`{c}`") for c in ties])) - 1

@@ -21,16 +21,21 @@ def _row_hash(df: DataFrame):
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
 
 
+def _sorted_rows(df: DataFrame, order: list) -> DataFrame:
+    """The rows range-partitioned and sorted, stored with ``__at``: partition number * 2^33 + place in the partition."""
+    keys = [*order, "__row_hash", "__rid"]
+    tagged = df.withColumns({"__row_hash": _row_hash(df), "__rid": F.monotonically_increasing_id()})
+    return stored(tagged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__row_hash", "__rid")
+                  .withColumn("__at", F.monotonically_increasing_id()), "positions")
+
+
 def with_positions(df: DataFrame, order: list, by: list[str] | None = None, name: str = "position") -> DataFrame:
     """df with each row's position (long, from 0) in the given order, inside its group if ``by`` is given.
 
     order: column names or sort expressions; rows equal in all of them follow a hash of the whole row. The rows are
     stored, so positions stay when the result is read again or an executor is lost. Null is a group like any other."""
     by = by or []
-    keys = [*by, *order, "__h", "__rid"]
-    tagged = df.drop(name).withColumns({"__h": _row_hash(df.drop(name)), "__rid": F.monotonically_increasing_id()})
-    rows = stored(tagged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__h", "__rid")
-                  .withColumn("__at", F.monotonically_increasing_id()), "positions")
+    rows = _sorted_rows(df.drop(name), [*by, *order])
     part = F.shiftright("__at", 33).alias("__b")
     sizes = rows.groupBy(*by, part).agg(F.count(F.lit(1)).alias("__c"), F.min("__at").alias("__first"))
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,10 +21,13 @@ def _auc_sql(src: str, by: str, weight: str = "1") -> str:
 _POIS = "CASE " + " ".join(f"WHEN u < {c!r}::DOUBLE THEN {k}" for k, c in enumerate(POISSON1_CDF)) + \
         f" ELSE {len(POISSON1_CDF)} END"
 
+# replicate r draws word (r - 1) % 4 of md5(key|(r - 1) // 4|seed)
+_DRAW = "(('0x' || substr(md5(p.row_key || '|' || ((r.replicate - 1) // 4) || '|42'), 1 + 8 * ((r.replicate - 1) % 4), 8))::BIGINT / 4294967296.0::DOUBLE)"
+
 _BOOT = SCORED_SQL + f""",
 reps AS (SELECT range::INTEGER AS replicate FROM range(1, 501)),
 wu AS (SELECT p.model, p.row_key, p.label, p.score, r.replicate,
-              {_U.format(k="p.row_key || '|' || r.replicate || '|42'")} AS u
+              {_DRAW} AS u
        FROM pr p CROSS JOIN reps r WHERE p.model IN ('model_a', 'model_b')),
 w AS (SELECT *, {_POIS} AS w FROM wu),
 wp AS (SELECT * FROM w WHERE w > 0),
@@ -76,11 +79,17 @@ reps AS (""", 1).replace("range(1, 501)", "range(1, 51)").replace("FROM pr p CRO
 SQL = {
     "p9_bootstrap_weights": "WITH " + SCORED_SQL + f""",
         reps AS (SELECT range::INTEGER AS replicate FROM range(1, 501)),
-        wu AS (SELECT r.replicate, {_U.format(k="p.row_key || '|' || r.replicate || '|42'")} AS u
+        wu AS (SELECT r.replicate, {_DRAW} AS u
                FROM pr p CROSS JOIN reps r WHERE p.model = 'model_a'),
         w AS (SELECT replicate, {_POIS} AS weight FROM wu)
         SELECT replicate, count(*) AS drawn_rows, CAST(sum(weight) AS BIGINT) AS total_weight FROM w WHERE weight > 0
         GROUP BY replicate""",
+    "p9_gather": f"""WITH {LINEITEM_FEATURES_SQL}, r AS (SELECT row_key, net, row_number() OVER (ORDER BY row_key, l_extendedprice, net) - 1 AS i FROM lf0),
+        p AS (SELECT row_key, CAST(floor({_U.format(k="row_key || '|pick|42'")} * ((SELECT count(*) FROM lf0) * 1.01::DOUBLE)) AS BIGINT) AS index FROM lf0)
+        SELECT p.row_key, index, r.row_key AS picked_key, round(r.net, 6) AS picked_net FROM p LEFT JOIN r ON r.i = index""",
+    "j2_zip_by_position": """WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders),
+        b AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS position FROM orders)
+        SELECT position, a.o_orderkey AS key_by_key, b.o_orderkey AS key_by_price FROM a JOIN b USING (position)""",
     "p7_drop_list_columns": f"WITH {LINEITEM_FEATURES_SQL} SELECT row_key, l_quantity, l_extendedprice, l_discount, rf_code FROM lf",
     "f7_fitted_stages": _F7_BASE + """
         SELECT row_key, round((l_quantity - aq) / CASE WHEN sq > 0 THEN sq ELSE 1.0::DOUBLE END, 6) AS l_quantity,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkwright.functions.hashing import hash_unit
 from sparkwright.operators import evaluate as V
 from sparkwright.operators import features as FE
+from sparkwright.operators import positions as PO
 from sparkwright.operators import profile as P
 from sparkwright.plans.common import rounded
-from sparkwright.plans.fixtures import FEATURES, SEED, lineitem_features, scored, scored_all, table
+from sparkwright.plans.fixtures import FEATURES, SEED, lineitem_base, lineitem_features, scored, scored_all, table
 
 # Fixed declared order for the priority encoder; '1-URGENT' is left out on purpose (-> -1).
 PRIORITY_LEVELS = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH"]
@@ -183,6 +185,23 @@ def p9_bootstrap_weights(spark, d):
     return V.bootstrap_draws(s, "row_key", 500, SEED)
 
 
+def p9_gather(spark, d):
+    """One pick per row of the feature table, by its own seeded draw (rows repeat), some of them past the end."""
+    lf = lineitem_base(spark, d).select("row_key", "l_extendedprice", "net")
+    n = lf.count()
+    u = hash_unit(F.concat_ws("|", "row_key", F.lit("pick")), SEED)
+    picks = lf.select("row_key", F.floor(u * (n * 1.01)).alias("index"))
+    got = PO.gather(lf, picks, ["row_key", "l_extendedprice", "net"])
+    return rounded(got.select("row_key", "index", F.col("row.row_key").alias("picked_key"), F.col("row.net").alias("picked_net")))
+
+
+def j2_zip_by_position(spark, d):
+    """Orders by key beside orders by falling price, partitioned differently, aligned by position."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    z = PO.zip_rows(o.repartition(7, "o_totalprice"), ["o_orderkey"], o.repartition(3), [F.col("o_totalprice").desc(), "o_orderkey"])
+    return z.select("position", F.col("left.o_orderkey").alias("key_by_key"), F.col("right.o_orderkey").alias("key_by_price"))
+
+
 def p7_drop_list_columns(spark, d):
     drop = ["l_tax", "ls_code"]
     keep = [f for f in FEATURES if f not in drop]
@@ -212,4 +231,4 @@ def f8_feature_vector(spark, d):
 
 
 QUERIES = {name: fn for name, fn in list(globals().items())
-           if callable(fn) and name[:1] in "fpvra" and name[1:2].isdigit()}
+           if callable(fn) and name[:1] in "fpvraj" and name[1:2].isdigit()}

@@ -50,3 +50,29 @@ def test_duplicates_with_a_hot_group(spark, skewed):
     pdf, df = skewed
     d = P.duplicate_count(df.select("k", "v")).first()
     assert d["duplicates"] == int(pdf[["k", "v"]].duplicated().sum())
+
+
+def test_bootstrap_with_hot_scores_and_ties(spark):
+    """Replicate by replicate against numpy: two scores hold most rows, so their segments are dealt to lanes."""
+    from sparkwright.operators.evaluate import _weights
+    rng = np.random.default_rng(8)
+    n, reps = 3000, 12
+    y = (rng.random(n) < 0.4).astype(int)
+    scores = {"a": np.where(rng.random(n) < 0.4, 0.5, rng.random(n).round(2)), "b": np.where(rng.random(n) < 0.9, 0.25, (rng.random(n) + y).round(3))}
+    rows = [(m, f"k{i}", int(y[i]), float(s[i])) for m, s in scores.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "model string, row_key string, label int, score double").repartition(5)
+    got = {r.replicate: (r.auc_a, r.auc_b) for r in V.bootstrap_auc_difference(df, "a", "b", reps, 42).collect()}
+    w = _weights([f"k{i}" for i in range(n)], reps, 42).astype(float)
+    for r in range(reps):
+        for j, s in enumerate(scores.values()):
+            wins = sum(w[:, r][(s == v) & (y == 1)].sum() * (w[:, r][(s < v) & (y == 0)].sum() + w[:, r][(s == v) & (y == 0)].sum() / 2) for v in np.unique(s))
+            assert got[r + 1][j] == pytest.approx(wins / (w[:, r][y == 1].sum() * w[:, r][y == 0].sum()), abs=1e-12)
+
+
+def test_bootstrap_shuffles_no_vectors(spark, skewed):
+    """Every exchange below the sums carries narrow rows; only segments x replicates rows come after them."""
+    _, df = skewed
+    two = df.selectExpr("inline(array(struct('a' AS model, score), struct('b' AS model, v AS score)))", "label", "k AS row_key")
+    plan = V.bootstrap_auc_difference(two, "a", "b", 50)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "binary" not in below and "array<double>" not in below and "Exchange" in below
