@@ -4,9 +4,10 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and line breaks, pie
 arrays of word hashes; prefix polynomials over them give the fingerprint of every n-gram as a difference of two prefix
 values, for all places at once. Equal fingerprints are combined in their task before the shuffle; what is shuffled is the
 fingerprint, its count, the least and greatest second hash of its occurrences, and a pointer to the text of one
-occurrence - never the words. Orders are counted one after the other: an n-gram can be frequent only if both its (n-1)-grams
-are, so order n is emitted only where a bitmap of the frequent fingerprints of order n-1 has both. The bitmap's size follows their number up to
-2^27 bits (16 MB), the one thing broadcast whole; it forgets nothing, a full one only prunes less.
+occurrence - never the words. Words come first, then pairs, then orders 3 and 4: a phrase can be frequent only if all its
+parts are, so pairs are emitted where a bitmap of the frequent words has both, longer phrases where one of the frequent
+pairs has all of theirs. A bitmap's size follows their number up to 2^27 bits (16 MB), the one thing broadcast whole; it
+forgets nothing, a full one only prunes less.
 
 Frequent fingerprints alone are turned into text: the texts that pointers name are read, the fingerprints are found in
 them again and checked by the second hash. A fingerprint whose occurrences differ in the second hash, or that its
@@ -14,7 +15,7 @@ text does not hold, belongs to several phrases: those are counted by their words
 words of all languages share the fingerprints; a language's hash is part of them. The empty phrase occurs at every word, so
 its count is the number of words of a language.
 
-docs is read once per order and once or twice more; store it first if it is costly to compute.
+docs is read four or five times; store it first if it is costly to compute.
 
 Defined cases: null or empty text has no words; a null language is ``und``; repeated rows count each; a very long text is
 processed as a run of its own; ties are broken by the phrase's bytes; an empty table gives no rows; other columns are not
@@ -28,49 +29,50 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from sparkwright.llm.textutil import mixed, slices, texts_of
 from sparkwright.session import stored
 
 LONGEST = 4
+ORDERS = ((0, 1), (2,), (3, 4))           # counted in one pass each
 MIN_COUNT, TOP = 30, 2000
-RUN_BYTES = 8 << 20
+RUN_BYTES = 3 << 20
 MOST_BITS = 1 << 27
 BROADCAST_ROWS = 200_000
 SALTS = 32
-_BREAK, _NONE = 1, 0
-_MARKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
+_BREAK, _END = b"\xff", b"\xfe"            # between pieces and texts: bytes that UTF-8 text does not hold
+_MARKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", _BREAK * 10)
 _BASES = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
-_ALL = (1 << 64) - 1
 
 
-def words_and_breaks(text: bytes) -> list[bytes]:
-    """Words in order, a line feed between pieces; empty entries mean nothing."""
-    return text.lower().translate(_MARKS).replace(b"\n", b" \n ").split(b" ")
+def words_and_breaks(texts: list[bytes]) -> list[bytes]:
+    """Words in order, marks between pieces and behind texts."""
+    whole = (b" " + _END + b" ").join([*texts, b""])
+    return whole.lower().translate(_MARKS).replace(_BREAK, b" \xff ").split()
 
 
 class _WordHashes(dict):
-    """Number of each word met, with two hashes per number; numbers 0 and 1 are the empty word and the break."""
+    """Number of each word met, with two hashes per number; numbers 0 and 1 are the marks."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 200_000):
         super().__init__()
         self.bound = bound
         self.restart()
 
     def restart(self):
         self.clear()
-        self.update({b"": _NONE, b"\n": _BREAK})
-        self.hashes = np.zeros((1 << 16, 2), np.uint64)
+        self.update({_BREAK: 0, _END: 1})
+        self.raw = bytearray(32)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        if number >= len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-        h = xxh3_128_intdigest(word)
-        self.hashes[number] = h & _ALL, h >> 64
+        self.raw += xxh3_128_digest(word)
         return number
 
+    def hashes(self) -> np.ndarray:
+        return np.frombuffer(bytes(self.raw), np.uint64).reshape(-1, 2)
+
 
 class _Powers:
     """Powers of the two bases and of their inverses modulo 2^64."""
@@ -93,30 +95,28 @@ class Run:
     def __init__(self, texts: list[bytes], langs: list[str], hashes: _WordHashes, powers: _Powers, bits: int = 64):
         if len(hashes) > hashes.bound:
             hashes.restart()
-        flat, lengths = [], []
-        for text in texts:
-            before = len(flat)
-            flat += words_and_breaks(text)
-            flat.append(b"\n")
-            lengths.append(len(flat) - before)
-        numbers = np.fromiter(map(hashes.__getitem__, flat), np.int64, len(flat))
-        word = numbers > _BREAK
-        self.flat, self.place = flat, np.flatnonzero(word)
-        self.text = np.repeat(np.arange(len(texts)), lengths)[word]
-        self.piece = np.cumsum(numbers == _BREAK)[word]
+        self.flat = words_and_breaks(texts)
+        numbers = np.fromiter(map(hashes.__getitem__, self.flat), np.int32, len(self.flat))
+        self.place = np.flatnonzero(numbers > 1)
+        self.text = np.cumsum(numbers == 1, dtype=np.int32)[self.place]
+        self.piece = np.cumsum(numbers <= 1, dtype=np.int32)[self.place]
         n = len(self.place)
         up, self.down = powers.upto(n)
         self.prefix = np.zeros((n + 1, 2), np.uint64)
-        np.cumsum(hashes.hashes[numbers[word]] * up[:n], axis=0, out=self.prefix[1:])
+        np.cumsum(hashes.hashes()[numbers[self.place]] * up[:n], axis=0, out=self.prefix[1:])
         self.lang = np.array([xxh3_64_intdigest((x or "und").encode("utf-8", "replace")) for x in langs], np.uint64)
         self.mask = np.uint64((1 << bits) - 1)
 
-    def grams(self, m: int):
-        """(starts, fingerprints, second hashes) of the n-grams of m words inside one piece."""
+    def starts(self, m: int) -> np.ndarray:
+        """Places of the n-grams of m words inside one piece."""
         n = len(self.place)
-        if n < m:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        starts = np.flatnonzero(self.piece[m - 1:] == self.piece[:n - m + 1]) if m > 1 else np.arange(n)
+        if m < 2:
+            return np.arange(n)
+        return np.flatnonzero(self.piece[m - 1:] == self.piece[:n - m + 1]) if n >= m else np.zeros(0, np.int64)
+
+    def grams(self, m: int, starts: np.ndarray | None = None):
+        """(starts, fingerprints, second hashes) of the n-grams of m words, of all or at the given places."""
+        starts = self.starts(m) if starts is None else starts
         poly = (self.prefix[starts + m] - self.prefix[starts]) * self.down[starts]
         both = mixed(poly + (self.lang[self.text[starts]] + np.uint64(m))[:, None])
         return starts, both[:, 0] & self.mask, (both[:, 1] >> np.uint64(33)).astype(np.int32)
@@ -163,24 +163,29 @@ def _runs(batches, bits: int):
             yield batch, Run(texts_of(batch), batch.column("lang").to_pylist(), hashes, powers, bits)
 
 
-def _count(texts: DataFrame, m: int, allowed: Bitmap | None, min_count: int, bits: int) -> DataFrame:
-    """Frequent fingerprints of order m (of orders 0 and 1 for m = 1): m, fp, f, lo, hi, ptr; stored."""
+def _count(texts: DataFrame, orders: tuple, allowed: Bitmap | None, min_count: int, bits: int) -> DataFrame:
+    """Frequent fingerprints of some orders: m, fp, f, lo, hi, ptr; stored.
+
+    With ``allowed``, the frequent fingerprints of one order below the first, an n-gram is counted only if all its parts of
+    that order are frequent."""
     sent = texts.sparkSession.sparkContext.broadcast(allowed)
 
     def run(batches):
         for batch, texts_run in _runs(batches, bits):
-            keys = batch.column("key").to_numpy()
-            for order in ((0, 1) if m == 1 else (m,)):
-                starts, fp, second = texts_run.grams(order)
-                if m > 1:
-                    at, shorter, _ = texts_run.grams(m - 1)
-                    frequent = np.zeros(len(texts_run.place) + 1, bool)
-                    frequent[at] = sent.value(shorter)
-                    kept = frequent[starts] & frequent[starts + 1]
-                    starts, fp, second = starts[kept], fp[kept], second[kept]
-                if not len(fp):
+            keys, shorter = batch.column("key").to_numpy(), orders[0] - 1
+            if allowed_there := sent.value:
+                at, fp, _ = texts_run.grams(shorter)
+                frequent = np.zeros(len(texts_run.place) + LONGEST, bool)
+                frequent[at] = allowed_there(fp)
+            for order in orders:
+                starts = texts_run.starts(order)
+                if allowed_there:
+                    for part in range(order - shorter + 1):
+                        starts = starts[frequent[starts + part]]
+                if not len(starts):
                     continue
-                by = np.argsort(fp, kind="stable")
+                _, fp, second = texts_run.grams(order, starts)
+                by = np.argsort(fp)
                 fp, second, ptr = fp[by], second[by], keys[texts_run.text[starts[by]]]
                 cut = np.flatnonzero(np.r_[True, fp[1:] != fp[:-1]])
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +195,7 @@ def _count(texts: DataFrame, m: int, allowed: Bitmap | None, min_count: int, bit
 
     parts = texts.mapInArrow(run, "m int, fp long, f long, lo int, hi int, ptr long")
     return stored(parts.groupBy("m", "fp").agg(F.sum("f").alias("f"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("ptr").alias("ptr"))
-                  .where(F.col("f") >= min_count), f"phrases_{m}")
+                  .where(F.col("f") >= min_count), f"phrases_{orders[0]}")
 
 
 def _pointed(texts: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
@@ -256,14 +261,13 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str
     ``bits`` cuts the fingerprints (to make them collide in tests); the result does not depend on it."""
     texts = _texts(docs, text_col, lang_col)
     levels, allowed = [], None
-    for m in range(1, LONGEST + 1):
-        level = _count(texts, m, allowed, min_count, bits)
+    for orders in ORDERS:
+        level = _count(texts, orders, allowed, min_count, bits)
         levels.append(level)
-        if m < LONGEST:
-            shorter = level.where(F.col("m") == m)
-            if shorter.isEmpty():
-                break
-            allowed = Bitmap.of(shorter, "fp")
+        longest = level.where(F.col("m") == orders[-1])
+        if orders[-1] == LONGEST or longest.isEmpty():
+            break
+        allowed = Bitmap.of(longest, "fp")
     frequent = levels[0]
     for level in levels[1:]:
         frequent = frequent.unionByName(level)
