@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,49 @@ def _corr_table(df: DataFrame, columns: list[str], left, right) -> DataFrame:
     return out
 
 
+_FLAT = 1e-12     # a variance below this share of the mean square (about the column's mean) is rounding, not spread
+
+
+def _wide(base: DataFrame, columns: list[str]) -> DataFrame:
+    """All pairs from masked cross products: two passes whatever the number of columns.
+
+    The first pass takes the columns' means. In the second every task adds up four k x k matrices over its centred rows X
+    (0 where missing) and their mask M: M'M counts a pair's complete rows, X'M, (X*X)'M and X'X are its sums. Spark adds the
+    partial matrices cell by cell, so only tasks x k x k numbers are shuffled and none reach the driver."""
+    k = len(columns)
+    first = base.agg(*[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    means = np.array([first[f"m{i}"] or 0.0 for i in range(k)])
+
+    def run(batches):
+        n, sx, sxx, sxy = (np.zeros((k, k)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - means
+            present = ~np.isnan(x)
+            x, mask = np.where(present, x, 0.0), present.astype(float)
+            n += mask.T @ mask
+            sx += x.T @ mask
+            sxx += (x * x).T @ mask
+            sxy += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), *[pa.array(list(m), pa.list_(pa.float64())) for m in (n, sx, sxx, sxy)]],
+                                         names=["i", "n", "sx", "sxx", "sxy"])
+
+    parts = base.mapInArrow(run, "i int, n array<double>, sx array<double>, sxx array<double>, sxy array<double>")
+    cells = parts.select("i", F.posexplode(F.arrays_zip("n", "sx", "sxx", "sxy")).alias("j", "v")).groupBy("i", "j").agg(
+        *[F.sum(f"v.{c}").alias(c) for c in ("n", "sx", "sxx", "sxy")])
+    turned = cells.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    per_row = lambda total: F.try_divide(total, F.col("n"))
+    vx, vy = F.col("sxx") - per_row(F.col("sx") * F.col("sx")), F.col("syy") - per_row(F.col("sy") * F.col("sy"))
+    spread = (F.col("n") > 1) & (vx > F.col("sxx") * _FLAT) & (vy > F.col("syy") * _FLAT)
+    value = F.when(spread, (F.col("sxy") - per_row(F.col("sx") * F.col("sy"))) / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(c) for c in columns])
+    return cells.where(F.col("i") < F.col("j")).join(turned, ["i", "j"]).select(
+        names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), F.col("i").alias("ord_a"), F.col("j").alias("ord_b"), value.alias("value"))
+
+
 def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All k(k-1)/2 pairs over pair-complete rows, in partial aggregates per task."""
+    """All k(k-1)/2 pairs over pair-complete rows: one aggregate for up to TILE columns, masked cross products beyond."""
+    if len(columns) > TILE:
+        return _wide(_clean(df, columns), columns)
     return _corr_table(_clean(df, columns), columns, lambda i, j: columns[i], lambda i, j: columns[j])
 
 

@@ -308,24 +308,22 @@ def forest_grid_search(df: DataFrame, features: list[str], grid: dict, fold: str
                        k: int = 5, parallelism: int = 4) -> ForestSearch:
     """Grid search over numTrees x maxDepth x minInstancesPerNode of a random forest on the given folds, refit on all rows.
 
-    The largest forest is fitted once per (depth, leaf size, fold); its first t trees are the forest of t trees, so the
-    numbers of trees cost no fit of their own (``trees.prefix_scores``). Fills, scales and the feature vector are fitted
-    once per fold. All scores of all points go through one grouped AUC. A point's AUC is the mean over the folds (a fold of one
-    class counts 0); of equal points the smallest is the best."""
+    The largest forest is fitted once per (leaf size, fold), to the largest depth; its first t trees, cut at depth d, are a
+    forest of t trees of depth d, so sizes and depths cost no fit of their own (``trees.prefix_scores``). Fills, scales and
+    the feature vector are fitted once per fold. All scores of all points go through one grouped AUC. A point's AUC is the
+    mean over the folds (a fold of one class counts 0); of equal points the smallest is the best, and it is fitted anew."""
     spark = df.sparkSession
-    sizes, largest = sorted(grid["numTrees"]), max(grid["numTrees"])
-    shapes = [(d, m) for d in grid["maxDepth"] for m in grid["minInstancesPerNode"]]
-    prepared, parts, jobs = {}, [], []
-    for i in range(k):
-        train = df.where(F.col(fold) != i)
-        prepared[i] = assemble_stages(features, None).fit(train)
+    sizes, depths = sorted(grid["numTrees"]), sorted(grid["maxDepth"])
+    trains, parts, jobs = [df.where(F.col(fold) != i) for i in range(k)], [], []
+    prepared = fit_all([(assemble_stages(features, None), train) for train in trains], parallelism)
+    for i, train in enumerate(trains):
         vectors = prepared[i].transform(train).select("features", label)
-        jobs += [((i, d, m), Pipeline(stages=[random_forest(largest, d, m, label=label)]), vectors) for d, m in shapes]
+        jobs += [((i, m), Pipeline(stages=[random_forest(sizes[-1], depths[-1], m, label=label)]), vectors) for m in grid["minInstancesPerNode"]]
     models = fit_all([(pipe, rows) for _, pipe, rows in jobs], parallelism)
-    for (i, d, m), fitted in zip([j[0] for j in jobs], models):
+    for (i, m), fitted in zip([j[0] for j in jobs], models):
         whole = PipelineModel(stages=[*prepared[i].stages, *fitted.stages])
-        scored = prefix_scores(whole, df.where(F.col(fold) == i), sizes, [key, label, fold])
-        parts.append(scored.select(F.col("trees").cast("double").alias("numTrees"), F.lit(float(d)).alias("maxDepth"),
+        scored = prefix_scores(whole, df.where(F.col(fold) == i), sizes, [key, label, fold], depths)
+        parts.append(scored.select(F.col("trees").cast("double").alias("numTrees"), F.col("depth").cast("double").alias("maxDepth"),
                                    F.lit(float(m)).alias("minInstancesPerNode"), fold, label, "score"))
     points = ["numTrees", "maxDepth", "minInstancesPerNode"]
     scores = stored(reduce(DataFrame.unionByName, parts), "grid_scores")

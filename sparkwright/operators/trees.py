@@ -51,18 +51,22 @@ def impurity_of(counts: Column, kind: str) -> Column:
     return F.aggregate(counts, F.lit(0.0), lambda a, c: a - F.when(c > 0, share(c) * F.log2(share(c))).otherwise(F.lit(0.0)))
 
 
+def _saved_nodes(model, spark: SparkSession) -> DataFrame:
+    """The nodes of a fitted tree or forest as its saved form has them: a table, read tree by tree."""
+    from sparkwright.operators.models import save_model
+    data = spark.read.parquet(f"{save_model(model, spark, 'nodes')}/data")
+    if "nodeData" in data.columns:
+        return data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    return data.withColumn("tree", F.lit(0))
+
+
 def node_table(model, spark: SparkSession) -> DataFrame:
     """One row per node of a fitted tree or forest (splits on numbers only).
 
     A node's rows satisfy lo[f] < x[f] <= hi[f] for every feature f; left takes x[feature] <= threshold. ``leaf`` numbers
     a tree's leaves as the model's leaf column does (-1: inner node); ``rows`` and ``counts`` are the node's training rows
-    and weighted class counts. Trees are read from the model's saved form, a table of nodes, tree by tree."""
-    from sparkwright.operators.models import save_model
-    data = spark.read.parquet(f"{save_model(model, spark, 'nodes')}/data")
-    if "nodeData" in data.columns:
-        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
-    else:
-        data = data.withColumn("tree", F.lit(0))
+    and weighted class counts."""
+    data = _saved_nodes(model, spark)
     split = F.col("split")
     flat = data.select(
         "tree", F.col("id").alias("node"), F.when(F.col("leftChild") >= 0, split["featureIndex"]).otherwise(-1).alias("feature"),
@@ -140,36 +144,64 @@ def leaf_shares(nodes: list) -> dict:
     return {r["node"]: (r["counts"][1] / sum(r["counts"]) if sum(r["counts"]) else 0.0) for r in nodes if r["left"] < 0}
 
 
-def prefix_scores(model: PipelineModel, df: DataFrame, sizes: list[int], keep: list[str]) -> DataFrame:
-    """keep, trees, score: P(1) by the first t trees of the pipeline's forest, for every t of sizes, from one pass.
-
-    The model tells each row's leaf in every tree; the leaves' class shares, a table of the forest's size, are broadcast,
-    and the running sum over the trees gives every prefix. All trees together score as the model itself does."""
+def _leaf_shares_at(model, spark: SparkSession, depths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first leaf of every tree, leaves x depths): the share of class 1 in a leaf's ancestor at every depth limit (in the
+    leaf itself, if it is not deeper). The forest's nodes come to the driver, where the fitted forest itself lies."""
+    nodes = _saved_nodes(model, spark).select("tree", "id", "leftChild", "rightChild", F.get("impurityStats", 0).alias("n0"),
+                                              F.get("impurityStats", 1).alias("n1")).toArrow()
+    tree, node, left, right, n0, n1 = (np.asarray(c) for c in nodes.columns)
+    order = np.lexsort((node, tree))
+    tree, left, right, n0, n1 = (c[order] for c in (tree, left, right, n0, n1))
+    root = np.searchsorted(tree, np.arange(tree.max() + 1))
+    total, leaf = n0 + n1, left < 0
+    own = np.divide(n1, total, out=np.zeros(len(total)), where=total > 0)
+    at, limits = np.repeat(own[:, None], len(depths), axis=1), np.array(depths)
+    level, depth = root, 0
+    while len(level):                          # children go by their number inside the tree
+        depth += 1
+        inner = level[~leaf[level]]
+        base = root[tree[inner]]
+        for child in (left[inner] + base, right[inner] + base):
+            at[child] = np.where(depth > limits, at[inner], at[child])
+        level = np.concatenate([left[inner] + base, right[inner] + base])
+    return np.searchsorted(tree[leaf], np.arange(tree.max() + 1)), at[leaf]
+
+
+def prefix_scores(model: PipelineModel, df: DataFrame, sizes: list[int], keep: list[str], depths: list[int] | None = None) -> DataFrame:
+    """keep, trees, depth, score: P(1) by the first t trees of the pipeline's forest, cut at each depth, from one pass.
+
+    The first t trees of a forest are a forest of t trees, and a tree cut at depth d (nodes at depth d are leaves with
+    their own class counts) is a tree grown to depth d: no split above looks at what is below. The model tells each row's leaf
+    in every tree; the class shares of the leaf's ancestor at each depth, a table of the forest's size, are broadcast,
+    and the running sum over the trees gives every size. All trees at full depth score as the model itself does."""
     spark, forest = df.sparkSession, model.stages[-1]
-    leaves = node_table(forest, spark).where(F.col("leaf") >= 0).select("tree", "leaf", F.get("counts", 1) / F.aggregate(
-        "counts", F.lit(0.0), lambda a, b: a + b)).toArrow()
-    tree, leaf, share = (np.asarray(c) for c in leaves.columns)
-    order = np.lexsort((leaf, tree))
-    first = np.searchsorted(tree[order], np.arange(tree.max() + 1))
-    sent = spark.sparkContext.broadcast((first, share[order]))
+    deepest = forest.getOrDefault("maxDepth")
+    depths = sorted(depths or [deepest])
+    first, shares = _leaf_shares_at(forest, spark, depths)
+    sent = spark.sparkContext.broadcast((first, shares))
     wanted = np.array(sorted(sizes))
     if wanted[-1] > len(first) or wanted[0] < 1:
         raise ValueError(f"the forest has {len(first)} trees")
+    if depths[-1] > deepest:
+        raise ValueError(f"the forest was grown to depth {deepest}")
 
     placed = forest.copy().setLeafCol("__leaf")
     rows = df
     for stage in model.stages[:-1]:
         rows = stage.transform(rows)
     rows = placed.transform(rows).select(*keep, vector_to_array("__leaf").alias("__leaf"))
+    points = len(wanted) * len(depths)
 
     def run(batches):
-        begin, shares = sent.value
+        begin, table = sent.value
         for batch in batches:
-            at = batch.column("__leaf").flatten().to_numpy().reshape(-1, len(begin)).astype(np.int64)
-            sums = np.cumsum(shares[at + begin], axis=1)[:, wanted - 1] / wanted
-            rest = [batch.column(c).take(pa.array(np.repeat(np.arange(batch.num_rows), len(wanted)))) for c in keep]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(np.tile(wanted, batch.num_rows).astype(np.int32)), pa.array(sums.ravel())],
-                                             names=[*keep, "trees", "score"])
+            at = batch.column("__leaf").flatten().to_numpy().reshape(-1, len(begin)).astype(np.int64) + begin
+            sums = [np.cumsum(table[at, d], axis=1)[:, wanted - 1] / wanted for d in range(len(depths))]
+            rest = [batch.column(c).take(pa.array(np.repeat(np.arange(batch.num_rows), points))) for c in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*rest, pa.array(np.tile(np.tile(wanted, len(depths)), batch.num_rows).astype(np.int32)),
+                 pa.array(np.tile(np.repeat(depths, len(wanted)), batch.num_rows).astype(np.int32)), pa.array(np.hstack(sums).ravel())],
+                names=[*keep, "trees", "depth", "score"])
 
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kept}, trees int, score double")
+    return rows.mapInArrow(run, f"{kept}, trees int, depth int, score double")

@@ -123,20 +123,44 @@ def test_forest_prefixes(spark, data, forest):
         T.prefix_scores(forest, data, [13], ["row_key"])
 
 
+def test_cut_depths(spark, data, forest):
+    """A forest cut at depth d: every tree stops at its nodes of depth d, which score with their own counts."""
+    got = T.prefix_scores(forest, data, [12], ["row_key"], [2, 6]).toPandas()
+    rows = data
+    for stage in forest.stages[:-1]:
+        rows = stage.transform(rows)
+    x = rows.select("row_key", *FEATS).toPandas().set_index("row_key")
+    total = 0
+    for _, tree in T.node_table(forest.stages[-1], spark).toPandas().groupby("tree"):
+        nodes = {r.node: r for r in tree.itertuples()}
+
+        def share(row):
+            r = nodes[0]
+            while r.left >= 0 and r.depth < 2:
+                r = nodes[r.left if row[r.feature] <= r.threshold else r.right]
+            return r.counts[1] / sum(r.counts)
+        total = total + x.apply(lambda row: share(row.to_numpy()), axis=1)
+    cut = got[got.depth == 2].set_index("row_key")["score"].sort_index()
+    assert np.allclose(cut, (total / 12).sort_index(), atol=1e-12)
+    whole = M.score(forest, data, ["row_key"]).toPandas().set_index("row_key")["score"].sort_index()
+    assert np.allclose(got[got.depth == 6].set_index("row_key")["score"].sort_index(), whole, atol=1e-12)
+
+
 def test_grid_points_equal_a_fold_by_fold_search(spark, data):
     """A small grid against fits and scores made one by one."""
     from sparkwright.operators import evaluate as V
     from sparkwright.operators import features as FE
     folded = FE.stratified_folds(data.withColumn("y", F.col("label").cast("int")), "row_key", "y", 3, 1).cache()
-    grid = {"numTrees": [2, 6], "maxDepth": [3], "minInstancesPerNode": [1, 40]}
+    grid = {"numTrees": [2, 6], "maxDepth": [2, 3], "minInstancesPerNode": [1, 40]}
     found = M.forest_grid_search(folded, FEATS, grid, k=3)
-    table = {(r.numTrees, r.minInstancesPerNode): r.cv_auc for r in found.table.collect()}
-    assert len(table) == 4
+    rows = found.table.collect()
+    assert len(rows) == 8
+    table = {(r.numTrees, r.minInstancesPerNode): r.cv_auc for r in rows if r.maxDepth == 3}
     for leaf in (1, 40):
         aucs = []
         for i in range(3):
             m = M.assemble_stages(FEATS, M.random_forest(6, 3, leaf, label="label")).fit(folded.where(F.col("fold") != i))
             aucs.append(V.roc_auc(M.score(m, folded.where(F.col("fold") == i), ["label"])).first()["auc"])
         assert table[6.0, float(leaf)] == pytest.approx(np.mean(aucs), abs=0.02)
-    best = max(table.items(), key=lambda t: t[1])[0]
-    assert found.bestModel.stages[-1].getNumTrees == best[0]
+    best = max(rows, key=lambda r: (r.cv_auc, -r.numTrees, -r.maxDepth, -r.minInstancesPerNode))
+    assert found.bestModel.stages[-1].getNumTrees == best.numTrees
