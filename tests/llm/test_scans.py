@@ -116,3 +116,23 @@ def test_cues(text, kind, part):
     ("IBAN: DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", [])])
 def test_iban_ends_before_what_follows(text, found):
     assert [text[s:e] for k, s, e in P.spans_of(text, P.automaton()) if P.KINDS[k] == "iban"] == found
+
+
+def test_links_group_parts_in_scope(spark):
+    text = "user=bob1 password=hunter2x " + "x " * 300 + "token=abc.def1 https://a.example.org/x login=eve1 " + "y " * 300 + "password=alone99"
+    r = C.scan(spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id long, text string"), ["doc_id"]).collect()
+    links = {x.doc_id: [p.split(":") for p in x.links.split(",") if p] for x in r}
+    assert links[2] == links[3] == []
+    assert [(g, k) for g, k, _, _ in links[1]] == [("1", "identifier"), ("1", "weak_secret"), ("2", "weak_secret"), ("2", "endpoint"), ("2", "identifier")]
+    assert [text[int(s):int(e)] for _, _, s, e in links[1]] == ["user=bob1", "password=hunter2x", "token=abc.def1", "https://a.example.org/x", "login=eve1"]
+
+
+@pytest.mark.parametrize("n", [255, 256, 257, 4000, 16000])
+def test_many_keys_in_one_text(spark, n):
+    import time
+    text = " ".join(f"{i:016x} é" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    t0 = time.time()
+    r = C.scan(df, ["doc_id"]).first()
+    assert time.time() - t0 < 10
+    agree([(text, r)], SECRET, True)
