@@ -260,3 +260,31 @@ def test_within_finds_every_pair(spark):
     own = sorted({f"{p:016x}" for p in prints})
     want = {(a, b): d for i, a in enumerate(own) for b in own[i + 1:] if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 3}
     assert got == want
+
+
+@pytest.mark.parametrize("item_type", ["long", "smallint", "string", "decimal(9,0)"])
+def test_repeated_item_ids_and_parts(spark, item_type):
+    docs, items = leaks()
+    same = [(None if i % 5 == 4 else i % 5, t) for i, t in items]         # five ids, several texts each
+    df = spark.createDataFrame(docs + docs[:30], "doc_id long, text string")
+    bench = spark.createDataFrame(same, "item_id long, text string").selectExpr(f"cast(item_id AS {item_type}) AS item_id", "text")
+    one, many = (sorted(map(str, D.matches(df, bench, part_bytes=p).collect())) for p in (1 << 20, 600))
+    assert one == many and one
+    assert D.matches(df, bench).schema["item_id"].dataType == bench.schema["item_id"].dataType
+
+
+def test_few_items_are_probed():
+    rng = random.Random(6)
+    words = WordHashes(strip=True)
+    common = [" ".join(f"c{rng.randrange(400)}" for _ in range(12)) for _ in range(20)]       # passages that many items share
+    items = [f"{rng.choice(common)} " + " ".join(f"w{rng.randrange(3000)}" for _ in range(28)) for _ in range(5000)]
+    index = D.Index([(i, t.encode()) for i, t in enumerate(items)])
+    (_, _, _, classes), = index.groups
+    (only,) = classes.values()
+    for i in range(0, 5000, 10):
+        leak = items[i].split()
+        leak[-1] = "changed"
+        text = " ".join([*(f"x{rng.randrange(3000)}" for _ in range(50)), *leak, *(f"x{rng.randrange(3000)}" for _ in range(50))])
+        before = only.probed
+        assert i in {m[0] for m in index.matches(words.of(text.encode()))}
+        assert 0 < only.probed - before < 0.05 * len(items)               # all windows of the document together
