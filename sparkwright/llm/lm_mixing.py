@@ -190,7 +190,7 @@ def learn(tables: list[np.ndarray], sequences: list[bytes]) -> None:
 
 
 def _fit(train: DataFrame, partitions: int) -> Model:
-    """Predictor tables from every training text: sparse cells per task, summed by block, finished on their task."""
+    """Predictor tables from every training text: sparse cells per task, summed by block on a task each, stretched on the driver."""
     def count(batches):
         tables = empty_tables()
         for whole in batches:
@@ -266,7 +266,11 @@ def _token_counts(train: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, held_out) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text)."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte for every row of docs.
+
+    n_bytes counts the bytes scored (the tokens, a blank between two, the line end); bits_per_byte is what the model
+    spends on each of them. docs has doc_id and text.
+    """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     train = docs.where(~held_out)
@@ -286,7 +290,8 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, SLICE):
                 texts = texts_of(batch)
-                nats = model.score([sequence(t) for t in texts])
+                made = [sequence(t) for t in texts]
+                nats, n_bytes = model.score(made), np.array([len(s) for s in made], np.int64)
                 counted = [Counter(words_of(t)) for t in texts]
                 size = np.array([len(c) + 1 for c in counted])
                 own = np.fromiter((words[w] for c in counted for w in (*c, b"\n")), np.uint64, size.sum()).view(np.int64)
@@ -309,20 +314,22 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                     pa.concat_arrays([batch.column(1), pa.nulls(k, batch.column(1).type)]),
                     pa.concat_arrays([batch.column(2), pa.nulls(k, batch.column(2).type)]),
                     pad(n_tokens.astype(np.int64), pa.int64()), pad(n_known.astype(np.int64), pa.int64()),
-                    pad(base, pa.float64()), pad(nats / log(10), pa.float64())],
-                    names=["rid", "h", "k", "doc_id", "held", "n_tokens", "n_known", "base", "score"])
+                    pad(base, pa.float64()), pad(nats / log(10), pa.float64()), pad(n_bytes, pa.int64())],
+                    names=["rid", "h", "k", "doc_id", "held", "n_tokens", "n_known", "base", "score", "n_bytes"])
 
     scored = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                          held_out.cast("int").alias("held"), "text") \
-        .mapInArrow(run, "rid long, h long, k long, doc_id long, held int, n_tokens long, n_known long, base double, score double")
+        .mapInArrow(run, "rid long, h long, k long, doc_id long, held int, n_tokens long, n_known long, base double, score double, n_bytes long")
     # rare and unseen tokens find their counts by a join; a text's own row (k = 0) passes through it unchanged
     found = scored.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     per_doc = found.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), (F.max("held") == 1).alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         (F.sum("n_known") + F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0))).alias("n_known"),
-        (F.sum("base") + F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0)))).alias("base"), F.sum("score").alias("score"))
+        (F.sum("base") + F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0)))).alias("base"), F.sum("score").alias("score"),
+        F.sum("n_bytes").alias("n_bytes"))
     return per_doc.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
-                          (F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(tokens + distinct + 1)))).alias("base_score"), "score")
+                          (F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(tokens + distinct + 1)))).alias("base_score"), "score",
+                          "n_bytes", (-F.col("score") * F.lit(log(10) / log(2)) / F.col("n_bytes")).alias("bits_per_byte"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

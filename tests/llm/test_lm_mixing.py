@@ -66,3 +66,52 @@ def test_score_does_not_depend_on_neighbours_and_learns():
 def test_held_out_text_costs_less_than_its_byte_entropy(docs01):
     out = L.score_documents(docs01.select("doc_id", "text")).where("held_out").groupBy().sum("score", "n_tokens").first()
     assert -out[0] / math.log10(2) / out[1] < 15.5
+
+
+def one_bit_at_a_time(m, seq):
+    """The model in plain Python: contexts, gated mixing and correction of every single bit."""
+    total, place = 0.0, 0
+    for i, byte in enumerate(seq):
+        if i % L.LANE == 0:
+            weights = {g: [w / L.SCALE for w in L.START_WEIGHTS] for g in range(L.GATES)}
+            adjust = [0.0] * L.BUCKETS
+        if i % L.STEP == 0:
+            moves, shifts = {g: [0.0] * len(L.ORDERS) for g in range(L.GATES)}, [0.0] * L.BUCKETS
+        place = 0 if i == 0 or seq[i - 1] == 32 else place + 1
+        gate, slots, h, lead = min(place, L.GATES - 1), [], 0, 0
+        for order, bits in L.ORDERS:
+            while lead < order:
+                lead += 1
+                h = ((h + (seq[i - lead] if i >= lead else L.END)) * 0x9E3779B1 + lead) % 2 ** 32
+            slots.append(((h ^ h >> 15) * 0x85EBCA6B) % 2 ** 32 >> (32 - bits))
+        first = m.code.first[byte]
+        for b in range(first, first + m.code.length[byte]):
+            node, sign = int(m.code.node[b]), int(m.code.sign[b])
+            inputs = [int(t[s * 256 + node]) for t, s in zip(m.tables, slots)]
+            odds = sum(w * x for w, x in zip(weights[gate], inputs))
+            bucket = int(min(max(odds * 2 + L.BUCKETS / 2, 0), L.BUCKETS - 1))
+            odds = min(max(odds + adjust[bucket], -18), 18)
+            p = 1 / (1 + math.exp(-sign * odds))
+            total += math.log(p)
+            error = sign * (1 - p)
+            moves[gate] = [v + L.RATE / L.SCALE ** 2 * error * x for v, x in zip(moves[gate], inputs)]
+            shifts[bucket] += L.BUCKET_RATE * error
+        if i % L.STEP == L.STEP - 1:
+            weights = {g: [w + v for w, v in zip(weights[g], moves[g])] for g in weights}
+            adjust = [a + s for a, s in zip(adjust, shifts)]
+    return total
+
+
+def test_scores_equal_one_bit_at_a_time(docs001):
+    texts = [L.sequence((r.text or "").encode()) for r in docs001.select("text").limit(40).collect()]
+    m = model(texts[:30])
+    some = texts[25:36] + [b"\n", b" ".join(texts[:12])[:9000]]
+    assert max(map(len, some)) > 2 * L.LANE
+    assert np.allclose(m.score(some), [one_bit_at_a_time(m, t) for t in some], rtol=2e-3)
+
+
+def test_bits_per_byte(odd):
+    for r in L.score_documents(odd).collect():
+        assert r.bits_per_byte * r.n_bytes == pytest.approx(-r.score / math.log10(2))
+    sizes = {r.doc_id: r.n_bytes for r in L.score_documents(odd).collect()}
+    assert sizes[2] == sizes[3] == sizes[7] == 1 and sizes[6] == len("12 34 +1 (555) 123-4567\n")
