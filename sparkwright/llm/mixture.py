@@ -6,7 +6,8 @@ permutation of the slot numbers, so a shard's source counts are multinomial draw
 source totals (the totals meet the targets to within a block). Slot i of a source maps to block
 perm(i mod blocks) of pass i div blocks; a per-source swap-or-not permutation makes each block come once
 per pass, so no block is taken more than ceil(target / size) times. Blocks are joined to the documents by
-(source, block). Everything is DataFrame functions.
+(source, block), each with the output shards its slots were dealt to. Texts are read once for their sizes, which are
+stored. Everything is DataFrame functions.
 
 Defined cases: null text has no words and takes nothing; null source is a source of its own, last; repeated
 rows are laid down one after the other; sources without words get target 0; an empty table gives no rows.
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkwright.llm.textutil import whole_row
+from sparkwright.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -133,11 +135,11 @@ def mix(docs: DataFrame, block_words: int = 256, n_shards: int = 64, share: floa
     """Plan the mix of docs (doc_id, source, text). Returns (documents, pieces_with_uses, slots).
 
     documents: doc_id, h (text hash), copy, sid, size, offset; pieces_with_uses adds the times a block is
-    drawn; slots lists every drawn block with its output shard. All three are lazy.
+    drawn and the output shard of each time; slots lists every drawn block with its output shard. All are lazy.
     """
     spark = docs.sparkSession
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-                        F.xxhash64("text").alias("h"))
+    sized = stored(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
+                               F.xxhash64("text").alias("h")), "mixing_sizes")
     targets = source_targets(sized, share, most, weights)
     if not targets:
         targets = [(None, 0, 0.0)]
@@ -147,21 +149,28 @@ def mix(docs: DataFrame, block_words: int = 256, n_shards: int = 64, share: floa
                           F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
     laid = lay_out(with_sid, ["doc_id", "h"])
     slots = draw_slots(sources, max(1, total), n_shards, seed)
-    uses = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
+    uses = slots.groupBy("sid", "block").agg(
+        F.count(F.lit(1)).alias("uses"), F.array_sort(F.collect_list("out_shard")).alias("out_shards"))   # as many as passes
     parts = pieces(laid, block_words, ["doc_id", "h", "copy", "size"]).join(
         uses.hint("merge"), ["sid", "block"])       # the blocks grow with the data, which the planner cannot see: no broadcast
     return laid, parts, slots, sources
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row per document row."""
+    """doc_id, size, source_size, target, taken, by_shard: one row per document row.
+
+    by_shard lists the words that each output shard takes of it as shard:words, by shard; they add up to taken.
+    """
     laid, parts, _, sources = mix(docs, **options)
     keys = ["doc_id", "h", "copy", "size", "sid"]
-    taken = parts.groupBy(*keys).agg(F.sum(F.col("n") * F.col("uses")).alias("taken"))
-    rows = laid.select(*keys, F.lit(0).cast("long").alias("taken")).unionByName(taken) \
-        .groupBy(*keys).agg(F.sum("taken").alias("taken"))
+    dealt = parts.select(*keys, F.explode("out_shards").alias("shard"), "n").groupBy(*keys, "shard").agg(F.sum("n").alias("n"))
+    # a document that nothing is taken of has one row without a shard
+    rows = laid.select(*keys, F.lit(None).cast("int").alias("shard"), F.lit(0).cast("long").alias("n")).unionByName(dealt) \
+        .groupBy(*keys).agg(F.sum("n").alias("taken"), F.array_sort(F.collect_list(
+            F.when(F.col("shard").isNotNull(), F.struct("shard", "n")))).alias("shards"))
     return rows.join(F.broadcast(sources.select("sid", "source_size", "target")), "sid") \
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select("doc_id", "size", "source_size", "target", "taken",
+                F.array_join(F.transform("shards", lambda x: F.concat_ws(":", x["shard"], x["n"])), ",").alias("by_shard"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -178,8 +187,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .withColumn("n", F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x["n"])) \
         .select(F.xxhash64("doc_id", "h").alias("k"), "copy", "size", "q", "n")
     # rows that are equal in doc_id and text are numbered; the window and the join share one shuffle by k
-    same = Window.partitionBy("k").orderBy(F.lit(1))
-    keyed = docs.select(whole_row(docs), F.xxhash64("doc_id", F.xxhash64("text")).alias("k")) \
+    # by their other columns, so that reruns agree
+    same = Window.partitionBy("k").orderBy("_h")
+    keyed = docs.select(whole_row(docs), F.xxhash64("doc_id", F.xxhash64("text")).alias("k"),
+                        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_h")) \
         .withColumn("own", F.row_number().over(same) - 1)
     got = keyed.join(spans, "k").where(F.col("own") - F.col("copy") == 0)
     words = F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0))

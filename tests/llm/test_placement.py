@@ -129,3 +129,29 @@ def test_mixing_odd_rows(odd, none):
     assert M.mixed_documents(odd).columns == odd.columns
     blank = odd.where("doc_id in (2, 3)")
     assert [(r.size, r.target, r.taken) for r in M.taken_words(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_words_per_output_shard_come_through_the_draw(docs001):
+    block, shards = 32, 8
+    laid, _, slots, _ = M.mix(docs001, block_words=block, n_shards=shards)
+    drawn = defaultdict(list)
+    for s in slots.collect():
+        drawn[(s.sid, s.block)].append(s.out_shard)
+    want = {}
+    for d in laid.collect():
+        by = Counter()
+        for w in range(d.offset, d.offset + d["size"]):               # every word of the document, one by one
+            by.update(drawn[(d.sid, w // block)])
+        want[d.doc_id] = by
+    rows = M.taken_words(docs001, block_words=block, n_shards=shards).collect()
+    got = {r.doc_id: Counter({int(a): int(b) for a, b in (x.split(":") for x in r.by_shard.split(",") if x)}) for r in rows}
+    assert got == want and all(r.taken == sum(got[r.doc_id].values()) for r in rows)
+    total = sum(got.values(), Counter())
+    assert len(total) == shards and max(total.values()) < 1.2 * min(total.values())
+
+
+def test_equal_rows_are_cut_alike_in_reruns(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(1, text, "a", f"t{i % 7}") for i in range(40)], "doc_id long, text string, source string, lang string")
+    runs = [sorted(map(str, M.mixed_documents(df.repartition(p), block_words=16).collect())) for p in (2, 5)]
+    assert runs[0] == runs[1]
