@@ -40,74 +40,154 @@ def test_odd_rows(odd, none):
     assert L.score_documents(none).count() == 0
 
 
-def model(texts):
-    tables = L.empty_tables()
-    L.learn(tables, texts)
-    code = L.Code(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
-    return L.Model(code, [code.stretched(t.reshape(-1, 256)).ravel() for t in tables])
+def model(texts, cells=15):
+    c = Counter(w for t in texts for w in [*L.words_of(t), L.END])
+    h, n = np.array([L.hash_of(w) for w in c], np.int64), np.array(list(c.values()), np.int64)
+    tokens = sum(c.values())
+    known = n >= max(1.0, tokens / L.COMMON)
+    v = L.Vocabulary(h[known], n[known], tokens, int((n == 1).sum()))
+    words, counters, code = L.Words(v, cells, spell=True), L.Counters(cells), L.Code(v.mass)
+    for t in texts:
+        counters.learn(L.Run([t], words), code, words)
+    edge = 2 << cells
+    table = b"".join(L.finished(counters.all[b:b + L.BLOCK], False) for b in range(0, edge, L.BLOCK))
+    return L.Model(v, cells, np.frombuffer(table, np.uint8), L.spelling_table(counters.all[edge:].astype(np.int64)))
+
+
+def leaf_costs(m, texts):
+    run = L.Run(texts, L.Words(m.vocabulary, m.cells))
+    return run, m.leaf_costs(run)
+
+
+def test_next_leaf_probabilities_sum_to_one():
+    m = model([b"the cat sat on the mat and the dog sat too"] * 5)
+    for prefix in (b"", b"the", b"the cat sat on the mat and the dog sat on the cat"):
+        after = [w for w in set(b"the cat sat on mat and dog too".split())] + [b"zzz"]
+        run, cost = leaf_costs(m, [prefix + b" " + w for w in after] + [prefix])
+        at = np.cumsum(run.size) - 2
+        end = cost[-1]          # the end behind the prefix is a leaf, too
+        assert np.exp(-cost[at[:-1]]).sum() + np.exp(-end) == pytest.approx(1.0, abs=1e-4)
+
+
+def test_spelling_probabilities_sum_to_one():
+    m = model([b"alpha beta gamma delta"])
+    one = 10 ** m.spelling.reshape(-1, 256).astype(float)
+    assert np.allclose(one.sum(1), 1, atol=1e-4)
+    assert m.spelling_costs([b"alpha"])[0] > m.spelling_costs([b"qqqqq"])[0]
+
+
+def test_costs_do_not_depend_on_neighbours_and_learn():
+    texts = [b"one two three " * 900, b"", b"three two one", b"zqx jjv kkw"]
+    m = model([texts[0]])
+    run, together = leaf_costs(m, texts)
+    by_text = np.bincount(run.doc, weights=together)
+    assert np.allclose(by_text, [leaf_costs(m, [t])[1].sum() for t in texts], rtol=1e-5)
+    assert by_text[2] < by_text[3]
 
 
-def test_next_byte_probabilities_sum_to_one():
-    m = model([L.sequence(b"the cat sat on the mat and the dog sat too")] * 5)
-    for prefix in (b"", b"the c", b"the cat sat on the mat and the dog sat on the cat"):
-        after = m.score([prefix + bytes([b]) for b in range(256)])
-        before = m.score([prefix])[0] if prefix else 0.0
-        assert np.exp(after - before).sum() == pytest.approx(1.0, abs=1e-4)
+def test_cells_grow_with_the_tokens():
+    assert [L.cell_bits(n) for n in (0, 1000, 1 << 22, 1 << 24, 1 << 40)] == [15, 15, 19, 21, L.MOST_CELLS]
 
 
-def test_score_does_not_depend_on_neighbours_and_learns():
-    texts = [L.sequence(t) for t in (b"one two three " * 900, b"", b"three two one", b"zqx jjv kkw")]
-    m = model([texts[0]])
-    together = m.score(texts)
-    assert np.allclose(together, [m.score([t])[0] for t in texts], rtol=1e-5)
-    assert together[2] / len(texts[2]) > together[3] / len(texts[3])
+def test_code_is_a_prefix_code_near_the_entropy():
+    mass = np.sort(np.random.default_rng(0).integers(1, 1000, 300))[::-1]
+    code = L.Code(mass)
+    assert sum(2.0 ** -n for n in code.length) == pytest.approx(1.0)
+    p = mass / mass.sum()
+    assert (p * code.length).sum() < -(p * np.log2(p)).sum() + 1
+    assert L.Code(np.array([5])).length.tolist() == [0]
+
+
+M64 = (1 << 64) - 1
 
 
-def test_held_out_text_costs_less_than_its_byte_entropy(docs01):
-    out = L.score_documents(docs01.select("doc_id", "text")).where("held_out").groupBy().sum("score", "n_tokens").first()
-    assert -out[0] / math.log10(2) / out[1] < 15.5
+def mix(x):
+    return int(L.mixed(np.array([x & M64], np.uint64))[0])
 
 
-def one_bit_at_a_time(m, seq):
-    """The model in plain Python: contexts, gated mixing and correction of every single bit."""
-    total, place = 0.0, 0
-    for i, byte in enumerate(seq):
+def one_bit_at_a_time(m, text):
+    """log10 probability of a text in plain Python: contexts, gated mixing and correction of every single bit, then rare words."""
+    v, code, total = m.vocabulary, m.code, 0.0
+    counts, place = dict(zip(v.known.tolist(), v.times.tolist())), {h: i for i, h in enumerate(v.known.tolist())}
+    common = 1 << (m.cells - 13)
+    words = L.words_of(text) + [L.END]
+    cues = []
+    for i, w in enumerate(words):
         if i % L.LANE == 0:
-            weights = {g: [w / L.SCALE for w in L.START_WEIGHTS] for g in range(L.GATES)}
+            weights = [list(L.START_WEIGHTS) for _ in range(L.GATES)]
             adjust = [0.0] * L.BUCKETS
         if i % L.STEP == 0:
-            moves, shifts = {g: [0.0] * len(L.ORDERS) for g in range(L.GATES)}, [0.0] * L.BUCKETS
-        place = 0 if i == 0 or seq[i - 1] == 32 else place + 1
-        gate, slots, h, lead = min(place, L.GATES - 1), [], 0, 0
-        for order, bits in L.ORDERS:
-            while lead < order:
-                lead += 1
-                h = ((h + (seq[i - lead] if i >= lead else L.END)) * 0x9E3779B1 + lead) % 2 ** 32
-            slots.append(((h ^ h >> 15) * 0x85EBCA6B) % 2 ** 32 >> (32 - bits))
-        first = m.code.first[byte]
-        for b in range(first, first + m.code.length[byte]):
-            node, sign = int(m.code.node[b]), int(m.code.sign[b])
-            inputs = [int(t[s * 256 + node]) for t, s in zip(m.tables, slots)]
-            odds = sum(w * x for w, x in zip(weights[gate], inputs))
+            moves, shifts = [[0.0] * 4 for _ in range(L.GATES)], [0.0] * L.BUCKETS
+        h = L.hash_of(w)
+        last, before = (cues[-1] if cues else 0), (cues[-2] if len(cues) > 1 else 0)
+        if i:
+            p = L.hash_of(words[i - 1])
+            kind = p if counts.get(p, 0) * common >= v.tokens else int.from_bytes(words[i - 1][-2:], "little") % L.CLASSES
+        else:
+            kind = L.CLASSES
+        a, b = mix(last + 1), mix(kind + 2)
+        contexts = [a, b, mix(mix(a * 3 + before) % common + 3)]
+        leaf = int(v.leaf[place[h]]) if h in place else v.rare_leaf
+        for j in range(code.first[leaf], code.first[leaf] + code.length[leaf]):
+            start, row, sign = float(code.start[j]), int(code.row[j]), int(code.sign[j])
+            seen = [int(m.table[((c * int(L._SPREAD) + int(code.key[j])) & M64) >> (64 - m.cells)]) for c in contexts]
+            x = [start] + [float(L.MOVES[row + s]) for s in seen]
+            gate = int(L.LEVEL[seen[1]])
+            odds = sum(p * q for p, q in zip(weights[gate], x))
             bucket = int(min(max(odds * 2 + L.BUCKETS / 2, 0), L.BUCKETS - 1))
             odds = min(max(odds + adjust[bucket], -18), 18)
             p = 1 / (1 + math.exp(-sign * odds))
-            total += math.log(p)
-            error = sign * (1 - p)
-            moves[gate] = [v + L.RATE / L.SCALE ** 2 * error * x for v, x in zip(moves[gate], inputs)]
-            shifts[bucket] += L.BUCKET_RATE * error
+            total += math.log10(p)
+            moves[gate] = [o + L.RATE * sign * (1 - p) * y for o, y in zip(moves[gate], x)]
+            shifts[bucket] += L.BUCKET_RATE * sign * (1 - p)
+        if leaf == v.rare_leaf:
+            n = counts.get(h, 0)
+            total += math.log10((n or v.new) / (v.rare + v.new))
+            if not n:
+                total += float(m.spelling_costs([w])[0])
         if i % L.STEP == L.STEP - 1:
-            weights = {g: [w + v for w, v in zip(weights[g], moves[g])] for g in weights}
-            adjust = [a + s for a, s in zip(adjust, shifts)]
+            weights = [[p + q for p, q in zip(*s)] for s in zip(weights, moves)]
+            adjust = [p + q for p, q in zip(adjust, shifts)]
+        if h in counts and counts[h] * L.CUES >= v.tokens and w != L.END:
+            cues.append(h)
     return total
 
 
-def test_scores_equal_one_bit_at_a_time(docs001):
-    texts = [L.sequence((r.text or "").encode()) for r in docs001.select("text").limit(40).collect()]
+@pytest.mark.parametrize("coded", [1 << 16, 300])
+def test_costs_equal_one_bit_at_a_time(docs001, monkeypatch, coded):
+    monkeypatch.setattr(L, "CODED", coded)
+    texts = [(r.text or "").encode() for r in docs001.select("text").limit(40).collect()]
     m = model(texts[:30])
-    some = texts[25:36] + [b"\n", b" ".join(texts[:12])[:9000]]
-    assert max(map(len, some)) > 2 * L.LANE
-    assert np.allclose(m.score(some), [one_bit_at_a_time(m, t) for t in some], rtol=2e-3)
+    v = m.vocabulary
+    some = texts[25:36] + [b"", b" ".join(texts[:12])[:9000]]
+    assert max(len(t.split()) for t in some) > 2 * L.LANE
+    run, cost = leaf_costs(m, some)
+    got = -np.bincount(run.doc, weights=cost) / math.log(10)
+    for i, t in enumerate(some):
+        rare = [w for w in [*L.words_of(t), L.END] if (v.leaf[v.find(np.array([L.hash_of(w)]))[0]]) == v.rare_leaf]
+        c = {L.hash_of(w): n for w, n in Counter(w for x in texts[:30] for w in [*L.words_of(x), L.END]).items()}
+        for w in rare:
+            n = c.get(L.hash_of(w), 0)
+            got[i] += math.log10((n or v.new) / (v.rare + v.new)) + (0 if n else m.spelling_costs([w])[0])
+    assert np.allclose(got, [one_bit_at_a_time(m, t) for t in some], rtol=2e-3)
+
+
+def test_query_equals_the_model_trained_in_one_place(docs001):
+    """All of it through Spark: counters added up from tasks, rare counts joined; any number of partitions."""
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs001.select("doc_id", "text").collect()]
+    m = model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    want = {i: one_bit_at_a_time(m, t) for i, t in rows[:60]}
+    for parts in (1, 5):
+        got = {r.doc_id: r.score for r in L.score_documents(docs001.select("doc_id", "text").repartition(parts)).collect()}
+        assert all(got[i] == pytest.approx(s, rel=2e-3, abs=1e-3) for i, s in want.items())
+
+
+def test_held_out_text_gains_from_contexts(docs01):
+    """Against the same code without contexts and mixing."""
+    rows = [((r.text or "").encode(), zlib.crc32(str(r.doc_id).encode()) % 7 == 2) for r in docs01.select("doc_id", "text").collect()]
+    m = model([t for t, held in rows if not held], L.cell_bits(400_000))
+    run, cost = leaf_costs(m, [t for t, held in rows if held])
+    assert cost.sum() < 0.97 * -np.log(m.vocabulary.mass / m.vocabulary.mass.sum())[run.leaf].sum()
 
 
 def test_bits_per_byte(odd):
