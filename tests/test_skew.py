@@ -76,3 +76,15 @@ def test_bootstrap_shuffles_no_vectors(spark, skewed):
     plan = V.bootstrap_auc_difference(two, "a", "b", 50)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow"):]
     assert "binary" not in below and "array<double>" not in below and "Exchange" in below
+
+
+def test_every_bootstrap_weight_has_its_own_hash(spark):
+    """P9 draws row by replicate: the first word of md5(key|replicate|seed)."""
+    import hashlib
+    from sparkwright.functions.hashing import POISSON1_CDF
+    keys = [f"k{i}" for i in range(40)]
+    got = {r.replicate: (r.drawn_rows, r.total_weight) for r in V.bootstrap_draws(spark.createDataFrame([(k,) for k in keys], "k string"), "k", 9, 42).collect()}
+    for r in range(1, 10):
+        u = [int(hashlib.md5(f"{k}|{r}|42".encode()).hexdigest()[:8], 16) / 2 ** 32 for k in keys]
+        w = [sum(x >= c for c in POISSON1_CDF) for x in u]
+        assert got[r] == (sum(x > 0 for x in w), sum(w))
