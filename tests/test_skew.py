@@ -78,6 +78,18 @@ def test_bootstrap_shuffles_no_vectors(spark, skewed):
     assert "binary" not in below and "array<double>" not in below and "Exchange" in below
 
 
+def test_class_weights_do_not_shuffle_rows_by_label(spark, monkeypatch):
+    """A few classes' weights are broadcast; many are joined. Both give n / (K n_k), and rows without a label go."""
+    from sparkwright.operators import features as FE
+    df = spark.createDataFrame([(i, None if i == 0 else int(i % 10 == 1)) for i in range(400)], "k int, label int").repartition(4)
+    few = FE.with_class_weights(df, "label")
+    assert "Exchange hashpartitioning(label" not in few._jdf.queryExecution().executedPlan().toString()
+    rows = {r.k: r.weight for r in few.collect()}
+    assert len(rows) == 399 and rows[1] == pytest.approx(400 / (3 * 40)) and rows[2] == pytest.approx(400 / (3 * 359))
+    monkeypatch.setattr(FE, "FEW_CLASSES", 1)
+    assert sorted(map(tuple, FE.with_class_weights(df, "label").collect())) == sorted(map(tuple, few.collect()))
+
+
 def test_every_bootstrap_weight_has_its_own_hash(spark):
     """P9 draws row by replicate: the first word of md5(key|replicate|seed)."""
     import hashlib
