@@ -7,13 +7,16 @@ fit it once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.operators import evaluate as V
 from sparkwright.operators import explain as X
 from sparkwright.operators import features as FE
+from sparkwright.operators import forests as FO
 from sparkwright.operators import linear as L
 from sparkwright.operators import models as M
 from sparkwright.operators import trees as T
@@ -68,8 +71,8 @@ def _classifiers(spark, d):
 _BUILDERS = {
         "logreg_c1": lambda tr: M.logistic(1.0, tr.count(), "label_d"),
         "tree_d5": lambda tr: M.decision_tree(5, min_split=20, label="label_d"),
-        "random_forest": lambda tr: M.random_forest(100, 10, label="label_d"),
-        "gradient_boosting": lambda tr: M.gradient_boosting(100, 3, 0.1, label="label_d"),
+        "random_forest": lambda tr: FO.CellForest(M.random_forest(100, 10, label="label_d")),
+        "gradient_boosting": lambda tr: FO.CellBoosting(M.gradient_boosting(100, 3, 0.1, label="label_d")),
 }
 
 
@@ -110,6 +113,20 @@ def _acc_table(spark, d, names):
     return rounded(V.accuracy_gap(out, "is_test", by=["model"]), 4)
 
 
+def _score_counts(spark, d, models, splits=(False, True)):
+    """(model, is_test, label, pred, score, rows): every row of the splits scored once per model; what follows reads the counts."""
+    parts = [M.score(m, _data(spark, d)[int(t)], ["label"]).withColumn("is_test", F.lit(t)).withColumn("model", F.lit(nm))
+             for nm, m in models.items() for t in splits]
+    counts = reduce(DataFrame.unionByName, parts).groupBy("model", "is_test", "label", "pred", "score").agg(F.count(F.lit(1)).alias("rows"))
+    return stored(counts, "score_counts")
+
+
+def _acc_and_auc(spark, d, name):
+    counts = _score_counts(spark, d, {name: _clf_model(spark, d, name)})
+    acc = V.accuracy_gap(counts, "is_test", by=["model"], weight="rows")
+    return rounded(rounded(acc, 4).join(V.roc_auc(counts.where("is_test"), by=["model"], weight="rows"), "model"), 4)
+
+
 def _regressors(spark, d):
     train, test = _data(spark, d)
     n, sd = M.train_size_and_label_std(train, "net")
@@ -233,9 +250,7 @@ def m9_top_splits(spark, d):
 
 
 def m10_random_forest(spark, d):
-    acc = _acc_table(spark, d, ["random_forest"])
-    auc = V.roc_auc(_test_preds(spark, d, ["random_forest"]), by=["model"])
-    return rounded(acc.join(auc, "model"), 4)
+    return _acc_and_auc(spark, d, "random_forest")
 
 
 def m11_feature_importance(spark, d):
@@ -250,9 +265,7 @@ def m11_node_importance(spark, d):
 
 
 def m12_gradient_boosting(spark, d):
-    acc = _acc_table(spark, d, ["gradient_boosting"])
-    auc = V.roc_auc(_test_preds(spark, d, ["gradient_boosting"]), by=["model"])
-    return rounded(acc.join(auc, "model"), 4)
+    return _acc_and_auc(spark, d, "gradient_boosting")
 
 
 def m13_ablation(spark, d):
@@ -261,11 +274,9 @@ def m13_ablation(spark, d):
     drop = M.least_important(spark, full, FEATURES, len(FEATURES) // 2)
     keep = [f for f in FEATURES if f not in drop]
     reduced = _fit(spark, d, "random_forest_reduced",
-                   lambda tr: M.assemble_stages(keep, M.random_forest(100, 10, label="label_d"), impute=False))
-    _, test = _data(spark, d)
-    p = M.score(full, test, ["row_key", "label"]).withColumn("model", F.lit("full")).unionByName(
-        M.score(reduced, test, ["row_key", "label"]).withColumn("model", F.lit("reduced")))
-    return rounded(V.roc_auc(p, by=["model"]), 4).withColumn("dropped", F.lit(",".join(drop)))
+                   lambda tr: M.assemble_stages(keep, FO.CellForest(M.random_forest(100, 10, label="label_d")), impute=False))
+    counts = _score_counts(spark, d, {"full": full, "reduced": reduced}, [True])
+    return rounded(V.roc_auc(counts, by=["model"], weight="rows"), 4).withColumn("dropped", F.lit(",".join(drop)))
 
 
 def _cv(spark, d):
