@@ -107,3 +107,75 @@ def test_accuracy_of_counted_rows(spark):
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("w"))
     a, b = V.accuracy_gap(df, "is_test", by=["model"]).first(), V.accuracy_gap(counted, "is_test", by=["model"], weight="w").first()
     assert a == b and a.train_acc == 0.5 and a.test_acc == pytest.approx(2 / 3)
+
+
+def _cells(data):
+    rows = M.assemble_stages(FEATS, None, impute=False, scale=False).fit(data).transform(data)
+    cells, edges = FO._cells_of(rows, "features", "label", 128)
+    return cells, edges, rows
+
+
+@pytest.mark.parametrize("finish", [0, 300, 10**6])
+def test_deep_trees_hold_their_draws(spark, data, finish):
+    """Counts of every node are the drawn cells inside it, whether levels or tasks grew it; no leaf could still be split."""
+    cells, edges, _ = _cells(data)
+    sizes = [len(e) + 1 for e in edges]
+    forest = FO.grow_deep(cells, sizes, 3, 30, 2, 3, 42, finish)
+    table = cells.toPandas()
+    x, y = np.array([list(b) for b in table["bins"]]), table["y"].to_numpy()
+    keys, n = table["k"].to_numpy().view(np.uint64), table["n"].to_numpy()
+    assert len(forest) == 3
+    for t, tree in enumerate(forest):
+        w = FO.bootstrap_counts(keys, n, t, 42)
+        inside = {0: w > 0}
+        assert len(tree["left"]) > 100
+        for i, (f, b, left) in enumerate(zip(tree["feature"], tree["bin"], tree["left"])):
+            here = inside.pop(i)
+            own = [w[here & (y == c)].sum() for c in (0, 1)]
+            assert [tree["n0"][i], tree["n1"][i]] == own and sum(own) >= 2
+            if left >= 0:
+                assert left > i
+                inside[left], inside[left + 1] = here & (x[:, f] <= b), here & (x[:, f] > b)
+            elif min(own) > 0:             # all features are offered: what is left has no split that gains
+                for g in range(3):
+                    for c in range(sizes[g] - 1):
+                        low = [w[here & (y == k) & (x[:, g] <= c)].sum() for k in (0, 1)]
+                        high = [own[0] - low[0], own[1] - low[1]]
+                        assert sum(low) < 2 or sum(high) < 2 or low[0] * high[1] == pytest.approx(low[1] * high[0])
+
+
+def test_finished_subtrees_do_not_depend_on_partitions_or_chunks(spark, data, monkeypatch):
+    cells, edges, _ = _cells(data)
+    sizes = [len(e) + 1 for e in edges]
+    a = FO.grow_deep(cells, sizes, 4, 30, 1, 2, 7, 300)
+    monkeypatch.setattr(FO, "COUNTS_AT_ONCE", 64)
+    b = FO.grow_deep(cells.repartition(3), sizes, 4, 30, 1, 2, 7, 300)
+    for s, t in zip(a, b):
+        assert all(np.array_equal(s[c], t[c]) for c in s)
+
+
+def test_deep_forest_points_score_as_their_own_fits(spark, data):
+    """A prefix ended at a depth scores as the forest that is fitted with that size and depth."""
+    cells, edges, rows = _cells(data)
+    forest = FO.deep_forest(cells, edges, M.random_forest(6, 30, 2, label="label"))
+    points = FO.prefix_scores_of_cells(cells, forest, [2, 6], [3, 30]).toPandas()
+    assert len(points) == 4 * cells.count()
+    for t, d in ((2, 3), (6, 3), (2, 30), (6, 30)):
+        model = FO.DeepForest(M.random_forest(t, d, 2, label="label")).fit(rows)
+        assert model.getNumTrees == t and max(x.depth for x in model.trees) == (3 if d == 3 else max(x.depth for x in model.trees))
+        got = points[(points["trees"] == t) & (points["depth"] == d)]
+        own = M.score(model, rows, ["label"]).toPandas()
+        assert np.allclose(np.sort(np.repeat(got["score"], got["n"])), np.sort(own["score"]), atol=1e-12)
+        loaded = T.node_table(model, spark).toPandas()
+        assert (loaded["rows"] >= 2).all() and len(loaded) > t
+    with pytest.raises(ValueError):
+        FO.prefix_scores_of_cells(cells, forest, [7], [3])
+
+
+def test_deep_forest_scores_like_sparks(spark, data):
+    own = M.assemble_stages(FEATS, FO.DeepForest(M.random_forest(30, 30, 5, label="label")), impute=False).fit(data)
+    sparks = M.assemble_stages(FEATS, M.random_forest(30, 30, 5, label="label"), impute=False).fit(data)
+    auc = [V.roc_auc(M.score(m, data, ["label"])).first()["auc"] for m in (own, sparks)]
+    assert auc[0] == pytest.approx(auc[1], abs=0.01) and auc[0] > 0.9
+    nodes = [m.stages[-1].totalNumNodes for m in (own, sparks)]
+    assert nodes[0] == pytest.approx(nodes[1], rel=0.1)
