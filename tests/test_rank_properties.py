@@ -135,3 +135,14 @@ def test_wide_pearson_with_gaps(spark):
     for (i, j), v in got.items():
         e = None if np.isnan(exp[i, j]) or {i, j} & {7, 8, 9} or (i, j) == (10, 11) else exp[i, j]
         assert (v is None) == (e is None) and (v is None or abs(v - e) < 1e-8), (i, j, v, e)
+
+
+def test_fold_tasks_do_not_grow_with_the_rows(spark, monkeypatch):
+    """More rows are dealt by more tasks, evenly, to the same folds."""
+    df = spark.range(60_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).cast("int").alias("y"))
+    few = {r.k: r.fold for r in FE.stratified_folds(df, "k", "y", 5, 42).collect()}
+    monkeypatch.setattr(FE, "FOLD_ROWS", 2_000)
+    dealt = FE.stratified_folds(df, "k", "y", 5, 42)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 30 and max(sizes) <= 2_500
+    assert {r.k: r.fold for r in dealt.collect()} == few
