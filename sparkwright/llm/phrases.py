@@ -2,20 +2,21 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line breaks, pieces into words. A run of texts becomes
 arrays of word hashes; prefix polynomials over them give the fingerprint of every n-gram as a difference of two prefix
-values, for all places at once. Equal fingerprints are combined in their task before the shuffle; what is shuffled is the
-fingerprint, its count, the least and greatest second hash of its occurrences, and a pointer to the text of one
-occurrence - never the words. Words come first, then pairs, then orders 3 and 4: a phrase can be frequent only if all its
-parts are, so pairs are emitted where a bitmap of the frequent words has both, longer phrases where one of the frequent
-pairs has all of theirs. A bitmap's size follows their number up to 2^27 bits (16 MB), the one thing broadcast whole; it
-forgets nothing, a full one only prunes less.
+values, for all places at once.
 
-Frequent fingerprints alone are turned into text: the texts that pointers name are read, the fingerprints are found in
-them again and checked by the second hash. A fingerprint whose occurrences differ in the second hash, or that its
-text does not hold, belongs to several phrases: those are counted by their words in another pass (``_by_words``). The
-words of all languages share the fingerprints; a language's hash is part of them. The empty phrase occurs at every word, so
-its count is the number of words of a language.
+The table is counted twice. First every n-gram of 1 to 4 words is counted in the bucket that its fingerprint names: a task
+sorts the buckets of some million places and sends each bucket met in three bytes with its count, packed in one row per
+order and range of buckets; counts are cut at the least count that matters, so a bucket's sum reaches it exactly if the
+bucket's n-grams do together. Then the n-grams whose bucket reached it, and whose parts' buckets did, are counted by their
+words. Buckets only prune: no n-gram of enough occurrences is lost, and words that share a bucket or a fingerprint are
+counted apart. So the first pass shuffles a few bytes per distinct n-gram of a task whatever is frequent, and the second
+one little besides the frequent phrases. The buckets that reached the count are broadcast as a bitmap, whose size follows
+their number up to 2^27 bits (16 MB), the one thing broadcast whole; it forgets nothing, a full one only prunes less.
 
-docs is read four or five times; store it first if it is costly to compute.
+Fingerprints hold a hash of the language. The empty phrase occurs at every word, so its count is the number of words of a
+language.
+
+docs is read three times (once for the size of its texts); store it first if it is costly to compute.
 
 Defined cases: null or empty text has no words; a null language is ``und``; repeated rows count each; a very long text is
 processed as a run of its own; ties are broken by the phrase's bytes; an empty table gives no rows; other columns are not
@@ -24,10 +25,9 @@ read.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -35,12 +35,13 @@ from sparkwright.llm.textutil import mixed, slices, texts_of
 from sparkwright.session import stored
 
 LONGEST = 4
-ORDERS = ((0, 1), (2,), (3, 4))           # counted in one pass each
 MIN_COUNT, TOP = 30, 2000
 RUN_BYTES = 3 << 20
+BUCKET_BITS = 24                           # of a bucket inside its range
+HELD = 4 << 20                             # places of n-grams that a task sorts at once
 MOST_BITS = 1 << 27
 BROADCAST_ROWS = 200_000
-SALTS = 32
+SALTS, HOT_CUTS, MOST_HOT = 32, 10_000, 10_000
 _BREAK, _END = b"\xff", b"\xfe"            # between pieces and texts: bytes that UTF-8 text does not hold
 _MARKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", _BREAK * 10)
 _BASES = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
@@ -92,37 +93,52 @@ class _Powers:
 class Run:
     """The words of some texts as arrays, with the fingerprints of their n-grams."""
 
-    def __init__(self, texts: list[bytes], langs: list[str], hashes: _WordHashes, powers: _Powers, bits: int = 64):
+    def __init__(self, texts: list[bytes], langs: list[str], hashes: _WordHashes, powers: _Powers):
         if len(hashes) > hashes.bound:
             hashes.restart()
-        self.flat = words_and_breaks(texts)
-        numbers = np.fromiter(map(hashes.__getitem__, self.flat), np.int32, len(self.flat))
-        self.place = np.flatnonzero(numbers > 1)
-        self.text = np.cumsum(numbers == 1, dtype=np.int32)[self.place]
-        self.piece = np.cumsum(numbers <= 1, dtype=np.int32)[self.place]
-        n = len(self.place)
-        up, self.down = powers.upto(n)
-        self.prefix = np.zeros((n + 1, 2), np.uint64)
-        np.cumsum(hashes.hashes()[numbers[self.place]] * up[:n], axis=0, out=self.prefix[1:])
-        self.lang = np.array([xxh3_64_intdigest((x or "und").encode("utf-8", "replace")) for x in langs], np.uint64)
-        self.mask = np.uint64((1 << bits) - 1)
+        flat = words_and_breaks(texts)
+        numbers = np.fromiter(map(hashes.__getitem__, flat), np.int32, len(flat))
+        place = np.flatnonzero(numbers > 1)
+        self.numbers = numbers[place]
+        self.text = np.cumsum(numbers == 1, dtype=np.int32)[place]
+        self.piece = np.cumsum(numbers <= 1, dtype=np.int32)[place]
+        self.lang = np.array([xxh3_64_intdigest((x or "und").encode("utf-8", "replace")) for x in langs], np.uint64)[self.text]
+        self.hashes, self.powers = hashes, powers
 
     def starts(self, m: int) -> np.ndarray:
-        """Places of the n-grams of m words inside one piece."""
-        n = len(self.place)
-        if m < 2:
-            return np.arange(n)
-        return np.flatnonzero(self.piece[m - 1:] == self.piece[:n - m + 1]) if n >= m else np.zeros(0, np.int64)
+        """For every place whether m words inside one piece begin there."""
+        out = np.zeros(len(self.piece), bool)
+        if 0 < m <= len(out):
+            out[:len(out) - m + 1] = self.piece[m - 1:] == self.piece[:len(out) - m + 1]
+        return out
+
+    def prefix(self, lane: int) -> np.ndarray:
+        """Prefix polynomial of the word hashes, by the first or the second hash and base."""
+        out = np.zeros(len(self.numbers) + 1, np.uint64)
+        np.cumsum(self.hashes.hashes()[self.numbers, lane] * self.powers.upto(len(self.numbers))[0][:len(self.numbers), lane], out=out[1:])
+        return out
+
+    def fingerprints(self, m: int, prefix: np.ndarray, lane: int) -> np.ndarray:
+        """Fingerprints of the m words from each place on (the last m - 1 places have none)."""
+        n = max(0, len(self.numbers) - m + 1)
+        poly = (prefix[m:][:n] - prefix[:n]) * self.powers.upto(n)[1][:n, lane]
+        return mixed(poly + (self.lang[:n] + np.uint64(m)))
+
+    def phrases(self, starts: np.ndarray, m: int) -> pa.Array:
+        """The m words from some places on, joined by spaces."""
+        words = pa.array(list(self.hashes), pa.binary())
+        return pc.binary_join_element_wise(*(words.take(pa.array(self.numbers[starts + i])) for i in range(m)), pa.scalar(b" ", pa.binary()))
+
+
+class Buckets:
+    """Numbers of the buckets of n-grams: the order, the range (2^ranges for each order) and the bucket in it."""
 
-    def grams(self, m: int, starts: np.ndarray | None = None):
-        """(starts, fingerprints, second hashes) of the n-grams of m words, of all or at the given places."""
-        starts = self.starts(m) if starts is None else starts
-        poly = (self.prefix[starts + m] - self.prefix[starts]) * self.down[starts]
-        both = mixed(poly + (self.lang[self.text[starts]] + np.uint64(m))[:, None])
-        return starts, both[:, 0] & self.mask, (both[:, 1] >> np.uint64(33)).astype(np.int32)
+    def __init__(self, ranges: int, bits: int = 64):
+        self.shift = np.uint64(ranges + BUCKET_BITS)
+        self.mask = np.uint64((1 << min(bits, ranges + BUCKET_BITS)) - 1)
 
-    def phrase(self, start: int, m: int) -> bytes:
-        return b" ".join(self.flat[p] for p in self.place[start:start + m])
+    def __call__(self, m: int, fp: np.ndarray) -> np.ndarray:
+        return (np.uint64(m - 1) << self.shift) | (fp & self.mask)
 
 
 class Bitmap:
@@ -151,143 +167,132 @@ class Bitmap:
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """key (hash of language and text), lang, text."""
-    lang, text = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(F.xxhash64(lang, text).alias("key"), lang.alias("lang"), text.alias("text"))
+    """lang, text."""
+    return docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
-def _runs(batches, bits: int):
+def _runs(batches):
     hashes, powers = _WordHashes(), _Powers()
     for whole in batches:
         for batch in slices(whole, RUN_BYTES):
-            yield batch, Run(texts_of(batch), batch.column("lang").to_pylist(), hashes, powers, bits)
+            yield batch, Run(texts_of(batch), batch.column("lang").to_pylist(), hashes, powers)
 
 
-def _count(texts: DataFrame, orders: tuple, allowed: Bitmap | None, min_count: int, bits: int) -> DataFrame:
-    """Frequent fingerprints of some orders: m, fp, f, lo, hi, ptr; stored.
+def _packed(held: list[np.ndarray], least: int) -> pa.RecordBatch:
+    """range, buckets (three bytes each, ascending), counts (cut at ``least``) of some bucket numbers."""
+    numbers = np.concatenate(held)
+    numbers.sort()
+    cut = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
+    counts = np.minimum(np.diff(np.r_[cut, len(numbers)]), least).astype(np.min_scalar_type(least))
+    numbers = numbers[cut]
+    at = (numbers >> np.uint64(BUCKET_BITS)).astype(np.int32)
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    ends = np.r_[first, len(at)]
+    buckets = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
 
-    With ``allowed``, the frequent fingerprints of one order below the first, an n-gram is counted only if all its parts of
-    that order are frequent."""
-    sent = texts.sparkSession.sparkContext.broadcast(allowed)
+    def cells(values, width):
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(values)])
 
+    return pa.RecordBatch.from_arrays([pa.array(at[first]), cells(buckets, 3), cells(counts, counts.itemsize)], names=["range", "buckets", "counts"])
+
+
+def bucket_counts(texts: DataFrame, least: int, number: Buckets) -> DataFrame:
+    """range, buckets, counts: the buckets of all n-grams as the tasks met them."""
     def run(batches):
-        for batch, texts_run in _runs(batches, bits):
-            keys, shorter = batch.column("key").to_numpy(), orders[0] - 1
-            if allowed_there := sent.value:
-                at, fp, _ = texts_run.grams(shorter)
-                frequent = np.zeros(len(texts_run.place) + LONGEST, bool)
-                frequent[at] = allowed_there(fp)
-            for order in orders:
-                starts = texts_run.starts(order)
-                if allowed_there:
-                    for part in range(order - shorter + 1):
-                        starts = starts[frequent[starts + part]]
-                if not len(starts):
-                    continue
-                _, fp, second = texts_run.grams(order, starts)
-                by = np.argsort(fp)
-                fp, second, ptr = fp[by], second[by], keys[texts_run.text[starts[by]]]
-                cut = np.flatnonzero(np.r_[True, fp[1:] != fp[:-1]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cut), order, np.int32)), pa.array(fp[cut].view(np.int64)), pa.array(np.diff(np.r_[cut, len(fp)])),
-                     pa.array(np.minimum.reduceat(second, cut)), pa.array(np.maximum.reduceat(second, cut)), pa.array(np.minimum.reduceat(ptr, cut))],
-                    names=["m", "fp", "f", "lo", "hi", "ptr"])
-
-    parts = texts.mapInArrow(run, "m int, fp long, f long, lo int, hi int, ptr long")
-    return stored(parts.groupBy("m", "fp").agg(F.sum("f").alias("f"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("ptr").alias("ptr"))
-                  .where(F.col("f") >= min_count), f"phrases_{orders[0]}")
-
-
-def _pointed(texts: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
-    """m, fp, lang, phrase, f of the fingerprints found again, with their second hash, in the texts of their pointers."""
-    allowed = texts.sparkSession.sparkContext.broadcast(Bitmap.of(frequent.select("ptr").distinct(), "ptr"))
-
-    def named(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(allowed.value(batch.column("key").to_numpy().view(np.uint64))))
-
-    # equal texts are one row, combined map-side: both sides of the join have unique keys
-    once = texts.mapInArrow(named, texts.schema).groupBy("key").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
-    wanted = frequent.groupBy("ptr").agg(F.collect_list(F.struct("m", "fp", "lo", "f")).alias("wanted"))   # at most a text's own n-grams
-
-    def found(batches):
-        hashes, powers = _WordHashes(), _Powers()
-        for whole in batches:
-            for batch in slices(whole, RUN_BYTES):
-                rows = []
-                for text, lang, asked in zip(texts_of(batch), batch.column("lang").to_pylist(), batch.column("wanted").to_pylist()):
-                    run = Run([text], [lang], hashes, powers, bits)
-                    for m in {w["m"] for w in asked}:
-                        starts, fp, second = run.grams(m)
-                        first = dict(zip(*(a.tolist() for a in np.unique(fp.view(np.int64), return_index=True))))
-                        for w in asked:
-                            at = first.get(w["fp"]) if w["m"] == m else None
-                            if at is not None and int(second[at]) == w["lo"]:
-                                rows.append((m, w["fp"], lang, run.phrase(starts[at], m), w["f"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.int64()))],
-                    names=["m", "fp", "lang", "phrase", "f"])
-
-    return once.join(wanted, F.col("key") == F.col("ptr")).select("lang", "text", "wanted") \
-        .mapInArrow(found, "m int, fp long, lang string, phrase binary, f long")
-
-
-def _by_words(texts: DataFrame, suspects: DataFrame, min_count: int, bits: int) -> DataFrame:
-    """m, lang, phrase, f: the phrases of the suspect fingerprints, counted by their words."""
-    allowed = texts.sparkSession.sparkContext.broadcast(Bitmap.of(suspects, "fp"))
+        held, size = [], 0
+        for _, texts_run in _runs(batches):
+            prefix = texts_run.prefix(0)
+            for m in range(1, LONGEST + 1):
+                fp = texts_run.fingerprints(m, prefix, 0)
+                held.append(number(m, fp[texts_run.starts(m)[:len(fp)]]))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield _packed(held, least)
+                    held, size = [], 0
+        if size:
+            yield _packed(held, least)
+
+    return texts.mapInArrow(run, "range int, buckets binary, counts binary")
+
+
+def frequent_buckets(texts: DataFrame, min_count: int, number: Buckets, tasks: int) -> DataFrame:
+    """fp: the mixed numbers of the buckets whose n-grams have together at least min_count occurrences."""
+    least = min(max(1, min_count), 1 << 31)
+
+    def frequent(rows: pa.Table) -> pa.Table:
+        cells = np.frombuffer(b"".join(rows.column("buckets").to_pylist()), np.uint8).reshape(-1, 3).astype(np.uint64)
+        both = cells[:, 0] | cells[:, 1] << np.uint64(8) | cells[:, 2] << np.uint64(16)
+        both = both << np.uint64(32) | np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.min_scalar_type(least))
+        both.sort()
+        bucket = both >> np.uint64(32)
+        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        kept = bucket[cut][np.add.reduceat(both & np.uint64(0xFFFFFFFF), cut) >= least]
+        at = np.uint64(rows.column("range")[0].as_py()) << np.uint64(BUCKET_BITS)
+        return pa.table({"fp": mixed(at | kept).view(np.int64)})
+
+    return bucket_counts(texts, least, number).repartition(tasks, "range").groupBy("range").applyInArrow(frequent, "fp long")
+
+
+def counted_by_words(texts: DataFrame, number: Buckets, frequent: Bitmap) -> DataFrame:
+    """lang, phrase, f: parts of the counts of the n-grams whose buckets, and whose parts' buckets, are frequent."""
+    sent = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        for batch, texts_run in _runs(batches, bits):
-            langs = batch.column("lang").to_pylist()
-            counts = Counter()
-            for m in range(LONGEST + 1):
-                starts, fp, _ = texts_run.grams(m)
-                hit = allowed.value(fp)
-                counts.update((m, f, langs[t], texts_run.phrase(s, m)) for s, f, t in
-                              zip(starts[hit].tolist(), fp[hit].view(np.int64).tolist(), texts_run.text[starts[hit]].tolist()))
-            rows = [(*k, n) for k, n in counts.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.int64()))],
-                names=["m", "fp", "lang", "phrase", "f"])
-
-    counted = texts.mapInArrow(run, "m int, fp long, lang string, phrase binary, f long") \
-        .groupBy("m", "fp", "lang", "phrase").agg(F.sum("f").alias("f"))
-    return counted.join(suspects.select("m", "fp"), ["m", "fp"], "left_semi").where(F.col("f") >= min_count).select("m", "lang", "phrase", "f")
+        for batch, texts_run in _runs(batches):
+            langs, words = batch.column("lang"), np.bincount(texts_run.text, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([langs, pa.array([b""] * len(langs), pa.binary()), pa.array(words)], names=["lang", "phrase", "f"])
+            lanes = [texts_run.prefix(0), texts_run.prefix(1)]
+            for m in range(1, LONGEST + 1):
+                fp = texts_run.fingerprints(m, lanes[0], 0)
+                hit = texts_run.starts(m)
+                if m > 1:
+                    hit[:-1] &= shorter[:-1] & shorter[1:]
+                at = np.flatnonzero(hit)
+                at = at[sent.value(mixed(number(m, fp[at])))]
+                shorter = np.zeros_like(hit)
+                shorter[at] = True
+                if not len(at):
+                    break
+                fp, second = fp[at], texts_run.fingerprints(m, lanes[1], 1)[at]
+                by = np.argsort(fp)
+                fp, second, at = fp[by], second[by], at[by]
+                cut = np.flatnonzero(np.r_[True, (fp[1:] != fp[:-1]) | (second[1:] != second[:-1])])
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(texts_run.text[at[cut]])), texts_run.phrases(at[cut], m),
+                                                  pa.array(np.diff(np.r_[cut, len(at)]))], names=["lang", "phrase", "f"])
+
+    return texts.mapInArrow(run, "lang string, phrase binary, f long")
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "text", lang_col: str = "lang", bits: int = 64) -> DataFrame:
     """m, lang, phrase, f: all phrases of 0 to 4 words with at least min_count occurrences; stored.
 
-    ``bits`` cuts the fingerprints (to make them collide in tests); the result does not depend on it."""
+    ``bits`` cuts the fingerprints (to make them share buckets in tests); the result does not depend on it."""
     texts = _texts(docs, text_col, lang_col)
-    levels, allowed = [], None
-    for orders in ORDERS:
-        level = _count(texts, orders, allowed, min_count, bits)
-        levels.append(level)
-        longest = level.where(F.col("m") == orders[-1])
-        if orders[-1] == LONGEST or longest.isEmpty():
-            break
-        allowed = Bitmap.of(longest, "fp")
-    frequent = levels[0]
-    for level in levels[1:]:
-        frequent = frequent.unionByName(level)
-    found = stored(_pointed(texts, frequent.where(F.col("lo") == F.col("hi")), bits), "phrases_found")
-    suspects = stored(frequent.join(found.select("m", "fp"), ["m", "fp"], "left_anti").select("m", "fp"), "phrases_suspect")
-    whole = found.select("m", "lang", "phrase", "f")
-    if not suspects.isEmpty():
-        whole = whole.unionByName(_by_words(texts, suspects, min_count, bits))
-    return stored(whole.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
-
-
-def _with_counts(cuts: DataFrame, counts: DataFrame, part: str, name: str, small: bool) -> DataFrame:
-    """cuts with the count of their column ``part``; beyond the broadcast bound hot parts are spread by salts."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # 2^10 ranges up to 64 GB of text, more beyond: the buckets of an order and range are one group, of about a quarter of 64 MB
+    number = Buckets(min(max(2, (size >> 20).bit_length()), max(10, (size >> 26).bit_length())), bits)
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), size >> 26)
+    frequent = Bitmap.of(stored(frequent_buckets(texts, min_count, number, tasks), "phrases_buckets"), "fp")
+    counts = counted_by_words(texts, number, frequent).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+    phrase = F.col("phrase").cast("string")
+    return stored(counts.select(F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ", -1))).alias("m"), "lang", phrase.alias("phrase"), "f"), "phrases")
+
+
+def _salted(table: DataFrame, name: str, hot: int) -> DataFrame:
+    """table with a column _t: rows whose count reaches ``hot`` once for every salt, the others once with 0."""
+    return table.withColumn("_t", F.explode(F.when(F.col(name) >= hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+
+
+def _with_counts(cuts: DataFrame, counts: DataFrame, part: str, name: str, hot: int | None) -> DataFrame:
+    """cuts with the count of their column ``part``; beyond the broadcast bound (``hot`` given) hot parts are spread by salts."""
     table = counts.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
     on = (F.col("lang") == F.col("_lang")) & (F.col(part) == F.col("_part"))
-    if small:
+    if hot is None:
         return cuts.join(F.broadcast(table), on).drop("_lang", "_part")
-    salted = table.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return cuts.withColumn("_s", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")).join(salted, on & (F.col("_s") == F.col("_t"))) \
-        .drop("_lang", "_part", "_s", "_t")
+    spread = F.when(F.col("_part").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
+    marked = cuts.join(F.broadcast(table.where(F.col(name) >= hot).drop(name)), on, "left").withColumn("_s", spread).drop("_lang", "_part")
+    return marked.join(_salted(table, name, hot), on & (F.col("_s") == F.col("_t"))).drop("_lang", "_part", "_s", "_t")
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, text_col: str = "text", lang_col: str = "lang",
@@ -301,11 +306,14 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
     words = F.split("phrase", " ", -1)
     part = lambda a, n: F.concat_ws(" ", F.slice("words", a, n))
     phrases = counts.where(F.col("m") >= 2).withColumn("words", words)
-    small = counts.count() <= BROADCAST_ROWS
+    hot = None
+    if counts.count() > BROADCAST_ROWS:
+        # a part begins (ends) at most 3 f / min_count frequent phrases; parts of so many occurrences are at most 3 MOST_HOT
+        hot = max(min_count * HOT_CUTS, counts.where(F.col("m") == 0).agg(F.sum("f")).first()[0] // MOST_HOT)
     cuts = phrases.select("lang", "phrase", "m", F.col("f").alias("a"), "words", F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k")) \
         .select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("_first"), part(F.col("k") + 1, F.col("m") - F.col("k")).alias("_rest"))
     parts = counts.where(F.col("m").between(1, LONGEST - 1))
-    both = _with_counts(_with_counts(cuts, parts, "_first", "l", small), parts, "_rest", "r", small)
+    both = _with_counts(_with_counts(cuts, parts, "_first", "l", hot), parts, "_rest", "r", hot)
     exact = F.expr("CAST(a AS decimal(20,0)) * 2000000BD div (CAST(l AS decimal(20,0)) + CAST(r AS decimal(20,0)))")
     scored = both.withColumn("score", exact).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best")) \
         .select("lang", "phrase", "a", "best.l", "best.r", "best.score")

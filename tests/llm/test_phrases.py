@@ -94,3 +94,45 @@ def test_bitmap_forgets_nothing(spark):
     b = P.Bitmap.of(spark.createDataFrame([(int(v),) for v in fps], "fp long"), "fp")
     assert b(fps.view(np.uint64)).all()
     assert b(np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64)).mean() < 0.05
+
+
+@pytest.mark.parametrize("hot_cuts", [1, 4, 10_000])
+def test_salts_of_hot_parts_only(spark, monkeypatch, hot_cuts):
+    rows = [("en", f"the w{i % 40} of the w{i % 7} w{i % 11}") for i in range(2000)] + [(None, "the the of the")] * 50
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(P, "HOT_CUTS", hot_cuts)
+    assert sorted(map(tuple, P.collocations(df, 10, 50).collect())) == brute(rows, 10, 50)
+    table = spark.createDataFrame([("a", 10), ("b", 9), ("c", 1000)], "w string, f long")
+    got = [(r.w, r._t) for r in P._salted(table, "f", 10 * hot_cuts).collect()]
+    salts = [w for w, f in (("a", 10), ("b", 9), ("c", 1000)) if f >= 10 * hot_cuts]
+    assert len(got) == 3 + (P.SALTS - 1) * len(salts) and ("b", 0) in got
+
+
+def test_first_pass_sends_few_bytes_and_loses_nothing(spark, docs001):
+    """What the tasks of the counting pass send for the n-grams, frequent or not; the fingerprint rows it replaces took 28 bytes each."""
+    texts, number = P._texts(docs001, "text", "lang").coalesce(1).cache(), P.Buckets(4)
+    sent = P.bucket_counts(texts, 30, number).collect()
+    entries = sum(len(r.counts) for r in sent)
+    rows = [(r.lang, r.text) for r in texts.collect()]
+    grams, frequent = set(), Counter()
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\n-\r]", text.translate(LOWER)):
+            w = re.findall("[^ \t]+", piece)
+            frequent.update((lang, *w[i:i + m]) for m in range(1, 5) for i in range(len(w) - m + 1))
+    grams.update(frequent)
+    assert 0.95 * len(grams) < entries <= len(grams)           # equal n-grams of a task are one entry
+    assert sum(len(r.buckets) + len(r.counts) for r in sent) == 4 * entries
+    survivors = P.frequent_buckets(texts, 30, number, 2)
+    enough = sum(f >= 30 for f in frequent.values())
+    assert enough <= survivors.count() + 2 and survivors.count() < 1.01 * enough + 2
+    texts.unpersist()
+
+
+def test_counts_are_cut_without_loss(spark):
+    """Buckets in many tasks reach the least count by the sum of their cut counts, also where that needs several bytes."""
+    for least in (30, 300, 70_000):
+        rows = [("en", "a b")] * (least if least < 1000 else 400)
+        df = spark.createDataFrame(rows, "lang string, text string").repartition(7)
+        assert P.frequent_buckets(df, least, P.Buckets(2), 2).count() == (3 if least < 1000 else 0)
+        assert P.frequent_buckets(df.limit(least - 1), least, P.Buckets(2), 2).count() == 0
