@@ -179,3 +179,64 @@ def test_deep_forest_scores_like_sparks(spark, data):
     assert auc[0] == pytest.approx(auc[1], abs=0.01) and auc[0] > 0.9
     nodes = [m.stages[-1].totalNumNodes for m in (own, sparks)]
     assert nodes[0] == pytest.approx(nodes[1], rel=0.1)
+
+
+def test_trees_of_several_leaf_sizes_grow_as_one(spark, data, monkeypatch):
+    """Together or alone, node by node or all at once: the same trees; the draws by level give the forest of the level passes."""
+    cells, edges, _ = _cells(data)
+    sizes = [len(e) + 1 for e in edges]
+    x, y, n, keys = FO._on_driver(cells, 3)
+    assert len(x) == cells.count() and n.sum() == 4000 and (np.diff(n) >= 0).all()
+    draw = lambda level, m: np.random.default_rng([5, level]).random((m, 3))
+    w = FO.bootstrap_counts(keys, n, 1, 42)
+    both = FO.grow_subtrees(x, y, w, sizes, 30, [1, 5], 2, draw)
+    monkeypatch.setattr(FO, "APART", 10**9)
+    for least, tree in zip((1, 5), both):
+        alone = FO.grow_subtree(x, y, w, sizes, 30, least, 2, draw)
+        assert all(np.array_equal(alone[c], tree[c]) for c in tree)
+    assert len(both[0]["left"]) > len(both[1]["left"])
+    passes = FO.grow_forest(cells, sizes, 3, 6, 2, 2, 42, finish=0)
+    for a, b in zip(passes, FO.grow_forest(cells, sizes, 3, 6, 2, 2, 42)):
+        assert all(np.array_equal(a[c], b[c]) for c in a)
+
+
+def test_grid_scores_in_tasks_are_those_of_the_whole_forest(spark, data, monkeypatch):
+    cells, edges, _ = _cells(data)
+    forests = [M.random_forest(6, 30, m, label="label") for m in (1, 4)]
+    monkeypatch.setattr(FO, "TREES_AT_ONCE", 2)
+    monkeypatch.setattr(FO, "SCORES_AT_ONCE", 100)
+
+    def counted(found):
+        found = found.toPandas()
+        return found.assign(score=found["score"].round(9)).groupby(["trees", "depth", "y", "score"])["n"].sum()
+
+    scores = FO.grid_scores(cells, cells, edges, forests, [3, 6], [3, 30])
+    for m, forest in zip((1, 4), forests):
+        whole = FO.prefix_scores_of_cells(cells, FO.deep_forest(cells, edges, forest), [3, 6], [3, 30])
+        assert counted(scores.where(F.col("least") == m)).equals(counted(whole))
+    with pytest.raises(ValueError):
+        FO.grid_scores(cells, cells, edges, forests, [7], [3])
+    monkeypatch.setattr(FO, "FINISH_CELLS", 0)         # too many cells for one task
+    assert FO.grid_scores(cells, cells, edges, forests, [3, 6], [3, 30]).agg(F.sum("n")).first()[0] == 8 * 4000
+
+
+def test_cells_score_as_their_rows(spark, data):
+    gaps = data.withColumn("c", F.when(F.col("c") > 0, F.col("c")))
+    for e, df in ((FO.CellForest(M.random_forest(5, 4, label="label")), gaps), (FO.CellBoosting(M.gradient_boosting(5, 3, label="label")), gaps),
+                  (M.decision_tree(3, label="label"), data)):
+        model = M.assemble_stages(FEATS, e, impute=False).fit(df)
+        counts, rows = M.counted_scores(model, df, "label"), M.score(model, df, ["label"])
+        by = ["label", "pred", "score"]
+        assert sorted(map(tuple, counts.groupBy(*by).agg(F.sum("rows")).collect())) == sorted(map(tuple, rows.groupBy(*by).count().collect()))
+
+
+def test_boosting_in_a_task_is_sparks_fit_on_cells(spark, data, monkeypatch):
+    est = lambda: M.assemble_stages(FEATS, FO.CellBoosting(M.gradient_boosting(12, 3, 0.1, label="label")), impute=False)
+    own = est().fit(data)
+    monkeypatch.setattr(FO, "FINISH_CELLS", 0)
+    sparks = est().fit(data)
+    a, b = (M.score(m, data, ["row_key"]) for m in (own, sparks))
+    assert a.join(b.withColumnRenamed("score", "other"), "row_key").where(F.abs(F.col("score") - F.col("other")) > 1e-9).count() == 0
+    assert own.stages[-1].getNumTrees == 12 and own.stages[-1].treeWeights == sparks.stages[-1].treeWeights
+    nodes = [T.node_table(m.stages[-1], spark).toPandas()[["tree", "depth", "feature", "threshold"]].sort_values(["tree", "depth", "feature"]) for m in (own, sparks)]
+    assert len(nodes[0]) == len(nodes[1])
